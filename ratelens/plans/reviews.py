@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.text import STOPWORD_PATTERN, clean_review, java_trim, strip_symbols, tokens
+from ratelens.functions.text import (STOPWORD_PATTERN, clean_review, java_trim,
+                                     strip_symbols_keep_separators, tokens)
 from ratelens.operators.topk import top_k, top_k_per_group
 
 
@@ -84,8 +85,6 @@ def top_symbol_stripped_words(cleaned: DataFrame, k: int = 5) -> DataFrame:
     """category, word, cnt over all sentiments: tokens of the lower-cased
     review with every character outside [a-zA-Z0-9à-ỹ] removed; empty
     results dropped; a word counts when its aspect is non-NULL."""
-    words = _words(cleaned, F.lower("review"), "aspect", "category")
-    words = words.select("aspect", "category", strip_symbols("word").alias("word"))
-    words = words.where(F.col("word").isNotNull() & (F.col("word") != ""))
+    words = _words(cleaned, strip_symbols_keep_separators(F.lower("review")), "aspect", "category")
     counts = words.groupBy("category", "word").agg(F.count("aspect").alias("cnt"))
     return top_k_per_group(counts, "category", [F.desc("cnt"), "word"], k)

@@ -1,0 +1,71 @@
+"""Writers: tab-separated and text outputs, several outputs from one
+parent, and staging of intermediate results in the shared checkpoint
+folder (to hand a result to later jobs and cut lineage)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ratelens.session import ensure_checkpoint_dir
+
+
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Key TAB value files: no header, no quoting, NULL written as empty."""
+    (df.write.mode(mode).option("sep", "\t").option("quote", "").option("escapeQuotes", "false")
+     .option("nullValue", "").option("emptyValue", "").csv(path))
+
+
+def as_text(df: DataFrame, sep: str = "\t") -> DataFrame:
+    """One string column ``value``: the row's fields joined by ``sep``
+    (NULL as empty)."""
+    return df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+                     .alias("value"))
+
+
+def write_text(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
+               max_rows_single_file: int = 1_000_000) -> None:
+    """Write one line per row. ``single_file`` funnels the result through one
+    task and is allowed only for reports proven to have at most
+    ``max_rows_single_file`` rows (checked with a bounded ``limit`` count)."""
+    out = df if "value" in df.columns and len(df.columns) == 1 else as_text(df)
+    if single_file:
+        if out.limit(max_rows_single_file + 1).count() > max_rows_single_file:
+            raise ValueError(f"result exceeds {max_rows_single_file} rows; refusing a single-file write")
+        out = out.coalesce(1)
+    out.write.mode(mode).text(path)
+
+
+def write_many(outputs: dict[str, DataFrame], parent: DataFrame | None = None,
+               writer=write_tsv) -> None:
+    """Several outputs that share ``parent``: the parent is persisted
+    (memory, spilling to disk; a lost block is recomputed from lineage) so
+    it is computed once, then released."""
+    if parent is not None:
+        parent.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for path, df in outputs.items():
+            writer(df, path)
+    finally:
+        if parent is not None:
+            parent.unpersist()
+
+
+def stage(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the session's shared checkpoint folder
+    and read it back: a hand-off between jobs that cuts lineage and survives
+    executor loss (the folder is named by ``spark.checkpoint.dir``)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/staged-{name or 'df'}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local one)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -1,0 +1,58 @@
+"""Incremental counterparts of the rating reports.
+
+The report operators take and return DataFrames, so they also apply to a
+streaming DataFrame: rating files arriving in a folder are parsed with the
+same reader logic and the per-movie / per-year means are kept up to date
+in complete output mode (the aggregation state holds one (sum, count) per
+key, never the ratings themselves). State and progress live under the
+shared checkpoint folder named by ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ratelens import schemas
+from ratelens.functions.time import year_utc
+from ratelens.operators.aggregate import mean_count
+from ratelens.session import ensure_checkpoint_dir
+from ratelens.sources.files import RATINGS_HEADER_PREFIX, parse_fields
+
+
+def rating_stream(spark: SparkSession, folder: str, on_bad: str = "drop",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Ratings from text files appearing in ``folder`` (same layout and
+    bad-record rules as ``sources.files.read_ratings``)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = reader.load(folder)
+    return parse_fields(lines, schemas.RATINGS, on_bad=on_bad, required=["movie_id", "rating"],
+                        header_prefix=RATINGS_HEADER_PREFIX)
+
+
+def running_movie_means(ratings: DataFrame) -> DataFrame:
+    return mean_count(ratings, "movie_id")
+
+
+def running_year_means(ratings: DataFrame) -> DataFrame:
+    return mean_count(ratings.select(year_utc("ts").alias("year"), "rating"), "year")
+
+
+def start(report: DataFrame, name: str, sink: str = "memory", path: str | None = None,
+          checkpoint: str | None = None) -> StreamingQuery:
+    """Start a complete-mode query; the checkpoint defaults to a folder
+    under the session's shared checkpoint directory."""
+    spark = report.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    writer = (report.writeStream.outputMode("complete").queryName(name)
+              .option("checkpointLocation", checkpoint or f"{base}/stream-{name}-{uuid.uuid4().hex[:8]}"))
+    if sink == "memory":
+        return writer.format("memory").start()
+    if sink != "parquet" or not path:
+        raise ValueError("sink must be 'memory' or 'parquet' with a path")
+    # File sinks take appends only; each trigger rewrites the full result.
+    return writer.foreachBatch(lambda df, _epoch: df.write.mode("overwrite").parquet(path)).start()

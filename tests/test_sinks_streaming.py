@@ -1,0 +1,64 @@
+import pytest
+from pyspark.sql import types as T
+
+from conftest import RATINGS_1, RATINGS_2, SF_SMALL, rows
+from ratelens import sinks
+from ratelens.sources import files as S
+
+
+def test_tsv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b", None), (2, "c", "x")], "id int, review string, aspect string")
+    sinks.write_tsv(df, str(tmp_path / "out"))
+    back = S.read_reviews_tsv(spark, str(tmp_path / "out"))
+    assert sorted(rows(back, "id", "review", "aspect")) == [("1", "a b", None), ("2", "c", "x")]
+
+
+def test_single_file_text_is_guarded(spark, tmp_path):
+    df = spark.range(10).toDF("n")
+    sinks.write_text(df, str(tmp_path / "ok"), single_file=True)
+    assert len([p for p in (tmp_path / "ok").iterdir() if p.name.startswith("part-")]) == 1
+    with pytest.raises(ValueError):
+        sinks.write_text(df, str(tmp_path / "big"), single_file=True, max_rows_single_file=5)
+
+
+def test_stage_cuts_lineage_in_checkpoint_dir(spark):
+    df = spark.range(100).selectExpr("id", "id * 2 as v")
+    staged = sinks.stage(df, "t")
+    ckpt = spark.sparkContext.getCheckpointDir()
+    def bare(uri):
+        return "/" + uri.split(":", 1)[-1].lstrip("/")
+    assert ckpt and bare(staged.inputFiles()[0]).startswith(bare(ckpt).rstrip("/") + "/")
+    assert staged.count() == 100
+
+
+def test_review_jobs_write_all_outputs(spark, tmp_path):
+    from ratelens.plans.jobs import run_review_jobs
+    from ratelens.sources.tables import review_lines
+    out = run_review_jobs(review_lines(spark, SF_SMALL), str(tmp_path / "reviews"))
+    assert len(out) == 9
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("freq", T.LongType())])
+    top = S.read_delimited(spark, out["top5_words"], schema, sep="\t")
+    assert top.count() == 5
+
+
+def test_fixed_width_rendering(spark):
+    from ratelens.functions.render import MOVIE_ROW, fixed_width
+    df = spark.createDataFrame([(1015, "Sunset Boulevard (1950)", 4.3571, 7)],
+                               "movie_id int, title string, avg_rating double, n long")
+    line = fixed_width(df, MOVIE_ROW).first()[0]
+    assert line == f"{'1015':<7} | {'Sunset Boulevard (1950)':<60} | {'4.36':<10} | {'7':<12}"
+
+
+def test_streaming_means_match_batch(spark, write_files):
+    from ratelens import streaming
+    from ratelens.operators.aggregate import mean_count
+    f = write_files({"ratings_1.txt": RATINGS_1, "ratings_2.txt": RATINGS_2}, sub="stream")
+    folder = f["ratings_1.txt"].rsplit("/", 1)[0]
+    q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, folder)), "movie_means_t")
+    try:
+        q.processAllAvailable()
+        got = sorted(rows(spark.table("movie_means_t"), "movie_id", "avg_rating", "n"))
+    finally:
+        q.stop()
+    batch = sorted(rows(mean_count(S.read_ratings(spark, folder), "movie_id"), "movie_id", "avg_rating", "n"))
+    assert got == batch == [(10, 4.17, 3), (99, 2.0, 1)]

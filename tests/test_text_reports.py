@@ -1,0 +1,95 @@
+"""Review text cleaning, tokenising and the review reports on small inputs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from ratelens.functions import text as X
+from ratelens.plans import reviews as V
+
+
+def clean(spark, s, pattern=X.STOPWORD_PATTERN):
+    df = spark.createDataFrame([(s,)], "r string")
+    return df.select(X.clean_review("r", pattern)).first()[0]
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("Tôi rất thích phòng này!", "thích phòng"),              # two stop words in a row
+    ("Không có thể ngủ (ồn)", "không thể ngủ ồn"),            # 'có' shadows 'có thể'
+    ("chúng tôi ở đây", "đây"),                               # 'chúng' first, then 'tôi'
+    ("bàn đẹp", "bàn đẹp"),                                   # 'bà' inside 'bàn' is not a word
+    ("đó là phòng", "phòng"),                                 # stop word starting with an accented letter
+    ("giá – “rẻ”", "giá – “rẻ”"),                             # non-ASCII punctuation is kept
+    ("\tgood,  room!\t", "good room"),                         # tabs at the ends, punctuation, spaces
+    (None, None),
+])
+def test_clean_review(spark, raw, expected):
+    assert clean(spark, raw) == expected
+
+
+def test_clean_with_pattern_column(spark):
+    df = spark.createDataFrame([("a dog and a cat", r"\b(a|and)\b")], "r string, p string")
+    assert df.select(X.clean_review("r", F.col("p"))).first()[0] == "dog cat"
+
+
+def test_tokens_separators_and_lengths(spark):
+    df = spark.createDataFrame([('a "bb",(ccc)*dddd  e\tf',)], "r string")
+    assert df.select(X.tokens("r")).first()[0] == ["a", "bb", "ccc", "dddd", "e\tf"]
+
+
+def test_symbol_strip_whole_text_equals_per_token(spark):
+    s = 'giá!rẻ (tốt*) ★★ ok" 12ab_c vị ΩΩ'
+    df = spark.createDataFrame([(s,)], "r string")
+    per_token = [t for t in (df.select(F.transform(X.tokens("r"), X.strip_symbols).alias("t")).first()[0]) if t]
+    whole = df.select(X.tokens(X.strip_symbols_keep_separators("r"))).first()[0]
+    assert whole == per_token == ["giárẻ", "tốt", "ok", "12abc", "vị", "ΩΩ"]  # U+00E0..U+1EF9 kept
+
+
+@pytest.fixture
+def cleaned(spark):
+    data = [
+        (1, "phòng sạch phòng đẹp", "CLEANLINESS", "ROOMS", "positive"),
+        (2, "phòng ồn ồn vị", "COMFORT", "ROOMS", " Negative"),
+        (3, "nhân viên tốt", "SERVICE", "SERVICE", "positive"),
+        (None, "phòng phòng", "GENERAL", "HOTEL", "positive"),
+        (4, "aaa bbb ccc ddd eee fff", "GENERAL", "HOTEL", "neutral"),
+        (None, None, None, None, None),
+    ]
+    return spark.createDataFrame(data, "id int, review string, aspect string, category string, sentiment string")
+
+
+def test_top_words_ties_broken_by_word(cleaned):
+    assert rows(V.top_words(cleaned, 5)) == [("phòng", 5), ("ồn", 2), ("aaa", 1), ("bbb", 1), ("ccc", 1)]
+
+
+def test_counts_count_rows_with_id(cleaned):
+    got = dict(rows(V.count_by(cleaned, "category")))
+    assert got == {"ROOMS": 2, "SERVICE": 1, "HOTEL": 1, None: 0}
+
+
+def test_top_aspect_trimmed_lowercased(cleaned):
+    assert rows(V.top_aspect(cleaned, "negative")) == [("COMFORT", 1)]
+    assert rows(V.top_aspect(cleaned, "positive")) == [("CLEANLINESS", 1)]
+
+
+def test_top_words_per_category_min_length(cleaned):
+    pos = sorted(rows(V.top_words_for_sentiment(cleaned, "positive")))
+    # id NULL row skipped; words shorter than 3 characters dropped
+    assert pos == [("ROOMS", "phòng", 2), ("ROOMS", "sạch", 1), ("ROOMS", "đẹp", 1),
+                   ("SERVICE", "nhân", 1), ("SERVICE", "tốt", 1), ("SERVICE", "viên", 1)]
+    neg = rows(V.top_words_for_sentiment(cleaned, "negative"))
+    assert neg == [("ROOMS", "phòng", 1)]
+
+
+def test_top_k_per_group_limits_each_group(cleaned):
+    both = V.top_words_by_category(cleaned, ("positive", "negative", "neutral"), k=5)
+    per = {}
+    for s, c, *_ in rows(both, "sentiment", "category", "word"):
+        per[(s, c)] = per.get((s, c), 0) + 1
+    assert per[("neutral", "HOTEL")] == 5 and max(per.values()) == 5
+
+
+def test_symbol_stripped_top_words(cleaned):
+    got = sorted(rows(V.top_symbol_stripped_words(cleaned, 2)))
+    assert got == sorted([("HOTEL", "phòng", 2), ("HOTEL", "aaa", 1), ("ROOMS", "phòng", 3), ("ROOMS", "ồn", 2),
+                          ("SERVICE", "nhân", 1), ("SERVICE", "tốt", 1)])

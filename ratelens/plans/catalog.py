@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratelens.functions import render as P
 from ratelens.plans import ratings as R
 from ratelens.plans import reviews as V
 from ratelens.sources import files, tables
@@ -41,6 +42,12 @@ def _star(fn, **kw):
     return lambda spark, d: fn(star(spark, d), **kw)
 
 
+def _age_sentence(star_):
+    wide = R.age_wide_text(star_, "four")
+    labels = R.PRESETS["four"].labels
+    return P.age_sentence(wide, labels, [R.age_column(x) for x in labels])
+
+
 def _clean(fn, **kw):
     return lambda spark, d: fn(cleaned_reviews(spark, d), **kw)
 
@@ -61,6 +68,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "occupation_mean": _star(R.occupation_mean),
     "year_mean": _star(R.year_mean),
     "ratings_union_all": _ratings_union_all,
+    # rendered report rows
+    "movie_mean_count_text": lambda spark, d: P.fixed_width(R.movie_mean_count(star(spark, d)), P.MOVIE_ROW),
+    "movie_sentence": lambda spark, d: P.movie_sentence(R.movie_mean_by_title(star(spark, d))),
+    "genre_mean_sentence": lambda spark, d: P.genre_sentence(R.genre_mean_count(star(spark, d))),
+    "gender_wide_sentence": lambda spark, d: P.gender_sentence(R.gender_wide(star(spark, d))),
+    "age_wide_sentence": lambda spark, d: _age_sentence(star(spark, d)),
     # reviews
     "reviews_parse": parsed_reviews,
     "reviews_clean": lambda spark, d: V.sorted_reviews(cleaned_reviews(spark, d)),

@@ -141,6 +141,17 @@ select w.movie_id, coalesce(p.p_name, cast(w.movie_id as varchar)) as title, {co
 from w left join part p on p.p_partkey = w.movie_id"""
 
 
+def _s(x: str) -> str:
+    return f"coalesce(cast({x} as varchar), '')"
+
+
+def _age_sentence() -> str:
+    groups = [("0-18", "age_0_18"), ("18-35", "age_18_35"), ("35-50", "age_35_50"), ("50+", "age_50_plus")]
+    cells = " || ".join(f"'{g}: ' || {c} || chr(9)" for g, c in groups)
+    return f"""with w as ({_age_wide_4()})
+select title, {cells} as value from w"""
+
+
 ORACLE: dict[str, str] = {
     "movie_mean_count": f"""with {RATINGS}, {MOVIE_SUMS}
 select s.movie_id, p.p_name as title, {_r2('s.sm / s.c')} as avg_rating, s.c as n
@@ -205,6 +216,32 @@ union all
 select l_orderkey as user_key, l_partkey as movie_id, l_quantity as rating,
        cast(epoch(l_shipdate) as bigint) as ts from lineitem where l_linestatus = 'F'""",
 
+    "movie_mean_count_text": f"""with {RATINGS}, {MOVIE_SUMS}
+select printf('%-7s | %-60s | %-10s | %-12s', {_s('s.movie_id')}, {_s('p.p_name')},
+              {_f2('s.sm / s.c')}, {_s('s.c')}) as value
+from s join part p on p.p_partkey = s.movie_id""",
+
+    "movie_sentence": f"""with {RATINGS}, {MOVIE_SUMS}
+select coalesce(p.p_name, cast(s.movie_id as varchar)) as title,
+       printf('Average rating: %s (Total ratings: %d)', {_f2('s.sm / s.c')}, s.c) as value
+from s left join part p on p.p_partkey = s.movie_id""",
+
+    "genre_mean_sentence": f"""with {RATINGS}, {GENRES}
+select g.genre, printf('Avg: %s,    Count: %d', {_f2('sum(r.rating) / count(r.rating)')}, count(r.rating)) as value
+from r join g on g.movie_id = r.movie_id group by g.genre""",
+
+    "gender_wide_sentence": f"""with {RATINGS}, {USERS},
+j as (select r.movie_id, r.rating, u.gender from r left join u on u.user_key = r.user_key),
+w as (select movie_id,
+             coalesce({_r2(_cond_mean("gender = 'M'"))}, 0.0) as male_avg,
+             coalesce({_r2(_cond_mean("gender is distinct from 'M'"))}, 0.0) as female_avg
+      from j group by movie_id)
+select coalesce(p.p_name, cast(w.movie_id as varchar)) as title,
+       printf('Male: %s, Female: %s', {_f2('w.male_avg')}, {_f2('w.female_avg')}) as value
+from w left join part p on p.p_partkey = w.movie_id""",
+
+    "age_wide_sentence": _age_sentence(),
+
     "reviews_parse": f"""with {PARSED}
 select id, review, aspect, category, sentiment from pr""",
 

@@ -1,0 +1,62 @@
+"""A key holding a third of all rows must not land whole in one task."""
+
+import contextlib
+
+from pyspark.sql import functions as F
+
+from ratelens.plans import ratings as R
+
+
+@contextlib.contextmanager
+def conf(spark, **kv):
+    old = {k: spark.conf.get(k, None) for k in kv}
+    for k, v in kv.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def hot_star(spark, n=300_000):
+    # user 7 holds every third rating
+    r = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("user_key"),
+        (F.col("id") % 1000).alias("movie_id"), (F.col("id") % 5 + 1).cast("double").alias("rating"),
+        F.lit(0).cast("long").alias("ts"))
+    u = spark.range(n).select(F.col("id").alias("user_key"), F.col("id").alias("user_id"),
+                              F.when(F.col("id") % 2 == 0, "M").otherwise("F").alias("gender"),
+                              F.lit(30).alias("age"), F.lit(1).alias("occupation_id"))
+    m = spark.range(1000).select(F.col("id").alias("movie_id"), F.concat(F.lit("t"), F.col("id")).alias("title"),
+                                 F.lit("A").alias("genres"))
+    return R.RatingsStar(r, m, u)
+
+
+def test_hot_user_join_partition_is_split(spark):
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    with conf(spark, **small):
+        df = R.gender_long(hot_star(spark))
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+    assert sum(r["n"] for r in got) == 300_000
+
+
+def test_hot_user_occupation_report_joins_one_row_per_key(spark):
+    # the occupation report reduces ratings per user key before the join,
+    # so the hot user arrives at the join as a single row
+    df = R.occupation_mean(R.RatingsStar(hot_star(spark).ratings, None,
+                                         hot_star(spark).users,
+                                         spark.createDataFrame([(1, "Programmer")], "occupation_id int, occupation string")))
+    got = df.collect()
+    assert [(r["occupation"], r["n"]) for r in got] == [("Programmer", 300_000)]
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[user_key" in text

@@ -93,3 +93,16 @@ def test_symbol_stripped_top_words(cleaned):
     got = sorted(rows(V.top_symbol_stripped_words(cleaned, 2)))
     assert got == sorted([("HOTEL", "phòng", 2), ("HOTEL", "aaa", 1), ("ROOMS", "phòng", 3), ("ROOMS", "ồn", 2),
                           ("SERVICE", "nhân", 1), ("SERVICE", "tốt", 1)])
+
+
+def test_grouped_stopword_regex_equals_raw_pattern(spark):
+    """The faster grouped form deletes exactly what the raw pattern deletes."""
+    raw = F.regexp_replace("r", "(?U)" + X.STOPWORD_PATTERN, "")
+    fast = X.remove_pattern("r")
+    edge = ["chúng tôi chúng ta có thể đã từng bao giờ bao nhiêu hôm nay", "ừm ừ ạ à ư ở", "baoo bao giờx tại sao",
+            "là của và có", "xlà làx là_x", "nó.nó,nó", "hai ba ba-ba", ""]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.lower("text").alias("r"))
+    df = docs.unionByName(spark.createDataFrame([(e,) for e in edge], "r string"))
+    assert df.where(~raw.eqNullSafe(fast)).count() == 0
+    edge_df = spark.createDataFrame([(e,) for e in edge], "r string")
+    assert [r[0] for r in edge_df.select(raw).collect()] == [r[0] for r in edge_df.select(fast).collect()]

@@ -106,3 +106,17 @@ def test_grouped_stopword_regex_equals_raw_pattern(spark):
     assert df.where(~raw.eqNullSafe(fast)).count() == 0
     edge_df = spark.createDataFrame([(e,) for e in edge], "r string")
     assert [r[0] for r in edge_df.select(raw).collect()] == [r[0] for r in edge_df.select(fast).collect()]
+
+
+def test_complement_classes_equal_negated_classes(spark):
+    """Every BMP code point (no lone surrogates) plus supplementary ones."""
+    chars = "".join(chr(c) for c in list(range(0, 0xD800)) + list(range(0xE000, 0x10000)))
+    chars += "\U0001F600\U00010000\U0010FFFF"
+    df = spark.createDataFrame([(chars,)], "r string")
+    keep = X.KEEP_WORD_CHARS
+    keep_sep = keep[:-1] + X.TOKEN_SEPARATORS[1:-1] + "]"
+    got = df.select(F.regexp_replace("r", keep, "").alias("a"), X.strip_symbols("r").alias("b"),
+                    F.regexp_replace("r", keep_sep, "").alias("c"),
+                    X.strip_symbols_keep_separators("r").alias("d")).first()
+    assert got["a"] == got["b"] and got["c"] == got["d"]
+    assert len(got["a"]) == 26 * 2 + 10 + (0x1EF9 - 0xE0 + 1)

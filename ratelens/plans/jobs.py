@@ -48,8 +48,13 @@ def run_review_jobs(lines: DataFrame, out_dir: str, pattern: str = STOPWORD_PATT
 
 
 def run_rating_jobs(star: R.RatingsStar, out_dir: str) -> dict[str, str]:
-    """Writes every rating report as tab-separated folders."""
+    """Writes every rating report as tab-separated folders.
+
+    The ratings are joined with all user attributes once and staged, so the
+    gender, age and occupation reports share one shuffle of the fact."""
     out = out_dir.rstrip("/")
+    enriched = R.enrich_users(star)
+    star = R.RatingsStar(stage(enriched.ratings, "rated_users"), star.movies, star.users, star.occupations)
     reports = {
         "movie_mean_count": R.movie_mean_count(star),
         "movie_mean_by_title": R.movie_mean_by_title(star),

@@ -40,6 +40,30 @@ class RatingsStar:
     def titles(self) -> DataFrame:
         return self.movies.select("movie_id", "title")
 
+    def rated_with(self, *attrs: str, how: str = "left") -> DataFrame:
+        """Ratings carrying the given user attributes (NULL for an unknown
+        user). Ratings already enriched by ``enrich_users`` are used as is."""
+        if all(a in self.ratings.columns for a in attrs):
+            rated = self.ratings
+            if how == "inner" and "_user_known" in rated.columns:
+                rated = rated.where(F.col("_user_known"))
+            return rated
+        return lookup(self.ratings, self.users.select("user_key", *attrs), "user_key", how=how)
+
+
+USER_ATTRS = ("gender", "age", "occupation_id")
+
+
+def enrich_users(star: RatingsStar) -> RatingsStar:
+    """Attach every user attribute to the ratings with one join.
+
+    Reports by gender, age and occupation then reuse the enriched ratings
+    instead of each joining (and shuffling) the whole fact again; stage the
+    result (``sinks.stage``) when several reports read it."""
+    users = star.users.select("user_key", *USER_ATTRS).withColumn("_user_known", F.lit(True))
+    rated = lookup(star.ratings, users, "user_key", defaults={"_user_known": False})
+    return RatingsStar(rated, star.movies, star.users, star.occupations)
+
 
 def _with_titles(stats: DataFrame, star: RatingsStar, on_missing: str) -> DataFrame:
     how = "inner" if on_missing == "drop" else "left"
@@ -105,7 +129,7 @@ def gender_wide(star: RatingsStar) -> DataFrame:
     """movie_id, title, male_avg, female_avg: everything not 'M' (including
     unknown users) counts as female; an empty side is 0; a missing title
     shows the id."""
-    rated = lookup(star.ratings, star.users.select("user_key", "gender"), "user_key")
+    rated = star.rated_with("gender")
     male = F.col("gender") == "M"
     wide = conditional_means(rated, "movie_id", "rating",
                              {"male_avg": male, "female_avg": ~F.col("gender").eqNullSafe("M")},
@@ -117,8 +141,7 @@ def gender_wide(star: RatingsStar) -> DataFrame:
 def gender_long(star: RatingsStar) -> DataFrame:
     """movie_id, title, gender, avg_rating, n; unknown users form their own
     'Unknown' group, a missing title reads 'Unknown'."""
-    rated = lookup(star.ratings, star.users.select("user_key", "gender"), "user_key",
-                   defaults={"gender": UNKNOWN})
+    rated = star.rated_with("gender").withColumn("gender", F.coalesce("gender", F.lit(UNKNOWN)))
     stats = mean_count(rated, ["movie_id", "gender"])
     out = lookup(stats, star.titles, "movie_id", defaults=title_fallback("unknown"))
     return out.select("movie_id", "title", "gender", "avg_rating", "n").orderBy("movie_id", "gender")
@@ -126,7 +149,7 @@ def gender_long(star: RatingsStar) -> DataFrame:
 
 def _age_rated(star: RatingsStar, preset: str) -> DataFrame:
     """Ratings of known users with a known age, tagged with the age group."""
-    rated = lookup(star.ratings, star.users.select("user_key", "age"), "user_key", how="inner")
+    rated = star.rated_with("age", how="inner")
     return rated.withColumn("age_group", bucketize("age", preset)).where(F.col("age_group").isNotNull())
 
 
@@ -164,10 +187,15 @@ def occupation_mean(star: RatingsStar) -> DataFrame:
     """occupation_id, occupation, avg_rating, n. Unknown user -> (NULL,
     'Unknown'); unknown occupation id -> (id, 'Unknown'). The ratings are
     reduced per user key before the join (see ``mean_by_dimension``)."""
-    user_occ = lookup(star.users.select("user_key", "occupation_id"), star.occupations,
-                      "occupation_id", defaults={"occupation": UNKNOWN})
-    out = mean_by_dimension(star.ratings, user_occ, "user_key", ["occupation_id", "occupation"],
-                            defaults={"occupation": UNKNOWN})
+    if "occupation_id" in star.ratings.columns:  # already enriched: group, then name
+        partial = sum_count(star.ratings, "occupation_id")
+        named = lookup(partial, star.occupations, "occupation_id", defaults={"occupation": UNKNOWN})
+        out = finish(combine(named, ["occupation_id", "occupation"]))
+    else:
+        user_occ = lookup(star.users.select("user_key", "occupation_id"), star.occupations,
+                          "occupation_id", defaults={"occupation": UNKNOWN})
+        out = mean_by_dimension(star.ratings, user_occ, "user_key", ["occupation_id", "occupation"],
+                                defaults={"occupation": UNKNOWN})
     return (out.select("occupation_id", "occupation", "avg_rating", "n")
             .orderBy(F.desc("avg_rating"), F.asc_nulls_last("occupation_id"), "occupation"))
 

@@ -29,8 +29,25 @@ from ratelens.functions.time import epoch_seconds
 REVIEW_HEADER = "id;review;aspect;category;sentiment"
 
 
+# Read schemas of the driver tables: only the columns the entities use.
+# Declaring them skips the schema-inference job of every parquet read and
+# fixes the types the reports rely on.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_type string",
+    "nation": "n_nationkey int, n_name string",
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "labels": "doc_id bigint, quality int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def balanced(df: DataFrame) -> DataFrame:

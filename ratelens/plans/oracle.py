@@ -73,20 +73,40 @@ pr as (select try_cast({_ex(1)} as integer) as id, {_ex(2)} as review, {_ex(3)}
        from lines where not regexp_full_match(line, 'id;.*'))"""
 
 # Stop-word removal without \\b (RE2's \\b is ASCII-only): split the text into
-# runs of word / non-word characters and drop runs equal to a stop word.
-# Only the single-word entries of the fixed pattern are used: the multi-word entries that are
-# not shadowed by an earlier shorter word ('bao giờ', 'bao lâu',
-# 'bao nhiêu', 'hôm nay', 'hôm qua') would need phrase matching; none of
-# them occurs in the documents table.
-_STOP_SINGLE = [w for w in STOPWORD_PATTERN[len(r"\b("):-len(r")\b")].split("|") if " " not in w]
-_STOP_LIST = "[" + ", ".join(f"'{w}'" for w in _STOP_SINGLE) + "]"
+# maximal runs of word / non-word characters; drop word runs equal to a
+# single-word stop word, and the three runs of a two-word stop phrase
+# ("w1", " ", "w2"). A phrase whose first word appears earlier in the
+# alternation as a single word can never match (the single word wins), so
+# only the other phrases are matched.
+_ALTS = STOPWORD_PATTERN[len(r"\b("):-len(r")\b")].split("|")
+_STOP_SINGLE = [w for w in _ALTS if " " not in w]
+_LIVE_PHRASES: dict[str, list[str]] = {}
+for _i, _alt in enumerate(_ALTS):
+    if " " in _alt and _alt.split(" ")[0] not in _ALTS[:_i]:
+        _w1, _w2 = _alt.split(" ")
+        _LIVE_PHRASES.setdefault(_w1, []).append(_w2)
+
+
+def _sql_list(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+def _phrase_at(first: str, second: str) -> str:
+    return " or ".join(f"({first} = '{w1}' and {second} in {_sql_list(w2s)})" for w1, w2s in _LIVE_PHRASES.items())
+
+
+_DROP_RUN = (f"x in {_sql_list(_STOP_SINGLE)}"
+             f" or (l[i + 1] = ' ' and ({_phrase_at('x', 'l[i + 2]')}))"
+             f" or (i > 1 and x = ' ' and ({_phrase_at('l[i - 1]', 'l[i + 1]')}))"
+             f" or (i > 2 and l[i - 1] = ' ' and ({_phrase_at('l[i - 2]', 'x')}))")
 _WORD = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}"
-_NO_STOP = (f"array_to_string(list_filter(regexp_extract_all(lower(review), '[{_WORD}]+|[^{_WORD}]+'), "
-            f"lambda x: not list_contains({_STOP_LIST}, x)), '')")
+_NO_STOP = ("array_to_string(list_filter(l, lambda x, i: not coalesce(" + _DROP_RUN + ", false)), '')")
 _CLEAN = (f"regexp_replace(regexp_replace(regexp_replace({_NO_STOP}, '[[:punct:]]', ' ', 'g'), "
           f"'[\\t\\n\\x0B\\f\\r ]{{2,}}', ' ', 'g'), '{_TRIM_RX}', '', 'g')")
 CLEANED = PARSED + f""",
-c as (select id, {_CLEAN} as review, aspect, category, sentiment from pr)"""
+runs as (select id, regexp_extract_all(lower(review), '[{_WORD}]+|[^{_WORD}]+') as l, review is null as no_review,
+                aspect, category, sentiment from pr),
+c as (select id, case when no_review then null else {_CLEAN} end as review, aspect, category, sentiment from runs)"""
 
 _TOKENS = "list_filter(regexp_split_to_array({x}, '[ \",()*]'), lambda t: t <> '')"
 

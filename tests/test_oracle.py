@@ -31,3 +31,26 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["movie_id", "title", "avg_rating", "n"]
     assert df.count() > 0
+
+
+EDGE_TEXTS = [
+    "ôi bao giờ bao bao lâu hôm nay, bao  giờ có", "Chúng tôi ở đây; có thể đã từng tại sao?",
+    "bao nhiêu tiền hôm qua", "hômnay baogiờ bao-giờ", "là của và", "x là y", "", "một hai ba",
+    "tốt!!  rất   tốt\t", "Ừm ừ ạ à ư ở nhé nha",
+]
+
+
+def test_cleaning_oracle_matches_spark_on_edge_texts(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+    from ratelens.functions.text import clean_review
+    from ratelens.plans import oracle as O
+    con = duckdb.connect()
+    con.execute("create table pr (k integer, review varchar)")
+    con.executemany("insert into pr values (?, ?)", list(enumerate(EDGE_TEXTS)))
+    sql = (f"with runs as (select k, regexp_extract_all(lower(review), '[{O._WORD}]+|[^{O._WORD}]+') as l "
+           f"from pr) select k, {O._CLEAN} from runs order by k")
+    duck = [r[1] for r in con.execute(sql).fetchall()]
+    df = spark.createDataFrame(list(enumerate(EDGE_TEXTS)), "k int, review string")
+    sp = [r[0] for r in df.orderBy("k").select(clean_review(F.col("review"))).collect()]
+    assert sp == duck

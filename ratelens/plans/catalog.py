@@ -76,7 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_wide_sentence": lambda spark, d: _age_sentence(star(spark, d)),
     # reviews
     "reviews_parse": parsed_reviews,
-    "reviews_clean": lambda spark, d: V.sorted_reviews(cleaned_reviews(spark, d)),
+    "reviews_clean": lambda spark, d: V.clean_sorted_reviews(parsed_reviews(spark, d)),
     "top5_words": _clean(V.top_words, k=5),
     "category_count": _clean(V.count_by, key="category"),
     "aspect_count": _clean(V.count_by, key="aspect"),

@@ -120,3 +120,14 @@ def test_complement_classes_equal_negated_classes(spark):
                     X.strip_symbols_keep_separators("r").alias("d")).first()
     assert got["a"] == got["b"] and got["c"] == got["d"]
     assert len(got["a"]) == 26 * 2 + 10 + (0x1EF9 - 0xE0 + 1)
+
+
+def test_clean_sorted_reviews_order_and_values(spark):
+    from conftest import SF_SMALL
+    import __spark_entry__ as E
+    from ratelens.plans.catalog import parsed_reviews
+    got = E.queries()["reviews_clean"](spark, SF_SMALL).collect()
+    keys = [(r["id"] is not None, r["id"], r["aspect"], r["category"]) for r in got]
+    assert keys == sorted(keys, key=lambda k: (k[0], k[1] if k[1] is not None else 0, k[2] or "", k[3] or ""))
+    direct = V.sorted_reviews(V.clean_reviews(parsed_reviews(spark, SF_SMALL))).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in direct]

@@ -28,3 +28,25 @@ def test_rating_jobs_write_every_report(spark, tmp_path):
     assert len(out) == 12
     for name, path in out.items():
         assert spark.read.text(path).count() > 0, name
+
+
+def test_command_line_ratings(spark, star_files, tmp_path):
+    from ratelens.__main__ import main
+    f = star_files
+    out = main(["ratings", "--ratings", f["ratings_1.txt"], f["ratings_2.txt"], "--movies", f["movies.txt"],
+                "--users", f["users.txt"], "--occupations", f["occupation.txt"], "--out", str(tmp_path / "o")],
+               spark=spark)
+    lines = sorted(r[0] for r in spark.read.text(out["occupation_mean"]).collect())
+    assert lines == sorted(["7\tUnknown\t5.0\t1", "\tUnknown\t4.0\t1", "1\tProgrammer\t2.75\t2"])
+
+
+def test_command_line_reviews(spark, write_files, tmp_path):
+    from ratelens.__main__ import main
+    f = write_files({"hotel-review.csv": "id;review;aspect;category;sentiment\n"
+                                         "1;Phòng rất sạch!;CLEANLINESS;ROOMS;positive\n"
+                                         "2;Phòng ồn, không ngủ được;COMFORT;ROOMS;negative\n",
+                     "stopwords_regex.txt": "\\b(rất|được)\\b\n"})
+    out = main(["reviews", "--input", f["hotel-review.csv"], "--stopwords", f["stopwords_regex.txt"],
+                "--out", str(tmp_path / "o")], spark=spark)
+    cleaned = sorted(r[0] for r in spark.read.text(out["reviews_clean"]).collect())
+    assert cleaned == ["1\tphòng sạch\tCLEANLINESS\tROOMS\tpositive", "2\tphòng ồn không ngủ\tCOMFORT\tROOMS\tnegative"]

@@ -77,12 +77,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # reviews
     "reviews_parse": parsed_reviews,
     "reviews_clean": lambda spark, d: V.clean_sorted_reviews(parsed_reviews(spark, d)),
-    "top5_words": _clean(V.top_words, k=5),
+    "top_words_k": _clean(V.top_words, k=5),
     "category_count": _clean(V.count_by, key="category"),
     "aspect_count": _clean(V.count_by, key="aspect"),
-    "top1_aspect_positive": _clean(V.top_aspect, sentiment="positive"),
-    "top1_aspect_negative": _clean(V.top_aspect, sentiment="negative"),
-    "top5_words_category_positive": _clean(V.top_words_for_sentiment, sentiment="positive"),
-    "top5_words_category_negative": _clean(V.top_words_for_sentiment, sentiment="negative"),
-    "top5_words_category": _clean(V.top_symbol_stripped_words, k=5),
+    "top_aspect_positive": _clean(V.top_aspect, sentiment="positive"),
+    "top_aspect_negative": _clean(V.top_aspect, sentiment="negative"),
+    "top_words_category_positive": _clean(V.top_words_for_sentiment, sentiment="positive"),
+    "top_words_category_negative": _clean(V.top_words_for_sentiment, sentiment="negative"),
+    "top_words_category": _clean(V.top_symbol_stripped_words, k=5),
 }

@@ -27,16 +27,16 @@ def run_review_jobs(lines: DataFrame, out_dir: str, pattern: str = STOPWORD_PATT
     by_sentiment = V.top_words_by_category(cleaned, ("positive", "negative"), k)
     paths = {
         f"{out}/reviews_clean": V.sorted_reviews(cleaned),
-        f"{out}/top5_words": V.top_words(cleaned, k),
+        f"{out}/top_words_k": V.top_words(cleaned, k),
         f"{out}/category_count": V.count_by(cleaned, "category"),
         f"{out}/aspect_count": V.count_by(cleaned, "aspect"),
-        f"{out}/top1_aspect_negative": V.top_aspect(cleaned, "negative"),
-        f"{out}/top1_aspect_positive": V.top_aspect(cleaned, "positive"),
-        f"{out}/top5_words_category_positive":
+        f"{out}/top_aspect_negative": V.top_aspect(cleaned, "negative"),
+        f"{out}/top_aspect_positive": V.top_aspect(cleaned, "positive"),
+        f"{out}/top_words_category_positive":
             by_sentiment.where(F.col("sentiment") == "positive").select("category", "word", "freq"),
-        f"{out}/top5_words_category_negative":
+        f"{out}/top_words_category_negative":
             by_sentiment.where(F.col("sentiment") == "negative").select("category", "word", "freq"),
-        f"{out}/top5_words_category": V.top_symbol_stripped_words(cleaned, k),
+        f"{out}/top_words_category": V.top_symbol_stripped_words(cleaned, k),
     }
     # The per-sentiment top words come from one pass; keep that small result.
     by_sentiment.persist(StorageLevel.MEMORY_AND_DISK)

@@ -268,19 +268,19 @@ select id, review, aspect, category, sentiment from pr""",
     "reviews_clean": f"""with {CLEANED}
 select id, review, aspect, category, sentiment from c""",
 
-    "top5_words": f"""with {CLEANED},
+    "top_words_k": f"""with {CLEANED},
 w as (select unnest({_TOKENS.format(x='lower(review)')}) as word from c)
 select word, count(word) as freq from w where word is not null and word <> ''
 group by word order by freq desc, word limit 5""",
 
     "category_count": _count_by("category"),
     "aspect_count": _count_by("aspect"),
-    "top1_aspect_positive": _top_aspect("positive"),
-    "top1_aspect_negative": _top_aspect("negative"),
-    "top5_words_category_positive": _top_words_sentiment("positive"),
-    "top5_words_category_negative": _top_words_sentiment("negative"),
+    "top_aspect_positive": _top_aspect("positive"),
+    "top_aspect_negative": _top_aspect("negative"),
+    "top_words_category_positive": _top_words_sentiment("positive"),
+    "top_words_category_negative": _top_words_sentiment("negative"),
 
-    "top5_words_category": f"""with {CLEANED},
+    "top_words_category": f"""with {CLEANED},
 w0 as (select aspect, category, unnest({_TOKENS.format(x='lower(review)')}) as tok from c),
 w as (select aspect, category, regexp_replace(tok, '[^a-zA-Zà-ỹ0-9]', '', 'g') as word from w0),
 k as (select category, word, count(aspect) as cnt from w where word is not null and word <> ''

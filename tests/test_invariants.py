@@ -56,9 +56,9 @@ def test_category_and_aspect_counts_agree(q):
 
 
 def test_sentiment_words_within_all_sentiment_words(q):
-    total = {(r["category"], r["word"]): r["cnt"] for r in q("top5_words_category")}
-    pos = {(r["category"], r["word"]): r["freq"] for r in q("top5_words_category_positive")}
-    neg = {(r["category"], r["word"]): r["freq"] for r in q("top5_words_category_negative")}
+    total = {(r["category"], r["word"]): r["cnt"] for r in q("top_words_category")}
+    pos = {(r["category"], r["word"]): r["freq"] for r in q("top_words_category_positive")}
+    neg = {(r["category"], r["word"]): r["freq"] for r in q("top_words_category_negative")}
     for key in set(total) & set(pos) & set(neg):
         assert pos[key] + neg[key] <= total[key]
 

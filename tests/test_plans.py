@@ -26,14 +26,14 @@ def test_no_python_in_any_plan(spark, name):
         assert node not in text, f"{name} runs Python: {node}"
 
 
-@pytest.mark.parametrize("name", ["top5_words_category", "top5_words_category_positive",
-                                  "top5_words_category_negative"])
+@pytest.mark.parametrize("name", ["top_words_category", "top_words_category_positive",
+                                  "top_words_category_negative"])
 def test_per_group_top_k_limits_before_shuffle(spark, name):
     text = formatted(E.queries()[name](spark, SF_SMALL))
     assert text.count("WindowGroupLimit") >= 2  # partial (map side) + final
 
 
-@pytest.mark.parametrize("name", ["top5_words", "top1_aspect_positive", "top1_aspect_negative"])
+@pytest.mark.parametrize("name", ["top_words_k", "top_aspect_positive", "top_aspect_negative"])
 def test_global_top_k_is_take_ordered(spark, name):
     assert "TakeOrderedAndProject" in formatted(E.queries()[name](spark, SF_SMALL))
 

@@ -37,7 +37,7 @@ def test_review_jobs_write_all_outputs(spark, tmp_path):
     out = run_review_jobs(review_lines(spark, SF_SMALL), str(tmp_path / "reviews"))
     assert len(out) == 9
     schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("freq", T.LongType())])
-    top = S.read_delimited(spark, out["top5_words"], schema, sep="\t")
+    top = S.read_delimited(spark, out["top_words_k"], schema, sep="\t")
     assert top.count() == 5
 
 

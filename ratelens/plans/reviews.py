@@ -26,7 +26,11 @@ def clean_reviews(parsed: DataFrame, pattern=STOPWORD_PATTERN) -> DataFrame:
 
 
 def sorted_reviews(cleaned: DataFrame) -> DataFrame:
-    return cleaned.orderBy("id", "aspect", "category")
+    """Ordered by id, aspect, category. The order among equal keys is
+    unspecified, so a per-row tiebreaker is added: rows sharing one key
+    (junk lines with NULL keys, copies of one review) can then be split
+    across range partitions instead of all landing in one task."""
+    return cleaned.orderBy("id", "aspect", "category", F.monotonically_increasing_id())
 
 
 def clean_sorted_reviews(parsed: DataFrame, pattern=STOPWORD_PATTERN) -> DataFrame:

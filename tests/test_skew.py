@@ -60,3 +60,23 @@ def test_hot_user_occupation_report_joins_one_row_per_key(spark):
     assert [(r["occupation"], r["n"]) for r in got] == [("Programmer", 300_000)]
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[user_key" in text
+
+
+def test_global_sort_splits_rows_with_one_key(spark):
+    """A third of the lines are copies of one junk line (all keys NULL);
+    the sorted output must not put them all in one partition."""
+    from ratelens.plans.reviews import sorted_reviews
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("int").alias("id"),
+        F.lit("text").alias("review"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("A")).alias("aspect"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("C")).alias("category"),
+        F.lit("positive").alias("sentiment")).repartition(8)
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}):
+        out = sorted_reviews(df).select("id", F.spark_partition_id().alias("p"))
+        per_part = {r["p"]: r["c"] for r in out.where(F.col("id").isNull()).groupBy("p")
+                    .agg(F.count("*").alias("c")).collect()}
+        ids = [r["id"] for r in sorted_reviews(df).select("id").collect()]
+    assert max(per_part.values()) < n // 3  # the NULL-key rows span several partitions
+    assert ids[: n // 3] == [None] * (n // 3) and ids[n // 3:] == sorted(ids[n // 3:])

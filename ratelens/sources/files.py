@@ -137,16 +137,29 @@ def parse_review_lines(lines: DataFrame, value: str = "line") -> DataFrame:
     """``id;review;aspect;category;sentiment`` lines to columns.
 
     The header (a line fully matching ``id;.*``) is removed; a line that
-    does not match the layout is kept with all five columns NULL; an id that
-    is not a number is NULL."""
+    does not match ``REVIEW_LINE_REGEX`` is kept with all five columns NULL;
+    an id that is not a number is NULL.
+
+    The regex runs once per line, as a guard. When it matches, its groups
+    are exactly the ';'-separated fields: the first field is the id, the
+    last three are aspect, category and sentiment (``[^;]+`` cannot hold a
+    ';'), and the review is everything in between (it may hold ';'). So the
+    fields are cut with ``split`` instead of five more regex evaluations.
+    """
     v = F.col(value)
     body = lines.where(~full_match(v, REVIEWS_HEADER_REGEX))
+    ok = v.rlike(REVIEW_LINE_REGEX)
+    parts = F.split(v, ";")
+    n = F.size(parts)
+
+    def field(i):
+        return F.when(ok, F.get(parts, i))
     return body.select(
-        loose_int(extract_or_null(v, REVIEW_LINE_REGEX, 1)).alias("id"),
-        extract_or_null(v, REVIEW_LINE_REGEX, 2).alias("review"),
-        extract_or_null(v, REVIEW_LINE_REGEX, 3).alias("aspect"),
-        extract_or_null(v, REVIEW_LINE_REGEX, 4).alias("category"),
-        extract_or_null(v, REVIEW_LINE_REGEX, 5).alias("sentiment"),
+        loose_int(field(0)).alias("id"),
+        F.when(ok, F.array_join(F.slice(parts, F.lit(2), n - 4), ";")).alias("review"),
+        field(n - 3).alias("aspect"),
+        field(n - 2).alias("category"),
+        field(n - 1).alias("sentiment"),
     )
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from ratelens.sources import files as S
@@ -105,3 +106,31 @@ def test_driver_tables_roles(spark):
     assert r.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     lines = T.review_lines(spark, SF_SMALL)
     assert lines.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count() + 1
+
+
+EDGE_LINES = [
+    "7;Phòng đẹp; sạch, và tốt!;CLEANLINESS;ROOMS;positive", "1;r;a;c;s", "1;;a;c;s", "1;r;a;c;",
+    ";r;a;c;s", "1;r;;c;s", "1;r;a;c;s;", "1;a;b;c;d;e;f;g", "1;r\u2028x;a;c;s", "1;r;a;c;s\u2028",
+    "1\n2;r;a;c;s", "1;r\rx;a;c;s", "1;r;a;c;s\n", "1;r\u0085;a;c;s", "x;bad id;GENERAL;HOTEL;neutral",
+    "junk", "", ";;;;", "1;;;;;", "12.5; r ;A ;C; s ", "id;looks;like;a;header",
+]
+
+
+def test_split_parse_equals_regex_groups(spark):
+    """The one-regex parse gives exactly the five regex groups (or NULLs)."""
+    from collections import Counter
+
+    from conftest import SF_SMALL
+    from ratelens.functions.text import extract_or_null, full_match, loose_int
+    from ratelens.sources.tables import review_lines
+    lines = review_lines(spark, SF_SMALL).unionByName(
+        spark.createDataFrame([(e,) for e in EDGE_LINES], "line string"))
+    rx, v = S.REVIEW_LINE_REGEX, F.col("line")
+    by_regex = lines.where(~full_match(v, S.REVIEWS_HEADER_REGEX)).select(
+        loose_int(extract_or_null(v, rx, 1)).alias("id"),
+        *[extract_or_null(v, rx, i).alias(c) for i, c in [(2, "review"), (3, "aspect"), (4, "category"),
+                                                          (5, "sentiment")]])
+    a = Counter(tuple(r) for r in by_regex.collect())
+    b = Counter(tuple(r) for r in S.parse_review_lines(lines).collect())
+    assert a == b
+    assert sum(a.values()) == lines.count() - 2  # the header and the header-like edge line

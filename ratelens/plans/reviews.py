@@ -66,13 +66,17 @@ def count_by(cleaned: DataFrame, key: str, counted: str = "id", out: str = "tota
 def top_aspect(cleaned: DataFrame, sentiment: str, k: int = 1) -> DataFrame:
     """aspect, total_<sentiment>: the aspect(s) with most reviews of the
     given sentiment (trimmed aspect, trimmed lower-case sentiment, both
-    non-NULL); ties go to the smaller aspect."""
+    non-NULL); ties go to the smaller aspect.
+
+    Written as one conditional count per aspect, with empty groups dropped
+    after the aggregate: a filter before it would be pushed below the
+    parse and re-evaluate the parse expressions for every row."""
     out = f"total_{sentiment}"
-    clean = cleaned.select(java_trim("aspect").alias("aspect"),
-                           F.lower(java_trim("sentiment")).alias("sentiment"))
-    clean = clean.where(F.col("aspect").isNotNull() & F.col("sentiment").isNotNull())
-    counts = (clean.where(F.col("sentiment") == sentiment)
-              .groupBy("aspect").agg(F.count("aspect").alias(out)))
+    aspect = java_trim("aspect")
+    hit = F.lower(java_trim("sentiment")) == sentiment
+    counts = (cleaned.groupBy(aspect.alias("aspect"))
+              .agg(F.count(F.when(hit, F.col("aspect"))).alias(out))
+              .where(F.col(out) > 0))
     return top_k(counts, k, [F.desc(out), "aspect"])
 
 
@@ -81,11 +85,15 @@ def top_words_by_category(cleaned: DataFrame, sentiments: Sequence[str] = ("posi
     """sentiment, category, word, freq: the ``k`` most frequent words of at
     least ``min_chars`` characters per (sentiment, category), for all
     requested sentiments in one pass. Rows without id are skipped; a word
-    counts when its category is non-NULL."""
-    data = cleaned.where(F.col("id").isNotNull()).select(
-        "review", "category", F.lower(java_trim("sentiment")).alias("sentiment"))
-    data = data.where(F.col("sentiment").isin(list(sentiments)))
-    words = _words(data, "review", "sentiment", "category")
+    counts when its category is non-NULL.
+
+    The row condition sits inside the explode (a non-qualifying review
+    yields no token) rather than in a filter that Catalyst would push
+    below the parse, re-evaluating it."""
+    sentiment = F.lower(java_trim("sentiment"))
+    qualifies = F.col("id").isNotNull() & sentiment.isin(list(sentiments))
+    words = cleaned.select(sentiment.alias("sentiment"), "category",
+                           F.explode(F.when(qualifies, tokens("review"))).alias("word"))
     words = words.where(F.col("word").isNotNull() & (F.char_length("word") >= min_chars))
     counts = words.groupBy("sentiment", "category", "word").agg(F.count("category").alias("freq"))
     return top_k_per_group(counts, ["sentiment", "category"], [F.desc("freq"), "word"], k)

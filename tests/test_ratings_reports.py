@@ -144,3 +144,28 @@ def test_pivot_means_matches_conditional_means(spark):
     p = sorted(rows(pivot_means(df, "k", "g", ["a", "b", "c"])))
     c = sorted(rows(conditional_means(df, "k", "rating", {x: F.col("g") == x for x in "abc"})))
     assert p == c == [(1, 1.5, 4.0, None), (2, None, 3.0, None)]
+
+
+def test_support_thresholds_at_4_5_49_50(spark):
+    counts = {1: 4, 2: 5, 3: 49, 4: 50}
+    means = {1: 5.0, 2: 4.0, 3: 4.5, 4: 3.0}
+    data = [(u, m, means[m], 0) for m, c in counts.items() for u in range(c)]
+    ratings = spark.createDataFrame(data, "user_key int, movie_id int, rating double, ts long")
+    movies = spark.createDataFrame([(m, f"M{m}", "A") for m in counts], "movie_id int, title string, genres string")
+    star = RatingsStar(ratings, movies, None)
+    assert rows(R.best_movie(star, 5), "movie_id", "n")[0] == (3, 49)        # 4 ratings is too few
+    assert rows(R.best_movie(star, 50, rounded=True), "movie_id", "n")[0] == (4, 50)  # 49 is too few
+    assert rows(R.best_movie(star, 51), "result")[0] == ("No movies has at least 51 ratings.",)
+
+
+def test_missing_gender_and_age_cells_in_reports(spark, write_files):
+    from ratelens.sources import files as S
+    f = write_files({"users.txt": "1,M,30,1\n2,,40,1\n3,F,,1\n", "movies.txt": "10,Film (2000),Drama\n",
+                     "ratings.txt": "1,10,4.0,0\n2,10,2.0,0\n3,10,3.0,0\n"})
+    star = RatingsStar(S.read_ratings(spark, f["ratings.txt"]), S.read_movies(spark, f["movies.txt"]),
+                       S.read_users(spark, f["users.txt"]))
+    # missing gender: not 'M', so female in the wide form and 'Unknown' in the long form
+    assert rows(R.gender_wide(star), "male_avg", "female_avg") == [(4.0, 2.5)]
+    assert sorted(rows(R.gender_long(star), "gender", "n")) == [("F", 1), ("M", 1), ("Unknown", 1)]
+    # missing age: the user drops out of the age reports
+    assert rows(R.age_long(star, "five"), "age_group", "n") == [("26-35", 1), ("36-50", 1)]

@@ -138,13 +138,22 @@ def gender_wide(star: RatingsStar) -> DataFrame:
     return out.select("movie_id", "title", "male_avg", "female_avg").orderBy("title", "movie_id")
 
 
-def gender_long(star: RatingsStar) -> DataFrame:
+def _id_key(col: str, id_order: str):
+    """Sort key for ids: ``numeric`` (default) or ``string`` (as text, so
+    that 1010 sorts before 999)."""
+    if id_order not in ("numeric", "string"):
+        raise ValueError(f"id_order must be 'numeric' or 'string', got {id_order!r}")
+    return F.col(col) if id_order == "numeric" else F.col(col).cast("string")
+
+
+def gender_long(star: RatingsStar, id_order: str = "numeric") -> DataFrame:
     """movie_id, title, gender, avg_rating, n; unknown users form their own
     'Unknown' group, a missing title reads 'Unknown'."""
     rated = star.rated_with("gender").withColumn("gender", F.coalesce("gender", F.lit(UNKNOWN)))
     stats = mean_count(rated, ["movie_id", "gender"])
     out = lookup(stats, star.titles, "movie_id", defaults=title_fallback("unknown"))
-    return out.select("movie_id", "title", "gender", "avg_rating", "n").orderBy("movie_id", "gender")
+    return (out.select("movie_id", "title", "gender", "avg_rating", "n")
+            .orderBy(_id_key("movie_id", id_order), "gender"))
 
 
 def _age_rated(star: RatingsStar, preset: str) -> DataFrame:
@@ -174,13 +183,13 @@ def age_wide_text(star: RatingsStar, preset: str = "four", missing: str = "NA")
     return wide.select("movie_id", "title", *[fixed2_or(c, missing).alias(c) for c in cols])
 
 
-def age_long(star: RatingsStar, preset: str = "five") -> DataFrame:
+def age_long(star: RatingsStar, preset: str = "five", id_order: str = "numeric") -> DataFrame:
     """movie_id, title, age_group, avg_rating, n; unknown users and unknown
     movies are dropped; groups in age order."""
     stats = mean_count(_age_rated(star, preset), ["movie_id", "age_group"])
     out = lookup(stats, star.titles, "movie_id", how="inner")
     return (out.select("movie_id", "title", "age_group", "avg_rating", "n")
-            .orderBy("movie_id", bucket_ordinal("age_group", preset)))
+            .orderBy(_id_key("movie_id", id_order), bucket_ordinal("age_group", preset)))
 
 
 def occupation_mean(star: RatingsStar) -> DataFrame:

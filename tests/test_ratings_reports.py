@@ -169,3 +169,15 @@ def test_missing_gender_and_age_cells_in_reports(spark, write_files):
     assert sorted(rows(R.gender_long(star), "gender", "n")) == [("F", 1), ("M", 1), ("Unknown", 1)]
     # missing age: the user drops out of the age reports
     assert rows(R.age_long(star, "five"), "age_group", "n") == [("26-35", 1), ("36-50", 1)]
+
+
+def test_id_order_option(spark):
+    ratings = spark.createDataFrame([(1, 999, 4.0, 0), (1, 1010, 3.0, 0)], "user_key int, movie_id int, rating double, ts long")
+    movies = spark.createDataFrame([(999, "A", "x"), (1010, "B", "x")], "movie_id int, title string, genres string")
+    users = spark.createDataFrame([(1, 1, "M", 30, 1)], "user_key int, user_id int, gender string, age int, occupation_id int")
+    star = RatingsStar(ratings, movies, users)
+    assert rows(R.gender_long(star), "movie_id") == [(999,), (1010,)]
+    assert rows(R.gender_long(star, id_order="string"), "movie_id") == [(1010,), (999,)]
+    assert rows(R.age_long(star, id_order="string"), "movie_id") == [(1010,), (999,)]
+    with pytest.raises(ValueError):
+        R.gender_long(star, id_order="alpha")

@@ -26,8 +26,9 @@ MULTI_SPACE = r"\s{2,}"
 # ---------------------------------------------------------------------------
 
 # Leading/trailing characters <= U+0020, as Java's String.trim removes them
-# (Spark's trim removes spaces only).
+# (Spark's one-argument trim removes spaces only).
 _EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_JAVA_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
 
 
 def _col(c) -> Column:
@@ -35,7 +36,9 @@ def _col(c) -> Column:
 
 
 def java_trim(c) -> Column:
-    return F.regexp_replace(_col(c), _EDGE_CONTROL, "")
+    """Strip every character <= U+0020 from both ends (no regex: Spark's
+    two-argument trim removes any of the given characters)."""
+    return F.trim(_col(c), F.lit(_JAVA_TRIM_CHARS))
 
 
 _WORD_LIST = re.compile(r"\\b\(([^()\[\]{}.*+?^$\\|]+(?:\|[^()\[\]{}.*+?^$\\|]+)*)\)\\b")

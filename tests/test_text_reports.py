@@ -131,3 +131,12 @@ def test_clean_sorted_reviews_order_and_values(spark):
     assert keys == sorted(keys, key=lambda k: (k[0], k[1] if k[1] is not None else 0, k[2] or "", k[3] or ""))
     direct = V.sorted_reviews(V.clean_reviews(parsed_reviews(spark, SF_SMALL))).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in direct]
+
+
+def test_java_trim_equals_edge_regex(spark):
+    edge = "".join(chr(c) for c in range(0x21))
+    samples = [edge + "a b" + edge, "\x00x\x00", "  y  ", " z ", "", edge, "plain", None]
+    df = spark.createDataFrame([(v,) for v in samples], "r string")
+    got = df.select(X.java_trim("r").alias("a"), F.regexp_replace("r", X._EDGE_CONTROL, "").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+    assert [r["a"] for r in got][:2] == ["a b", "x"]

@@ -41,19 +41,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is read
-    as is. Only when it is unset (local tests) a scratch folder is created.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder named by the session (``spark.checkpoint.dir``
+    or one set on the SparkContext). Library code only ever writes there; it
+    never falls back to a machine-local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="ratelens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
+    if not current:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return sc.getCheckpointDir()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """For local sessions (tests, benchmark) only: use the configured folder,
+    or create a scratch one when none is set."""
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ratelens-ckpt-"))
+    return checkpoint_dir(spark)

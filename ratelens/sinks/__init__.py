@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.session import ensure_checkpoint_dir
+from ratelens.session import checkpoint_dir
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -59,7 +59,7 @@ def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     and read it back: a hand-off between jobs that cuts lineage and survives
     executor loss (the folder is named by ``spark.checkpoint.dir``)."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/staged-{name or 'df'}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -67,5 +67,5 @@ def stage(df: DataFrame, name: str | None = None) -> DataFrame:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

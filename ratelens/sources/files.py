@@ -185,8 +185,9 @@ def read_stopword_pattern(spark: SparkSession, path: str) -> str:
 
 def read_routed(spark: SparkSession, paths, routes: dict[str, Callable[[DataFrame], DataFrame]]
                 ) -> dict[str, DataFrame]:
-    """One scan over mixed files; rows go to the parser of the first route
-    whose key is contained in the file name (e.g. 'users', 'ratings')."""
+    """Mixed files read as lines once; rows go to the parser of the first
+    route whose key is contained in the file name (e.g. 'users', 'ratings').
+    Each route's DataFrame filters the lines on ``_metadata.file_name``."""
     lines = read_lines(spark, paths, with_file_name=True)
     out, taken = {}, F.lit(False)
     for key, parse in routes.items():

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ratelens import schemas
 from ratelens.functions.time import year_utc
 from ratelens.operators.aggregate import mean_count
-from ratelens.session import ensure_checkpoint_dir
+from ratelens.session import checkpoint_dir
 from ratelens.sources.files import RATINGS_HEADER_PREFIX, parse_fields
 
 
@@ -47,7 +47,7 @@ def start(report: DataFrame, name: str, sink: str = "memory", path: str | None =
     """Start a complete-mode query; the checkpoint defaults to a folder
     under the session's shared checkpoint directory."""
     spark = report.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = checkpoint_dir(spark).rstrip("/")
     writer = (report.writeStream.outputMode("complete").queryName(name)
               .option("checkpointLocation", checkpoint or f"{base}/stream-{name}-{uuid.uuid4().hex[:8]}"))
     if sink == "memory":

@@ -62,3 +62,8 @@ def test_streaming_means_match_batch(spark, write_files):
         q.stop()
     batch = sorted(rows(mean_count(S.read_ratings(spark, folder), "movie_id"), "movie_id", "avg_rating", "n"))
     assert got == batch == [(10, 4.17, 3), (99, 2.0, 1)]
+
+
+def test_library_requires_shared_checkpoint_dir(spark):
+    from ratelens.session import checkpoint_dir
+    assert checkpoint_dir(spark)  # tests run with a folder set by local_session

@@ -62,10 +62,12 @@ def balanced(df: DataFrame) -> DataFrame:
     job is run. Column pruning still reaches the scan through the
     repartition.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

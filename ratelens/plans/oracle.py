@@ -57,8 +57,14 @@ _LINE_RX = r"^([^;]+);(.+);([^;]+);([^;]+);([^;]+)$"
 _TRIM_RX = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
+# Java's '.' does not match \r \n U+0085 U+2028 U+2029 (RE2's only skips \n),
+# so a line whose review part holds one of them does not parse.
+_LINE_OK = (f"(regexp_matches(line, '{_LINE_RX}') and not regexp_matches("
+            f"regexp_extract(line, '{_LINE_RX}', 2), '[\\r\\n\\x{{85}}\\x{{2028}}\\x{{2029}}]'))")
+
+
 def _ex(i: int) -> str:
-    return f"case when regexp_matches(line, '{_LINE_RX}') then regexp_extract(line, '{_LINE_RX}', {i}) end"
+    return f"case when {_LINE_OK} then regexp_extract(line, '{_LINE_RX}', {i}) end"
 
 
 PARSED = f"""rv as (select d.doc_id as id, d.text as review, d.source as aspect, d.lang as category,

@@ -71,3 +71,14 @@ def test_parse_oracle_matches_spark_on_edge_lines(spark):
     sp = sorted((tuple(r) for r in parse_review_lines(df).collect()), key=repr)
     # DuckDB truncates nothing: '12.5' casts to 13 there but not in Spark, so compare the text fields
     assert [t[1:] for t in sp] == [t[1:] for t in duck]
+
+
+@pytest.mark.parametrize("name", ["year_mean", "ratings_union_all"])
+def test_time_queries_ignore_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        info = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert info["values_match"] and info["spark_rows"] == info["duck_rows"], info

@@ -80,3 +80,32 @@ def test_global_sort_splits_rows_with_one_key(spark):
         ids = [r["id"] for r in sorted_reviews(df).select("id").collect()]
     assert max(per_part.values()) < n // 3  # the NULL-key rows span several partitions
     assert ids[: n // 3] == [None] * (n // 3) and ids[n // 3:] == sorted(ids[n // 3:])
+
+
+def test_co_bucketed_fact_and_dimension_join_without_exchange(spark, tmp_path):
+    """Ratings and users bucketed on user_key and read through the catalog:
+    the user join needs no exchange on either side."""
+    star = hot_star(spark, n=20_000)
+    star.ratings.write.bucketBy(8, "user_key").option("path", str(tmp_path / "r")).saveAsTable("rl_ratings_b")
+    star.users.write.bucketBy(8, "user_key").option("path", str(tmp_path / "u")).saveAsTable("rl_users_b")
+    try:
+        with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+            b = R.RatingsStar(spark.table("rl_ratings_b"), star.movies, spark.table("rl_users_b"))
+            df = R.gender_long(b)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            got = sum(r["n"] for r in df.collect())
+        lines = plan.split("\n")
+        at = next(i for i, line in enumerate(lines) if "SortMergeJoin [user_key" in line)
+        depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+        subtree = []
+        for line in lines[at + 1:]:
+            body = line.lstrip(" :+-")
+            if len(line) - len(body) <= depth:
+                break
+            subtree.append(body)
+        assert subtree and not any(b.startswith("Exchange") for b in subtree), subtree
+        assert got == 20_000
+    finally:
+        spark.sql("drop table if exists rl_ratings_b")
+        spark.sql("drop table if exists rl_users_b")

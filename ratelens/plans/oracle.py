@@ -74,7 +74,7 @@ lines as (select 'id;review;aspect;category;sentiment' as line
           union all
           select concat_ws(';', cast(id as varchar), regexp_replace(review, '\\r\\n|\\r|\\n', ' ', 'g'),
                            aspect, category, sentiment) from rv),
-pr as (select try_cast({_ex(1)} as integer) as id, {_ex(2)} as review, {_ex(3)} as aspect,
+pr as (select try_cast(trunc(try_cast({_ex(1)} as double)) as integer) as id, {_ex(2)} as review, {_ex(3)} as aspect,
               {_ex(4)} as category, {_ex(5)} as sentiment
        from lines where not regexp_full_match(line, 'id;.*'))"""
 

@@ -71,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # rendered report rows
     "movie_mean_count_text": lambda spark, d: P.fixed_width(R.movie_mean_count(star(spark, d)), P.MOVIE_ROW),
     "movie_sentence": lambda spark, d: P.movie_sentence(R.movie_mean_by_title(star(spark, d))),
+    "movie_report_with_result": _star(R.movie_report_with_result, min_n=5),
     "genre_mean_sentence": lambda spark, d: P.genre_sentence(R.genre_mean_count(star(spark, d))),
     "gender_wide_sentence": lambda spark, d: P.gender_sentence(R.gender_wide(star(spark, d))),
     "age_wide_sentence": lambda spark, d: _age_sentence(star(spark, d)),

@@ -252,6 +252,13 @@ select coalesce(p.p_name, cast(s.movie_id as varchar)) as title,
        printf('Average rating: %s (Total ratings: %d)', {_f2('s.sm / s.c')}, s.c) as value
 from s left join part p on p.p_partkey = s.movie_id""",
 
+    "movie_report_with_result": f"""with {RATINGS}, {MOVIE_SUMS}
+select coalesce(p.p_name, cast(s.movie_id as varchar)) as title,
+       printf('Average rating: %s (Total ratings: %d)', {_f2('s.sm / s.c')}, s.c) as value
+from s left join part p on p.p_partkey = s.movie_id
+union all
+select 'RESULT' as title, result as value from ({_best(5, rounded=False)})""",
+
     "genre_mean_sentence": f"""with {RATINGS}, {GENRES}
 select g.genre, printf('Avg: %s,    Count: %d', {_f2('sum(r.rating) / count(r.rating)')}, count(r.rating)) as value
 from r join g on g.movie_id = r.movie_id group by g.genre""",

@@ -104,6 +104,16 @@ def best_movie(star: RatingsStar, min_n: int = 5, rounded: bool = False,
     return best.withColumn("result", F.when(F.col("found"), found).otherwise(none)).drop("found")
 
 
+def movie_report_with_result(star: RatingsStar, min_n: int = 5) -> DataFrame:
+    """title, value: one sentence per movie, then a ``RESULT`` line naming
+    the best movie with at least ``min_n`` ratings (or saying none has)."""
+    from ratelens.functions.render import movie_sentence
+    lines = movie_sentence(movie_mean_by_title(star)).withColumn("_o", F.lit(0))
+    result = best_movie(star, min_n).select(F.lit("RESULT").alias("title"), F.col("result").alias("value"),
+                                            F.lit(1).alias("_o"))
+    return lines.unionByName(result).orderBy("_o", "title").drop("_o")
+
+
 # --- per genre --------------------------------------------------------------
 
 def genre_stats(star: RatingsStar) -> DataFrame:

@@ -181,3 +181,10 @@ def test_id_order_option(spark):
     assert rows(R.age_long(star, id_order="string"), "movie_id") == [(1010,), (999,)]
     with pytest.raises(ValueError):
         R.gender_long(star, id_order="alpha")
+
+
+def test_movie_report_ends_with_result_line(star):
+    got = rows(R.movie_report_with_result(star))
+    assert got == [("99", "Average rating: 2.00 (Total ratings: 1)"),
+                   ("First Film (1990)", "Average rating: 4.17 (Total ratings: 3)"),
+                   ("RESULT", "No movies has at least 5 ratings.")]

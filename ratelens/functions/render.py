@@ -15,13 +15,16 @@ from ratelens.functions.numeric import fixed2, fixed2_or
 def _text(c: str, kind: str) -> Column:
     if kind == "f2":
         return F.coalesce(fixed2(c), F.lit(""))
+    if kind == "u":
+        return F.coalesce(F.col(c).cast("string"), F.lit("Unknown"))
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
 def fixed_width(df: DataFrame, spec: Sequence[tuple[str, int, str]], sep: str = " | ",
                 out: str = "value") -> DataFrame:
     """One left-aligned, padded line per row. ``spec`` items are
-    ``(column, width, kind)`` with kind ``s`` (as text) or ``f2``."""
+    ``(column, width, kind)`` with kind ``s`` (as text, NULL empty), ``u``
+    (as text, NULL 'Unknown') or ``f2`` (two decimals)."""
     fmt = sep.join(f"%-{w}s" for _, w, _ in spec)
     return df.select(F.format_string(fmt, *[_text(c, k) for c, _, k in spec]).alias(out))
 
@@ -35,13 +38,14 @@ MOVIE_ROW = [("movie_id", 7, "s"), ("title", 60, "s"), ("avg_rating", 10, "f2"),
 MOVIE_LABELS = ["MovieID", "Title", "AvgRating", "TotalRatings"]
 GENRE_ROW = [("genre", 15, "s"), ("avg_rating", 10, "f2")]
 GENRE_LABELS = ["Genre", "AvgRating"]
-GENDER_ROW = [("movie_id", 7, "s"), ("title", 60, "s"), ("gender", 6, "s"), ("avg_rating", 10, "f2"),
+# The gender report prints its (already rounded) mean as a plain number: 4.0, 3.55.
+GENDER_ROW = [("movie_id", 7, "s"), ("title", 60, "s"), ("gender", 6, "s"), ("avg_rating", 10, "s"),
               ("n", 10, "s")]
 GENDER_LABELS = ["MovieID", "Title", "Gender", "AvgRating", "TotalRatings"]
 AGE_ROW = [("movie_id", 7, "s"), ("title", 60, "s"), ("age_group", 10, "s"), ("avg_rating", 10, "f2"),
            ("n", 12, "s")]
 AGE_LABELS = ["MovieID", "Title", "AgeGroup", "AvgRating", "TotalRatings"]
-OCCUPATION_ROW = [("occupation_id", 5, "s"), ("occupation", 20, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]
+OCCUPATION_ROW = [("occupation_id", 5, "u"), ("occupation", 20, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]
 OCCUPATION_LABELS = ["ID", "Occupation", "AvgRating", "TotalRatings"]
 YEAR_ROW = [("year", 8, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]
 YEAR_LABELS = ["Year", "AvgRating", "TotalRatings"]

@@ -72,6 +72,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "movie_mean_count_text": lambda spark, d: P.fixed_width(R.movie_mean_count(star(spark, d)), P.MOVIE_ROW),
     "movie_sentence": lambda spark, d: P.movie_sentence(R.movie_mean_by_title(star(spark, d))),
     "movie_report_with_result": _star(R.movie_report_with_result, min_n=5),
+    "genre_mean_desc_text": lambda spark, d: P.fixed_width(R.genre_mean_desc(star(spark, d)), P.GENRE_ROW),
+    "gender_long_text": lambda spark, d: P.fixed_width(R.gender_long(star(spark, d)), P.GENDER_ROW),
+    "age_long_text": lambda spark, d: P.fixed_width(R.age_long(star(spark, d), "five"), P.AGE_ROW),
+    "occupation_mean_text": lambda spark, d: P.fixed_width(R.occupation_mean(star(spark, d)), P.OCCUPATION_ROW),
+    "year_mean_text": lambda spark, d: P.fixed_width(R.year_mean(star(spark, d)), P.YEAR_ROW),
     "genre_mean_sentence": lambda spark, d: P.genre_sentence(R.genre_mean_count(star(spark, d))),
     "gender_wide_sentence": lambda spark, d: P.gender_sentence(R.gender_wide(star(spark, d))),
     "age_wide_sentence": lambda spark, d: _age_sentence(star(spark, d)),

@@ -178,6 +178,17 @@ def _age_sentence() -> str:
 select title, {cells} as value from w"""
 
 
+def _fixed(sql: str, cols: list[tuple[str, int, str]]) -> str:
+    """printf rendering of a report: kind 's' text (NULL empty), 'u' text
+    (NULL 'Unknown'), 'f2' two decimals."""
+    def cell(c, kind):
+        if kind == "f2":
+            return f"coalesce({_f2(c)}, '')"
+        return f"coalesce(cast({c} as varchar), '{'Unknown' if kind == 'u' else ''}')"
+    fmt = " | ".join(f"%-{w}s" for _, w, _ in cols)
+    return f"select printf('{fmt}', {', '.join(cell(c, k) for c, _, k in cols)}) as value from ({sql})"
+
+
 ORACLE: dict[str, str] = {
     "movie_mean_count": f"""with {RATINGS}, {MOVIE_SUMS}
 select s.movie_id, p.p_name as title, {_r2('s.sm / s.c')} as avg_rating, s.c as n
@@ -301,3 +312,15 @@ k as (select category, word, count(aspect) as cnt from w where word is not null
 select category, word, cnt from k
 qualify row_number() over (partition by category order by cnt desc, word) <= 5""",
 }
+
+ORACLE.update({
+    "genre_mean_desc_text": _fixed(ORACLE["genre_mean_desc"], [("genre", 15, "s"), ("avg_rating", 10, "f2")]),
+    "gender_long_text": _fixed(ORACLE["gender_long_unknown"], [("movie_id", 7, "s"), ("title", 60, "s"),
+                                                               ("gender", 6, "s"), ("avg_rating", 10, "s"),
+                                                               ("n", 10, "s")]),
+    "age_long_text": _fixed(ORACLE["age_long_5"], [("movie_id", 7, "s"), ("title", 60, "s"), ("age_group", 10, "s"),
+                                                   ("avg_rating", 10, "f2"), ("n", 12, "s")]),
+    "occupation_mean_text": _fixed(ORACLE["occupation_mean"], [("occupation_id", 5, "u"), ("occupation", 20, "s"),
+                                                               ("avg_rating", 10, "f2"), ("n", 12, "s")]),
+    "year_mean_text": _fixed(ORACLE["year_mean"], [("year", 8, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]),
+})

@@ -188,3 +188,11 @@ def test_movie_report_ends_with_result_line(star):
     assert got == [("99", "Average rating: 2.00 (Total ratings: 1)"),
                    ("First Film (1990)", "Average rating: 4.17 (Total ratings: 3)"),
                    ("RESULT", "No movies has at least 5 ratings.")]
+
+
+def test_fixed_width_report_formats(star):
+    from ratelens.functions import render as P
+    gender = [r[0] for r in P.fixed_width(R.gender_long(star), P.GENDER_ROW).collect()]
+    assert gender[0] == f"{'10':<7} | {'First Film (1990)':<60} | {'F':<6} | {'5.0':<10} | {'1':<10}"
+    occ = [r[0] for r in P.fixed_width(R.occupation_mean(star), P.OCCUPATION_ROW).collect()]
+    assert occ[1] == f"{'Unknown':<5} | {'Unknown':<20} | {'4.00':<10} | {'1':<12}"

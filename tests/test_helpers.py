@@ -63,3 +63,18 @@ def test_command_line_rejects_unknown_policy():
     with pytest.raises(SystemExit):
         parse_args(["ratings", "--ratings", "r", "--movies", "m", "--users", "u", "--occupations", "o",
                     "--out", "x", "--on-bad", "skip"])
+
+
+def test_streaming_parquet_sink_rewrites_full_result(spark, write_files, tmp_path):
+    from ratelens import streaming
+    f = write_files({"ratings_1.txt": RATINGS_1, "ratings_2.txt": RATINGS_2}, sub="stream_pq")
+    folder = f["ratings_1.txt"].rsplit("/", 1)[0]
+    out = str(tmp_path / "movie_means")
+    q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, folder)), "movie_means_pq",
+                        sink="parquet", path=out)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(rows(spark.read.parquet(out), "movie_id", "avg_rating", "n"))
+    assert got == [(10, 4.17, 3), (99, 2.0, 1)]

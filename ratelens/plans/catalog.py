@@ -42,6 +42,15 @@ def _star(fn, **kw):
     return lambda spark, d: fn(star(spark, d), **kw)
 
 
+def _rendered(report, render, **kw):
+    """A star report followed by a row rendering (fixed width or sentence)."""
+    return lambda spark, d: render(report(star(spark, d), **kw))
+
+
+def _fixed(row):
+    return lambda df: P.fixed_width(df, row)
+
+
 def _age_sentence(star_):
     wide = R.age_wide_text(star_, "four")
     labels = R.PRESETS["four"].labels
@@ -69,16 +78,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "year_mean": _star(R.year_mean),
     "ratings_union_all": _ratings_union_all,
     # rendered report rows
-    "movie_mean_count_text": lambda spark, d: P.fixed_width(R.movie_mean_count(star(spark, d)), P.MOVIE_ROW),
-    "movie_sentence": lambda spark, d: P.movie_sentence(R.movie_mean_by_title(star(spark, d))),
+    "movie_mean_count_text": _rendered(R.movie_mean_count, _fixed(P.MOVIE_ROW)),
+    "movie_sentence": _rendered(R.movie_mean_by_title, P.movie_sentence),
     "movie_report_with_result": _star(R.movie_report_with_result, min_n=5),
-    "genre_mean_desc_text": lambda spark, d: P.fixed_width(R.genre_mean_desc(star(spark, d)), P.GENRE_ROW),
-    "gender_long_text": lambda spark, d: P.fixed_width(R.gender_long(star(spark, d)), P.GENDER_ROW),
-    "age_long_text": lambda spark, d: P.fixed_width(R.age_long(star(spark, d), "five"), P.AGE_ROW),
-    "occupation_mean_text": lambda spark, d: P.fixed_width(R.occupation_mean(star(spark, d)), P.OCCUPATION_ROW),
-    "year_mean_text": lambda spark, d: P.fixed_width(R.year_mean(star(spark, d)), P.YEAR_ROW),
-    "genre_mean_sentence": lambda spark, d: P.genre_sentence(R.genre_mean_count(star(spark, d))),
-    "gender_wide_sentence": lambda spark, d: P.gender_sentence(R.gender_wide(star(spark, d))),
+    "genre_mean_desc_text": _rendered(R.genre_mean_desc, _fixed(P.GENRE_ROW)),
+    "gender_long_text": _rendered(R.gender_long, _fixed(P.GENDER_ROW)),
+    "age_long_text": _rendered(R.age_long, _fixed(P.AGE_ROW), preset="five"),
+    "occupation_mean_text": _rendered(R.occupation_mean, _fixed(P.OCCUPATION_ROW)),
+    "year_mean_text": _rendered(R.year_mean, _fixed(P.YEAR_ROW)),
+    "genre_mean_sentence": _rendered(R.genre_mean_count, P.genre_sentence),
+    "gender_wide_sentence": _rendered(R.gender_wide, P.gender_sentence),
     "age_wide_sentence": lambda spark, d: _age_sentence(star(spark, d)),
     # reviews
     "reviews_parse": parsed_reviews,

@@ -4,9 +4,10 @@ Join strategy: by default no hint is given. Spark then broadcasts the
 dimension only when its size estimate is under
 ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks with the exact
 runtime size; anything larger runs as a sort-merge join, where AQE's skew
-handling splits a hot key's partition on the fact side. A caller may force
-``broadcast=True`` only for a dimension with a fixed size bound (a code
-table), or ``broadcast=False`` to rule it out.
+handling splits a hot key's partition on the fact side. A caller may pass
+``broadcast=<max rows>``: the dimension is then broadcast only after a
+bounded count proves it has at most that many rows, and otherwise left to
+Spark's choice. ``broadcast=False`` rules broadcasting out.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
            defaults: dict | None = None, unique: bool = False,
-           broadcast: bool | None = None) -> DataFrame:
+           broadcast: int | bool | None = None) -> DataFrame:
     """``fact`` joined with ``dim`` on ``key``.
 
     how       ``left`` keeps fact rows without a match, ``inner`` drops them.
@@ -31,9 +32,11 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     if unique:
         dim = dim.dropDuplicates([key])
     if broadcast is True:
-        dim = F.broadcast(dim)
-    elif broadcast is False:
+        raise ValueError("pass a row bound (broadcast=<max rows>) instead of True")
+    if broadcast is False:
         dim = dim.hint("merge")
+    elif isinstance(broadcast, int) and broadcast_fits(dim, broadcast):
+        dim = F.broadcast(dim)
     out = fact.join(dim, on=key, how=how)
     for name, value in (defaults or {}).items():
         fill = value if isinstance(value, Column) else F.lit(value)
@@ -41,6 +44,13 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     return out
 
 
+def broadcast_fits(dim: DataFrame, max_rows: int) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows. At most
+    ``max_rows + 1`` rows are counted (a scan stops early), so the check
+    stays cheap however large the dimension is."""
+    return dim.limit(max_rows + 1).count() <= max_rows
+
+
 def title_fallback(mode: str, key: str = "movie_id", title: str = "title") -> dict:
     """Defaults for a missing title: ``key`` shows the id, ``unknown`` a word."""
     if mode == "key":

@@ -32,10 +32,19 @@ def test_reliable_checkpoint(spark):
 def test_lookup_hints(spark):
     fact = spark.range(1000).withColumn("k", F.col("id") % 10)
     dim = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    with_bc = lookup(fact, dim, "k", broadcast=True)._jdf.queryExecution().executedPlan().toString()
+    import pytest
+    with_bc = lookup(fact, dim, "k", broadcast=100)._jdf.queryExecution().executedPlan().toString()
     no_bc = lookup(fact, dim, "k", broadcast=False)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in with_bc
     assert "SortMergeJoin" in no_bc and "BroadcastHashJoin" not in no_bc
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # 10 rows exceed a bound of 5: no hint, Spark's own (sort-merge) choice
+        over = lookup(fact, dim, "k", broadcast=5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in over
+    with pytest.raises(ValueError):
+        lookup(fact, dim, "k", broadcast=True)
 
 
 def test_explode_values_keep_and_separator(spark):

@@ -57,7 +57,9 @@ def write_many(outputs: dict[str, DataFrame], parent: DataFrame | None = None,
 def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared checkpoint folder
     and read it back: a hand-off between jobs that cuts lineage and survives
-    executor loss (the folder is named by ``spark.checkpoint.dir``)."""
+    executor loss (the folder is named by ``spark.checkpoint.dir``). Each
+    call writes a new ``staged-<name>-<id>`` folder; like checkpoint data it
+    stays until the checkpoint folder is cleaned."""
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/staged-{name or 'df'}-{uuid.uuid4().hex[:12]}"

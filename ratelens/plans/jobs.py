@@ -25,25 +25,29 @@ def run_review_jobs(lines: DataFrame, out_dir: str, pattern: str = STOPWORD_PATT
     out = out_dir.rstrip("/")
     cleaned = stage(V.clean_reviews(parse_review_lines(lines), pattern), "reviews_clean")
     by_sentiment = V.top_words_by_category(cleaned, ("positive", "negative"), k)
+    aspects = V.aspect_sentiment_counts(cleaned, ("positive", "negative"))
     paths = {
         f"{out}/reviews_clean": V.sorted_reviews(cleaned),
         f"{out}/top_words_k": V.top_words(cleaned, k),
         f"{out}/category_count": V.count_by(cleaned, "category"),
         f"{out}/aspect_count": V.count_by(cleaned, "aspect"),
-        f"{out}/top_aspect_negative": V.top_aspect(cleaned, "negative"),
-        f"{out}/top_aspect_positive": V.top_aspect(cleaned, "positive"),
+        f"{out}/top_aspect_negative": V.top_aspect_from_counts(aspects, "negative"),
+        f"{out}/top_aspect_positive": V.top_aspect_from_counts(aspects, "positive"),
         f"{out}/top_words_category_positive":
             by_sentiment.where(F.col("sentiment") == "positive").select("category", "word", "freq"),
         f"{out}/top_words_category_negative":
             by_sentiment.where(F.col("sentiment") == "negative").select("category", "word", "freq"),
         f"{out}/top_words_category": V.top_symbol_stripped_words(cleaned, k),
     }
-    # The per-sentiment top words come from one pass; keep that small result.
-    by_sentiment.persist(StorageLevel.MEMORY_AND_DISK)
+    # Both sentiments' top words and aspect counts come from one pass each;
+    # keep those small results for the two outputs that read them.
+    for small in (by_sentiment, aspects):
+        small.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_many(paths)
     finally:
-        by_sentiment.unpersist()
+        for small in (by_sentiment, aspects):
+            small.unpersist()
     return {p.rsplit("/", 1)[-1]: p for p in paths}
 
 

@@ -9,6 +9,7 @@ non-NULL (``count(col)``), as noted per report.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +81,23 @@ def top_aspect(cleaned: DataFrame, sentiment: str, k: int = 1) -> DataFrame:
     return top_k(counts, k, [F.desc(out), "aspect"])
 
 
+def aspect_sentiment_counts(cleaned: DataFrame, sentiments: Sequence[str] = ("positive", "negative")
+                            ) -> DataFrame:
+    """aspect, total_<sentiment> for every requested sentiment in one pass
+    (trimmed aspect, trimmed lower-case sentiment); aspects with no review
+    of any requested sentiment are dropped."""
+    aspect = java_trim("aspect")
+    sentiment = F.lower(java_trim("sentiment"))
+    counts = [F.count(F.when(sentiment == s, F.col("aspect"))).alias(f"total_{s}") for s in sentiments]
+    any_hit = reduce(lambda a, b: a | b, [F.col(f"total_{s}") > 0 for s in sentiments])
+    return cleaned.groupBy(aspect.alias("aspect")).agg(*counts).where(any_hit)
+
+
+def top_aspect_from_counts(counts: DataFrame, sentiment: str, k: int = 1) -> DataFrame:
+    out = f"total_{sentiment}"
+    return top_k(counts.where(F.col(out) > 0).select("aspect", out), k, [F.desc(out), "aspect"])
+
+
 def top_words_by_category(cleaned: DataFrame, sentiments: Sequence[str] = ("positive", "negative"),
                           k: int = 5, min_chars: int = 3) -> DataFrame:
     """sentiment, category, word, freq: the ``k`` most frequent words of at

@@ -140,3 +140,9 @@ def test_java_trim_equals_edge_regex(spark):
     got = df.select(X.java_trim("r").alias("a"), F.regexp_replace("r", X._EDGE_CONTROL, "").alias("b")).collect()
     assert all(r["a"] == r["b"] for r in got)
     assert [r["a"] for r in got][:2] == ["a b", "x"]
+
+
+def test_one_pass_aspect_counts_match_per_sentiment(cleaned):
+    counts = V.aspect_sentiment_counts(cleaned, ("positive", "negative"))
+    for s in ("positive", "negative"):
+        assert rows(V.top_aspect_from_counts(counts, s)) == rows(V.top_aspect(cleaned, s))

@@ -10,8 +10,6 @@ shared checkpoint folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,12 +42,17 @@ def running_year_means(ratings: DataFrame) -> DataFrame:
 
 def start(report: DataFrame, name: str, sink: str = "memory", path: str | None = None,
           checkpoint: str | None = None) -> StreamingQuery:
-    """Start a complete-mode query; the checkpoint defaults to a folder
-    under the session's shared checkpoint directory."""
+    """Start a complete-mode query.
+
+    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``,
+    a stable shared location, so a query restarted after a failure (even by
+    a new application) resumes from its last committed batch."""
     spark = report.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
+    if checkpoint is None:
+        root = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+        checkpoint = f"{root.rstrip('/')}/streams/{name}"
     writer = (report.writeStream.outputMode("complete").queryName(name)
-              .option("checkpointLocation", checkpoint or f"{base}/stream-{name}-{uuid.uuid4().hex[:8]}"))
+              .option("checkpointLocation", checkpoint))
     if sink == "memory":
         return writer.format("memory").start()
     if sink != "parquet" or not path:

@@ -53,11 +53,12 @@ def test_explode_values_keep_and_separator(spark):
     assert got == [(1, "a"), (1, "b"), (1, "c")]
 
 
-def test_streaming_year_means(spark, write_files):
+def test_streaming_year_means(spark, write_files, tmp_path):
     from ratelens import streaming
     f = write_files({"ratings_1.txt": RATINGS_1, "ratings_2.txt": RATINGS_2}, sub="stream_years")
     folder = f["ratings_1.txt"].rsplit("/", 1)[0]
-    q = streaming.start(streaming.running_year_means(streaming.rating_stream(spark, folder)), "year_means_t")
+    q = streaming.start(streaming.running_year_means(streaming.rating_stream(spark, folder)), "year_means_t",
+                        checkpoint=str(tmp_path / "ckpt_year_means"))
     try:
         q.processAllAvailable()
         got = sorted(rows(spark.table("year_means_t"), "year", "avg_rating", "n"))
@@ -80,10 +81,32 @@ def test_streaming_parquet_sink_rewrites_full_result(spark, write_files, tmp_pat
     folder = f["ratings_1.txt"].rsplit("/", 1)[0]
     out = str(tmp_path / "movie_means")
     q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, folder)), "movie_means_pq",
-                        sink="parquet", path=out)
+                        sink="parquet", path=out, checkpoint=str(tmp_path / "ckpt_pq"))
     try:
         q.processAllAvailable()
     finally:
         q.stop()
     got = sorted(rows(spark.read.parquet(out), "movie_id", "avg_rating", "n"))
     assert got == [(10, 4.17, 3), (99, 2.0, 1)]
+
+
+def test_streaming_query_resumes_from_default_checkpoint(spark, tmp_path):
+    """Stop after the first file, add a second, restart under the same name:
+    the restarted query resumes from the shared default checkpoint."""
+    import uuid
+    from ratelens import streaming
+    folder = tmp_path / "incoming"
+    folder.mkdir()
+    (folder / "r1.txt").write_text("1,10,4.0,0\n")
+    name = f"resume_{uuid.uuid4().hex[:8]}"
+
+    def run_once():
+        q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, str(folder))), name)
+        try:
+            q.processAllAvailable()
+            return sorted(rows(spark.table(name), "movie_id", "avg_rating", "n"))
+        finally:
+            q.stop()
+    assert run_once() == [(10, 4.0, 1)]
+    (folder / "r2.txt").write_text("2,10,2.0,0\n")
+    assert run_once() == [(10, 3.0, 2)]

@@ -49,12 +49,13 @@ def test_fixed_width_rendering(spark):
     assert line == f"{'1015':<7} | {'Sunset Boulevard (1950)':<60} | {'4.36':<10} | {'7':<12}"
 
 
-def test_streaming_means_match_batch(spark, write_files):
+def test_streaming_means_match_batch(spark, write_files, tmp_path):
     from ratelens import streaming
     from ratelens.operators.aggregate import mean_count
     f = write_files({"ratings_1.txt": RATINGS_1, "ratings_2.txt": RATINGS_2}, sub="stream")
     folder = f["ratings_1.txt"].rsplit("/", 1)[0]
-    q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, folder)), "movie_means_t")
+    q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, folder)), "movie_means_t",
+                        checkpoint=str(tmp_path / "ckpt_movie_means"))
     try:
         q.processAllAvailable()
         got = sorted(rows(spark.table("movie_means_t"), "movie_id", "avg_rating", "n"))

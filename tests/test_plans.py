@@ -77,3 +77,36 @@ def test_conditional_means_single_aggregate_exchange(spark):
     cm = formatted(conditional_means(df, "k", "rating", {"a": F.col("g") == "a"}))
     pv = formatted(pivot_means(df, "k", "g", ["a"]))
     assert cm.count("Exchange") < pv.count("Exchange")
+
+
+def _join_subtree(plan_text: str, marker: str) -> list[str]:
+    lines = plan_text.split("\n")
+    at = next(i for i, line in enumerate(lines) if marker in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    out = []
+    for line in lines[at + 1:]:
+        body = line.lstrip(" :+-")
+        if len(line) - len(body) <= depth:
+            break
+        out.append(body)
+    return out
+
+
+@pytest.mark.parametrize("name", ["movie_mean_count", "genre_mean_count"])
+def test_ratings_aggregated_per_movie_before_the_join(spark, name):
+    with_no_broadcast = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in with_no_broadcast}
+    try:
+        for k, v in with_no_broadcast.items():
+            spark.conf.set(k, v)
+        text = plan(E.queries()[name](spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    below = _join_subtree(text, "SortMergeJoin [movie_id")
+    agg = [b for b in below if b.startswith("HashAggregate(keys=[l_partkey") or
+           b.startswith("HashAggregate(keys=[movie_id")]
+    scan = [i for i, b in enumerate(below) if "FileScan parquet [l_partkey" in b]
+    assert agg and scan, below
+    assert below.index(agg[0]) < scan[0]  # the aggregate sits between the join and the ratings scan

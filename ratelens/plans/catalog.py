@@ -100,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_words_category_positive": _clean(V.top_words_for_sentiment, sentiment="positive"),
     "top_words_category_negative": _clean(V.top_words_for_sentiment, sentiment="negative"),
     "top_words_category": _clean(V.top_symbol_stripped_words, k=5),
+    "top_words_category_by_sentiment": _clean(V.top_words_by_category, sentiments=("positive", "negative"), k=5),
 }

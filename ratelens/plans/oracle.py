@@ -313,7 +313,19 @@ select category, word, cnt from k
 qualify row_number() over (partition by category order by cnt desc, word) <= 5""",
 }
 
+def _top_words_both() -> str:
+    return f"""with {CLEANED},
+d as (select review, category, lower({_jtrim('sentiment')}) as sentiment from c where id is not null),
+w as (select sentiment, category, unnest({_TOKENS.format(x='review')}) as word from d
+      where sentiment in ('positive', 'negative')),
+k as (select sentiment, category, word, count(category) as freq from w
+      where word is not null and length(word) >= 3 group by sentiment, category, word)
+select sentiment, category, word, freq from k
+qualify row_number() over (partition by sentiment, category order by freq desc, word) <= 5"""
+
+
 ORACLE.update({
+    "top_words_category_by_sentiment": _top_words_both(),
     "genre_mean_desc_text": _fixed(ORACLE["genre_mean_desc"], [("genre", 15, "s"), ("avg_rating", 10, "f2")]),
     "gender_long_text": _fixed(ORACLE["gender_long_unknown"], [("movie_id", 7, "s"), ("title", 60, "s"),
                                                                ("gender", 6, "s"), ("avg_rating", 10, "s"),

@@ -110,9 +110,9 @@ def top_words_by_category(cleaned: DataFrame, sentiments: Sequence[str] = ("posi
     below the parse, re-evaluating it."""
     sentiment = F.lower(java_trim("sentiment"))
     qualifies = F.col("id").isNotNull() & sentiment.isin(list(sentiments))
+    long_tokens = F.filter(tokens("review"), lambda w: F.char_length(w) >= min_chars)
     words = cleaned.select(sentiment.alias("sentiment"), "category",
-                           F.explode(F.when(qualifies, tokens("review"))).alias("word"))
-    words = words.where(F.col("word").isNotNull() & (F.char_length("word") >= min_chars))
+                           F.explode(F.when(qualifies, long_tokens)).alias("word"))
     counts = words.groupBy("sentiment", "category", "word").agg(F.count("category").alias("freq"))
     return top_k_per_group(counts, ["sentiment", "category"], [F.desc("freq"), "word"], k)
 

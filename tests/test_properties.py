@@ -70,3 +70,27 @@ def test_round2_half_up_on_ratios(spark, pairs):
     df = spark.createDataFrame([(a / b,) for a, b in pairs], "x double")
     got = [r[0] for r in df.select(round2("x")).collect()]
     assert got == [py_round2(a / b) for a, b in pairs]
+
+
+def _py_clean(s: str) -> str:
+    """Independent Python version of the cleaning (regex module, Unicode \\b)."""
+    import regex
+    from ratelens.functions.text import STOPWORD_PATTERN
+    s = regex.sub(STOPWORD_PATTERN, "", s.lower())
+    s = regex.sub(r"[!-/:-@\[-`{-~]", " ", s)
+    s = regex.sub(r"[ \t\n\x0b\f\r]{2,}", " ", s)
+    return s.strip("".join(chr(c) for c in range(0x21)))
+
+
+_WORDS = ["là", "của", "có", "có thể", "chúng tôi", "bao giờ", "bao", "giờ", "hôm nay", "hôm", "ba", "bàn",
+          "Phòng", "rất", "sạch", "tốt", "ừ", "ừm", "à", "ở", "đó", "nhé", "khách", "sạn", "x", "12"]
+_SEPS = [" ", "  ", ", ", ".", "!", "\t", " – ", "“", "”", "(", ")", "*", "_", "-"]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(_WORDS), st.sampled_from(_SEPS)), min_size=0, max_size=25))
+def test_clean_review_matches_python_regex(spark, parts):
+    from ratelens.functions.text import clean_review
+    text = "".join(w + s for w, s in parts)
+    got = spark.createDataFrame([(text,)], "r string").select(clean_review(F.col("r"))).first()[0]
+    assert got == _py_clean(text)

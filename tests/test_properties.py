@@ -94,3 +94,40 @@ def test_clean_review_matches_python_regex(spark, parts):
     text = "".join(w + s for w, s in parts)
     got = spark.createDataFrame([(text,)], "r string").select(clean_review(F.col("r"))).first()[0]
     assert got == _py_clean(text)
+
+
+_REVIEW_WORDS = ["phòng", "sạch", "ồn", "vị", "ab", "x", "khách*", "(tốt)", '"giá"', "ΩΩ", "ß", "12"]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["ROOMS", "HOTEL", None]), st.sampled_from(["A", None]),
+                          st.lists(st.sampled_from(_REVIEW_WORDS), max_size=8)), min_size=1, max_size=12))
+def test_word_reports_match_python(spark, data):
+    import re
+    from collections import Counter
+
+    from ratelens.plans import reviews as V
+    rowsin = [(i, " ".join(ws), a, c, "positive") for i, (c, a, ws) in enumerate(data)]
+    df = spark.createDataFrame(rowsin, "id int, review string, aspect string, category string, sentiment string")
+
+    def toks(s):
+        return [t for t in re.split(r'[ ",()*]', s.lower()) if t]
+    freq = Counter(t for _, r, _, _, _ in rowsin for t in toks(r))
+    want_top = sorted(freq.items(), key=lambda kv: (-kv[1], kv[0]))[:5]
+    assert [tuple(r) for r in V.top_words(df, 5).collect()] == want_top
+
+    keep = re.compile(r"[^a-zA-Zà-ỹ0-9]")
+    per = Counter()
+    for _, r, a, c, _ in rowsin:
+        for t in toks(r):
+            w = keep.sub("", t)
+            if w and a is not None:
+                per[(c, w)] += 1
+            elif w:
+                per.setdefault((c, w), 0)
+    want = []
+    for cat in {k[0] for k in per}:
+        items = sorted(((w, n) for (c, w), n in per.items() if c == cat), key=lambda x: (-x[1], x[0]))[:5]
+        want += [(cat, w, n) for w, n in items]
+    got = [tuple(r) for r in V.top_symbol_stripped_words(df, 5).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)

@@ -131,3 +131,46 @@ def test_word_reports_match_python(spark, data):
         want += [(cat, w, n) for w, n in items]
     got = [tuple(r) for r in V.top_symbol_stripped_words(df, 5).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 4), st.sampled_from([1.0, 2.5, 3.0, 4.5, 5.0])),
+                min_size=1, max_size=40))
+def test_user_reports_match_python(spark, data):
+    from ratelens.plans import ratings as R
+    # users 1..4 exist (5, 6 unknown); movies 1..3 exist (4 unknown); occupation 9 unknown
+    users = [(1, 1, "M", 20, 1), (2, 2, "F", 40, 2), (3, 3, None, 60, 9), (4, 4, "M", None, 1)]
+    movies = [(1, "A", "Drama|Crime"), (2, "B", "Drama"), (3, "C", "|Comedy|")]
+    occ = [(1, "Programmer"), (2, "Doctor")]
+    star = R.RatingsStar(
+        spark.createDataFrame([(u, m, r, 0) for u, m, r in data], "user_key int, movie_id int, rating double, ts long"),
+        spark.createDataFrame(movies, "movie_id int, title string, genres string"),
+        spark.createDataFrame(users, "user_key int, user_id int, gender string, age int, occupation_id int"),
+        spark.createDataFrame(occ, "occupation_id int, occupation string"))
+    ugender = {u[0]: u[2] for u in users}
+    uocc = {u[0]: u[4] for u in users}
+    titles = {m[0]: m[1] for m in movies}
+    occname = dict(occ)
+
+    def means(pairs):
+        s, n = defaultdict(float), defaultdict(int)
+        for k, r in pairs:
+            s[k] += r
+            n[k] += 1
+        return {k: (py_round2(s[k] / n[k]), n[k]) for k in s}
+
+    want_long = means(((m, ugender.get(u) or "Unknown"), r) for u, m, r in data)
+    got_long = {(r["movie_id"], r["gender"]): (r["avg_rating"], r["n"]) for r in R.gender_long(star).collect()}
+    assert got_long == want_long
+    male = means((m, r) for u, m, r in data if ugender.get(u) == "M")
+    female = means((m, r) for u, m, r in data if ugender.get(u) != "M")
+    got_wide = {r["movie_id"]: (r["title"], r["male_avg"], r["female_avg"]) for r in R.gender_wide(star).collect()}
+    assert got_wide == {m: (titles.get(m, str(m)), male.get(m, (0.0,))[0], female.get(m, (0.0,))[0])
+                        for m in {d[1] for d in data}}
+    want_occ = means(((uocc.get(u), occname.get(uocc.get(u), "Unknown")), r) for u, m, r in data)
+    got_occ = {(r["occupation_id"], r["occupation"]): (r["avg_rating"], r["n"]) for r in R.occupation_mean(star).collect()}
+    assert got_occ == want_occ
+    genres = {1: ["Drama", "Crime"], 2: ["Drama"], 3: ["Comedy"]}
+    want_genre = means((g, r) for u, m, r in data for g in genres.get(m, []))
+    got_genre = {r["genre"]: (r["avg_rating"], r["n"]) for r in R.genre_mean_count(star).collect()}
+    assert got_genre == want_genre

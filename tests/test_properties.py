@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from conftest import rows
 from ratelens.functions.buckets import AGE_GROUPS_4, AGE_GROUPS_5, bucketize
 from ratelens.functions.numeric import round2
 from ratelens.operators.aggregate import mean_count
@@ -174,3 +175,42 @@ def test_user_reports_match_python(spark, data):
     want_genre = means((g, r) for u, m, r in data for g in genres.get(m, []))
     got_genre = {r["genre"]: (r["avg_rating"], r["n"]) for r in R.genre_mean_count(star).collect()}
     assert got_genre == want_genre
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 4), st.sampled_from([1.0, 2.0, 3.5, 5.0])),
+                min_size=1, max_size=40), st.integers(1, 6))
+def test_age_and_best_reports_match_python(spark, data, min_n):
+    from ratelens.plans import ratings as R
+    users = [(1, 1, "M", 17, 1), (2, 2, "F", 18, 1), (3, 3, "F", 36, 1), (4, 4, "M", None, 1), (5, 5, "F", 51, 1)]
+    movies = [(1, "A", "x"), (2, "B", "x"), (3, "C", "x")]
+    star = R.RatingsStar(
+        spark.createDataFrame([(u, m, r, 0) for u, m, r in data], "user_key int, movie_id int, rating double, ts long"),
+        spark.createDataFrame(movies, "movie_id int, title string, genres string"),
+        spark.createDataFrame(users, "user_key int, user_id int, gender string, age int, occupation_id int"))
+    age = {u[0]: u[3] for u in users}
+    five = {17: "Under18", 18: "18-25", 36: "36-50", 51: "50+"}
+    four = {17: "0-18", 18: "0-18", 36: "35-50", 51: "50+"}
+
+    def means(pairs):
+        s, n = defaultdict(float), defaultdict(int)
+        for k, r in pairs:
+            s[k] += r
+            n[k] += 1
+        return {k: (py_round2(s[k] / n[k]), n[k]) for k in s}
+
+    known = [(u, m, r) for u, m, r in data if age.get(u) is not None]
+    want_long = means(((m, five[age[u]]), r) for u, m, r in known if m <= 3)
+    got_long = {(r["movie_id"], r["age_group"]): (r["avg_rating"], r["n"]) for r in R.age_long(star).collect()}
+    assert got_long == want_long
+    wide = means(((m, four[age[u]]), r) for u, m, r in known)
+    got_wide = {r["movie_id"]: tuple(r)[2:] for r in R.age_wide_text(star, "four").collect()}
+    want_wide = {m: tuple(f"{wide[(m, g)][0]:.2f}" if (m, g) in wide else "NA"
+                          for g in ("0-18", "18-35", "35-50", "50+"))
+                 for m in {m for _, m, _ in known}}
+    assert got_wide == want_wide
+
+    stats = means((m, r) for u, m, r in data if m <= 3)
+    pool = [(m, a, n) for m, (a, n) in stats.items() if n >= min_n]
+    best = rows(R.best_movie(star, min_n, rounded=True), "movie_id")[0][0]
+    assert best == (min(pool, key=lambda t: (-t[1], t[0]))[0] if pool else None)

@@ -50,24 +50,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def balanced(df: DataFrame) -> DataFrame:
+def balanced(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread a fact scan over at least ``defaultParallelism`` tasks.
 
     A large input on a cluster already scans as many splits and is returned
     untouched. A scan with fewer splits than cores (e.g. one file with a
-    single row group) is round-robin repartitioned, so the per-row work that
-    follows (regexes over whole texts) runs on every core. Used for the
-    text table only: for cheap per-row work (partial aggregates over
-    ratings) the extra exchange costs more than it saves. Planning only; no
-    job is run. Column pruning still reaches the scan through the
-    repartition.
+    single row group) is repartitioned, so the per-row work that follows
+    (regexes over whole texts) runs on every core: hash-partitioned on
+    ``key`` (a unique column) when given, round-robin otherwise. Used for
+    the text table only; for cheap per-row work (partial aggregates over
+    ratings) the extra exchange costs more than it saves. Planning only, no
+    job is run, and column pruning still reaches the scan.
     """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # sessions without the RDD API (Spark Connect): leave the scan as is
         return df
-    return df.repartition(target) if splits < target else df
+    if splits >= target:
+        return df
+    # Hashing on a unique key spreads rows as evenly as round-robin, needs no
+    # sort-before-repartition, and leaves the rows partitioned on that key.
+    return df.repartition(target, key) if key else df.repartition(target)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +127,7 @@ def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = balanced(table(spark, sf_dir, "documents")).select("doc_id", "text", "source", "lang")
+    docs = balanced(table(spark, sf_dir, "documents"), key="doc_id").select("doc_id", "text", "source", "lang")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     sentiment = (F.when(F.col("quality") == 1, "positive")
                  .when(F.col("quality") == 0, "negative").otherwise("neutral"))

@@ -14,8 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.text import (STOPWORD_PATTERN, clean_review, java_trim,
-                                     strip_symbols_keep_separators, tokens)
+from ratelens.functions.text import (STOPWORD_PATTERN, TOKEN_SEPARATORS, clean_review, java_trim,
+                                     strip_symbols_keep_separators)
 from ratelens.operators.topk import top_k, top_k_per_group
 
 
@@ -45,12 +45,16 @@ def clean_sorted_reviews(parsed: DataFrame, pattern=STOPWORD_PATTERN) -> DataFra
 
 
 def _words(df: DataFrame, text, *keep: str) -> DataFrame:
-    return df.select(*keep, F.explode(tokens(text)).alias("word"))
+    """One row per non-empty token. Splitting and exploding first, then
+    dropping empty strings in a plain filter, keeps the work in generated
+    code (a lambda filter on the array would not be)."""
+    return (df.select(*keep, F.explode(F.split(text, TOKEN_SEPARATORS)).alias("word"))
+            .where(F.col("word") != ""))
 
 
 def word_counts(cleaned: DataFrame) -> DataFrame:
     """word, freq over all reviews (tokens of the lower-cased review)."""
-    words = _words(cleaned, F.lower("review")).where(F.col("word").isNotNull() & (F.col("word") != ""))
+    words = _words(cleaned, F.lower("review"))
     return words.groupBy("word").agg(F.count("word").alias("freq"))
 
 
@@ -107,12 +111,14 @@ def top_words_by_category(cleaned: DataFrame, sentiments: Sequence[str] = ("posi
 
     The row condition sits inside the explode (a non-qualifying review
     yields no token) rather than in a filter that Catalyst would push
-    below the parse, re-evaluating it."""
+    below the parse, re-evaluating it. The length filter refers to the
+    exploded word, so it stays above the explode (it also drops the empty
+    strings of the split)."""
     sentiment = F.lower(java_trim("sentiment"))
     qualifies = F.col("id").isNotNull() & sentiment.isin(list(sentiments))
-    long_tokens = F.filter(tokens("review"), lambda w: F.char_length(w) >= min_chars)
     words = cleaned.select(sentiment.alias("sentiment"), "category",
-                           F.explode(F.when(qualifies, long_tokens)).alias("word"))
+                           F.explode(F.when(qualifies, F.split("review", TOKEN_SEPARATORS))).alias("word"))
+    words = words.where(F.char_length("word") >= min_chars)
     counts = words.groupBy("sentiment", "category", "word").agg(F.count("category").alias("freq"))
     return top_k_per_group(counts, ["sentiment", "category"], [F.desc("freq"), "word"], k)
 

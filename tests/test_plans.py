@@ -110,3 +110,42 @@ def test_ratings_aggregated_per_movie_before_the_join(spark, name):
     scan = [i for i, b in enumerate(below) if "FileScan parquet [l_partkey" in b]
     assert agg and scan, below
     assert below.index(agg[0]) < scan[0]  # the aggregate sits between the join and the ratings scan
+
+
+def _raw_fact_exchanges(plan_text: str, *scan_markers: str) -> int:
+    """Exchanges that carry un-aggregated rows of the scanned fact: the path
+    from the exchange down to the fact scan holds no HashAggregate."""
+    lines = [ln for ln in plan_text.split("== Initial Plan ==")[0].split("\n") if ln.strip()]
+    nodes = [(len(ln) - len(ln.lstrip(" :+-")), ln.lstrip(" :+-")) for ln in lines]
+    count = 0
+    for j, (dj, body) in enumerate(nodes):
+        if not all(m in body for m in scan_markers):
+            continue
+        depth, path = dj, []
+        for i in range(j - 1, -1, -1):  # ancestors of the scan, nearest first
+            if nodes[i][0] < depth:
+                path.append(nodes[i][1])
+                depth = nodes[i][0]
+        for node in path:
+            if node.startswith("HashAggregate") or node.startswith("SortAggregate"):
+                break
+            if node.startswith("Exchange") and "SinglePartition" not in node:
+                count += 1
+    return count
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_fact_rows_cross_the_network_at_most_once(spark, name):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        text = plan(E.queries()[name](spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    ratings = _raw_fact_exchanges(text, "FileScan parquet [l_")
+    texts = _raw_fact_exchanges(text, "FileScan parquet [doc_id", ",text#")
+    assert ratings <= 1, (name, ratings)
+    assert texts <= (2 if name == "reviews_clean" else 1), (name, texts)  # + the global sort

@@ -1,0 +1 @@
+"""Column expressions: text (cleaning, tokenising), numeric (rounding), buckets, time, render."""

@@ -1,0 +1 @@
+"""DataFrame operators: lookup, aggregate (mean/count, conditional, pivot), best, topk, explode."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from ratelens.llm import exact_dedup, quote_linking, secrets
+from ratelens.llm import exact_dedup, ngram_join, quote_linking, secrets
 from ratelens.llm.common import read
 
 
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.link_components(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup(read(spark, sf_dir, "documents"))
 
@@ -18,7 +22,7 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 

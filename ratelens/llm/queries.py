@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
-from ratelens.llm import exact_dedup, ngram_join, quote_linking, secrets
-from ratelens.llm.common import read
+from ratelens.llm import exact_dedup, ngram_join, packing, quote_linking, secrets, token_files
+from ratelens.llm.common import read, scratch_path
+
+
+def op5_packing(spark, sf_dir):
+    return packing.digest_columns(packing.pack(read(spark, sf_dir, "documents")))
+
+
+def op6_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(read(spark, sf_dir, "documents"), path)
+    return token_files.digest_columns(token_files.read_token_files(spark, path))
 
 
 def op7_ngram_join(spark, sf_dir):
@@ -22,7 +32,7 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 

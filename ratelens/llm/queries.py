@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from ratelens.llm import exact_dedup, ngram_join, packing, quote_linking, secrets, token_files
+from ratelens.llm import exact_dedup, ngram_join, packing, quote_linking, rank_bpe, secrets, token_files
 from ratelens.llm.common import read, scratch_path
 
 
+def op4_rank_bpe(spark, sf_dir):
+    return rank_bpe.digest_columns(rank_bpe.encode_documents(read(spark, sf_dir, "documents")))
+
+
 def op5_packing(spark, sf_dir):
     return packing.digest_columns(packing.pack(read(spark, sf_dir, "documents")))
 
@@ -32,7 +36,7 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op4_rank_bpe, op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 

@@ -1,0 +1,70 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from ratelens.llm import rank_bpe as B
+
+TOK = Tokenizer.from_file(B.TOKENIZER)
+BPE = B.codec()
+
+
+def same(text):
+    ids = TOK.encode(text, add_special_tokens=False).ids
+    assert BPE.encode(text) == ids
+    assert BPE.decode(ids) == TOK.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text())
+def test_any_text(text):
+    same(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(min_codepoint=1, max_codepoint=0x250)))
+def test_latin_text(text):
+    same(text)
+
+
+@pytest.mark.parametrize("text", [
+    "Hello,  World!  it's 123 <|endoftext|> ÀÉ", "<|startoftext|><|endoftext|>", "İstanbul ǅ ß ΑΣ Σ", "é É",
+    "a_b__c \x1c\x1d x\x85y\xa0z", "it'S DON'T we'Ll 'tis", "½²³ª º ٣ 日本 ​", "\U0001f600 a퟿", "€5 – “q” …", ""])
+def test_odd_texts(text):
+    same(text)
+
+
+def test_long_words_take_the_same_merges():
+    rng = random.Random(1)
+    for n in (127, 128, 129, 1000):
+        word = "".join(rng.choice("etaoin") for _ in range(n))
+        assert BPE.merge(word) == BPE.merge_long(word)
+        same(word)
+    same("ab" * 20000)
+
+
+def test_cache_stays_bounded(monkeypatch):
+    monkeypatch.setattr(B, "CACHE_CHARS", 200)
+    bpe = B.RankBpe(B.TOKENIZER)
+    text = " ".join(f"word{i}x" for i in range(200))
+    assert bpe.encode(text) == TOK.encode(text, add_special_tokens=False).ids
+    assert len(bpe.cache) < 40
+
+
+def test_documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+    for r in B.digest_columns(B.encode_documents(df)).collect():
+        ids = TOK.encode(rows[r.doc_id] or "", add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(TOK.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_nulls_repeats_empty_table_and_further_columns(spark):
+    df = spark.createDataFrame([(1, None, 1), (None, "a b", 2), (3, "", 3), (3, "", 3)], "doc_id long, text string, ids int")
+    got = sorted(((r.doc_id, r.n_tokens, r.decoded) for r in B.encode_documents(df).collect()), key=str)
+    assert got == sorted([(1, 0, ""), (None, 2, "a</w> b</w>"), (3, 0, ""), (3, 0, "")], key=str)
+    assert B.encode_documents(df.where("false")).collect() == []

@@ -6,6 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE = 1 << 20           # bytes hashed at a time
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -44,15 +45,29 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(size)
 
 
+def slices(batches, text: str = "text", size: int = 2 * PIECE):
+    """The record batches cut into runs of rows of about ``size`` text bytes
+    (one longer text stands alone), so that working arrays stay small."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        runs = np.cumsum(lengths, dtype=np.int64) // size
+        cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(lengths)]
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            if z > a:
+                yield batch.slice(a, z - a)
+
+
 def doc_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each value; null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def runs_hashed(b: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end) of every maximal run of ``inside`` bytes of ``b``."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
-    starts, ends = edge[::2], edge[1::2]
+def runs_hashed(b: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of every maximal run of bytes of ``b`` of one kind;
+    kind 0 is no run."""
+    edge = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(kind)])) if len(kind) else np.zeros(1, int)
+    run = kind[edge[:-1]] != 0
+    starts, ends = edge[:-1][run], edge[1:][run]
     hashes = np.empty(len(starts), np.uint64)
     w = 0
     while w < len(starts):  # pieces that end between words

@@ -32,52 +32,38 @@ columns are read, so further columns cannot clash.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ratelens.llm import kernels as K
+from ratelens.llm import counters, kernels as K
 from ratelens.llm.common import written
 from ratelens.llm.components import components
 
-SLOTS, CHUNK = 1 << 22, 1 << 14
+SLOTS = 1 << 22
 PARTS = 8
 
 
 def _counters(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint32)
-        for batch in batches:
+        for batch in K.slices(batches):
             sets = list(K.shingle_sets(K.doc_bytes(batch.column("text")), width))
             if sets:
                 np.add.at(counts, (np.concatenate(sets) & np.uint64(SLOTS - 1)).astype(np.int64), 1)
-        rows = [(i, zlib.compress(c.astype(np.int64).tobytes(), 1)) for i, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                          pa.array([r[1] for r in rows], pa.binary())], ["chunk", "counts"])
+        yield counters.chunks(counts)
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, c in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            total[i] = total.get(i, 0) + np.frombuffer(zlib.decompress(c), np.int64)
-    scaled = [np.minimum(np.log2(1.0 + v) * 1024, 65535).astype(np.uint16).tobytes() for v in total.values()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(scaled, pa.binary())],
-                                     ["chunk", "counts"])
+def _log_scaled(v: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(1.0 + v) * 1024, 65535).astype(np.uint16)
 
 
 def shingle_frequencies(docs: DataFrame, width: int) -> np.ndarray:
     """Log-scaled hashed counters over all documents: SLOTS 16-bit values."""
-    parts = docs.select("text").mapInArrow(_counters(width), "chunk int, counts binary")
-    rows = parts.repartition("chunk").mapInArrow(_summed, "chunk int, counts binary").collect()
-    table = np.zeros(SLOTS, np.uint16)  # at most SLOTS / CHUNK rows, whatever the input
-    for r in rows:
-        table[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(r["counts"]), np.uint16)
-    return table
+    return counters.total(docs.select("text").mapInArrow(_counters(width), counters.SCHEMA), SLOTS, _log_scaled, np.uint16)
 
 
 def _part_counts(s: np.ndarray) -> int:
@@ -90,7 +76,7 @@ def _part_counts(s: np.ndarray) -> int:
 def _prefixes(freq, width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = freq.value
-        for batch in batches:
+        for batch in K.slices(batches):
             n, digest, parts, prefix = [], [], [], []
             for s in K.shingle_sets(K.doc_bytes(batch.column("text")), width):
                 n.append(len(s))
@@ -117,7 +103,7 @@ def linkable(n: int, percent: int) -> bool:
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in K.slices(batches):
             sets = [s.view(np.int64) for s in K.shingle_sets(K.doc_bytes(batch.column("text")), width)]
             offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
             values = np.concatenate(sets) if sets else np.empty(0, np.int64)

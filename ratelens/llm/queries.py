@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
-from ratelens.llm import exact_dedup, ngram_join, packing, quote_linking, rank_bpe, secrets, token_files
-from ratelens.llm.common import read, scratch_path
+from pyspark.sql import functions as F
+
+from ratelens.llm import (exact_dedup, language_id, ngram_join, packing, quality, quote_linking, rank_bpe, secrets,
+                          token_files)
+from ratelens.llm.common import crc_fold, read, scratch_path
+
+
+def op1_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.fit(docs, crc_fold(F.col("doc_id"), 4) != 2)
+    out = language_id.predict(docs, model)
+    return out.withColumn("held_out", F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False)))
+
+
+def op3_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"), 5) != 0)
+    out = quality.score(docs, model)
+    return out.withColumn("held_out", F.coalesce(crc_fold(F.col("doc_id"), 5) == 0, F.lit(False)))
 
 
 def op4_rank_bpe(spark, sf_dir):
@@ -36,7 +53,7 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op4_rank_bpe, op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_quality, op4_rank_bpe, op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 

@@ -75,28 +75,24 @@ class RankBpe:
         """Ids of one word of shown bytes."""
         if len(word) > LONG:
             return self.merge_long(word)
-        n, rank, end = len(word), self.rank, self.end
-
-        def part(i: int) -> str:
-            a, z = cuts[i], cuts[i + 1]
-            return word[a:z] + end if z == n else word[a:z]
-
-        def rank_at(i: int) -> int:
-            return rank.get((part(i), part(i + 1)), NEVER)
-
-        cuts = list(range(n + 1))
-        ranks = [rank_at(i) for i in range(n - 1)]
+        get, vocab = self.rank.get, self.vocab
+        n, w = len(word), word + self.end
+        cuts = [*range(n), len(w)]  # part i is w[cuts[i]:cuts[i + 1]]
+        ranks = [get(pair, NEVER) for pair in zip(word, word[1:-1], strict=False)]
+        if n > 1:
+            ranks.append(get((w[n - 2], w[n - 1:]), NEVER))
         while ranks:
             low = min(ranks)
             if low == NEVER:
                 break
             i = ranks.index(low)
             del cuts[i + 1], ranks[i]
+            a, z = cuts[i], cuts[i + 1]
             if i < len(ranks):
-                ranks[i] = rank_at(i)
+                ranks[i] = get((w[a:z], w[z:cuts[i + 2]]), NEVER)
             if i:
-                ranks[i - 1] = rank_at(i - 1)
-        return [self.vocab[part(i)] for i in range(len(cuts) - 1)]
+                ranks[i - 1] = get((w[cuts[i - 1]:a], w[a:z]), NEVER)
+        return [vocab[w[a:z]] for a, z in zip(cuts, cuts[1:], strict=False)]
 
     def merge_long(self, word: str) -> list[int]:
         """The same merges from a heap of (rank, place), stale entries skipped."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratelens.llm import (exact_dedup, language_id, ngram_join, packing, quality, quote_linking, rank_bpe, secrets,
+from ratelens.llm import (exact_dedup, hash_index, language_id, ngram_join, packing, quality, quote_linking, rank_bpe, secrets,
                           token_files)
 from ratelens.llm.common import crc_fold, read, scratch_path
 
@@ -16,6 +16,10 @@ def op1_language_id(spark, sf_dir):
     return out.withColumn("held_out", F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False)))
 
 
+def op2_hash_index(spark, sf_dir):
+    return hash_index.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     model = quality.fit(docs, read(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"), 5) != 0)
@@ -53,7 +57,7 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_quality, op4_rank_bpe, op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_hash_index, op3_quality, op4_rank_bpe, op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan)}
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 

@@ -1,0 +1,105 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ratelens.llm import hash_index as H
+
+
+def brute(rows, is_query, k):
+    by = {}
+    for i, v in rows:
+        if i is None or not v or any(x is None or not np.isfinite(x) for x in v) or not any(v):
+            continue
+        by[i] = min(by.get(i, v), v)
+    ids = np.array(sorted(by), np.int64)
+    if not len(ids):
+        return {}
+    x = np.array([by[i] for i in ids], np.float32).astype(np.float64)
+    out = {}
+    for n, i in enumerate(ids):
+        if is_query(int(i)):
+            s = x @ x[n]
+            order = [j for j in np.lexsort((ids, -s)) if ids[j] != i][:k]
+            out[int(i)] = [(int(ids[j]), float(s[j])) for j in order]
+    return out
+
+
+def run(df, cond, **kw):
+    out = {}
+    for r in sorted(H.nearest(df, cond, **kw).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got = out.setdefault(r.query_id, [])
+        assert r["rank"] == len(got) + 1
+        got.append((r.vec_id, r.score))
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+
+
+def same(got, want):
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=1e-12)
+
+
+@pytest.mark.parametrize("block_rows", [40, 1 << 14])
+def test_exact_when_the_radius_takes_all(spark, block_rows):
+    rng = np.random.default_rng(1)
+    rows = [(int(i), [float(np.float32(x)) for x in v]) for i, v in enumerate(rng.normal(size=(300, 12)))]
+    rows += [(1000 + i, rows[5][1]) for i in range(60)]                      # copies: ties by id
+    same(run(frame(spark, rows), F.col("vec_id") % 5 == 0, reach=1.0, block_rows=block_rows),
+         brute(rows, lambda i: i % 5 == 0, 20))
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_recall(spark, clustered):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6000, 64))
+    if clustered:
+        x = x * 0.3 + rng.normal(size=(40, 64))[rng.integers(0, 40, 6000)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(int(i), [float(np.float32(a)) for a in v]) for i, v in enumerate(x)]
+    want = brute(rows, lambda i: i % 100 == 0, 20)
+    got = run(frame(spark, rows), F.col("vec_id") % 100 == 0, block_rows=2000)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_long_vectors_are_found(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 16)) * rng.choice([1, 20], size=(3000, 1), p=[0.99, 0.01])
+    rows = [(int(i), [float(np.float32(a)) for a in v]) for i, v in enumerate(x)]
+    want = brute(rows, lambda i: i % 100 == 0, 10)
+    got = run(frame(spark, rows), F.col("vec_id") % 100 == 0, k=10)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_radius_is_complete():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 24))
+    coder = H.learn(x, bits=64)
+    block = H.Block(np.arange(900), x, coder, 5, 0.05, 10)
+    bits = np.unpackbits(block.codes.view(np.uint8), axis=1)
+    for q in range(0, 900, 30):
+        code = coder.codes(x[q:q + 1])[0]
+        d = (bits != np.unpackbits(code.view(np.uint8))).sum(1)
+        radius = np.sort(d)[block.target - 1]
+        assert sorted(block.near(code)) == sorted(np.flatnonzero(d <= radius))
+
+
+def test_odd_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]),
+            (7, []), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (9, [2.0, 0.0]), (9, [2.0, 0.0]), (9, [1.0, 5.0]), (20, [-1.0, 0.0])]
+    want = brute([r for r in rows if r[0] != 8], lambda i: i % 20 == 0, 20)
+    same(run(frame(spark, rows), F.col("vec_id") % 20 == 0), want)
+    assert len(want[0]) == 3
+
+
+def test_empty_table_and_further_columns(spark):
+    assert run(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0) == {}
+    df = spark.createDataFrame([(0, [1.0], 3, 4)], "vec_id long, embedding array<float>, block int, v int")
+    assert run(df, F.col("vec_id") % 20 == 0) == {}

@@ -1,15 +1,22 @@
 """Corpus pipeline over ``documents``: one stage per operator, in order.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
-as Parquet and reread as the next one's input.
+Each stage takes (spark, docs, sf_dir), works on all rows that the one before
+kept, and returns a DataFrame that is written as Parquet and reread as the
+next one's input. All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratelens.llm import exact_dedup, secrets
-from ratelens.llm.common import read, written
+from ratelens.llm import exact_dedup, ngram_join, packing, quality, secrets
+from ratelens.llm.common import crc_fold, read, written
+
+
+def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents it predicts 0 go."""
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"), 5) != 0)
+    return quality.keep_good(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,14 +24,27 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (five words, 0.8): one document of each group stays."""
+    return ngram_join.drop_near_copies(docs)
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans: every span found is masked; all documents stay."""
     return secrets.redact_documents(docs)
 
 
+def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: the pieces of all documents with their token ids."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality", keep_good_texts),
     ("exact_dedup", drop_exact_copies),
+    ("ngram_join", drop_near_copies),
     ("secret_scan", mask_secrets),
+    ("packing", pack_tokens),
 ]
 
 ORACLE_SQL = None  # a trained classifier decides what goes: no SQL for it

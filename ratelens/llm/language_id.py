@@ -53,13 +53,12 @@ def pieces(text: str) -> Iterator[str]:
 def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each width: the buckets of all subwords of the texts, and the text of each."""
     lowered = [t.lower() for t in texts]
-    codes = np.frombuffer("\0".join(lowered).encode("utf-32-le"), np.uint32)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + 1 for t in lowered])[: len(codes)]
+    codes = np.frombuffer("".join([f"\0{t}\0" for t in lowered]).encode("utf-32-le"), np.uint32)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + 2 for t in lowered])
     codes = np.where(LETTER[codes], codes, 0).astype(np.uint64)
     keep = codes != 0
-    if len(keep):
-        keep[1:] |= codes[:-1] != 0       # one mark after each word
-        keep[:-1] |= codes[1:] != 0       # and one before
+    keep[1:] |= codes[:-1] != 0           # one mark after each word
+    keep[:-1] |= codes[1:] != 0           # and one before
     codes, doc = codes[keep], doc[keep]
     letter = codes != 0
     h, inner = codes + np.uint64(1), np.ones(len(codes), bool)
@@ -67,10 +66,8 @@ def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if n > 1:
             h = h[:-1] * STEP + codes[n - 1:]
             inner = inner[:-1] if n == 2 else inner[:-1] & letter[n - 2: -1]
-        m = len(h)
-        # no mark inside, no window of marks only
-        valid = inner & (letter[:m] | letter[n - 1: n - 1 + m])
-        yield ((h[valid] * SPREAD) >> np.uint64(49)).astype(np.int32), doc[:m][valid]
+        valid = inner if n > 2 else letter[:len(h)] | letter[n - 1:]  # no mark inside, no window of marks only
+        yield ((h[valid] * SPREAD) >> np.uint64(49)).astype(np.int32), doc[:len(h)][valid]
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ratelens.llm import counters, kernels as K
 
@@ -202,5 +203,5 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` (columns unchanged) that are predicted 1, in one pass."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of the caller cannot clash
-    out = plain.mapInArrow(_scored(shared, plain.columns, f"c{docs.columns.index('text')}"), plain.schema.add("score", "double"))
+    out = plain.mapInArrow(_scored(shared, plain.columns, f"c{docs.columns.index('text')}"), StructType([*plain.schema.fields, StructField("score", DoubleType())]))
     return out.where(F.col("score") >= KEEP_FROM).drop("score").toDF(*docs.columns)

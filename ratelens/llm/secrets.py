@@ -180,8 +180,9 @@ def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFr
     hits = blob_findings(scan_new(docs, None, rules), rules).withColumnsRenamed({"blob": "_blob", "spans": "_spans"})
     rows = docs.withColumn("_blob", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
     out = rows.join(hits, "_blob", "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans")))
-    cols = {"text": text}
+    # a name of its own: inside a lambda, ``text`` would mean the new column
+    out = out.withColumn("_masked", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans"))))
+    cols = {"text": F.col("_masked")}
     if "n_chars" in docs.columns:
-        cols["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+        cols["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast("long"))
     return out.select(*[cols.get(c, F.col(c)).alias(c) for c in docs.columns])

@@ -44,9 +44,9 @@ def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
     if args.command == "ratings":
         star = RatingsStar(
             ratings=files.read_ratings(spark, args.ratings, on_bad=args.on_bad),
-            movies=files.read_movies(spark, args.movies, on_bad=args.on_bad),
-            users=files.read_users(spark, args.users, on_bad=args.on_bad),
-            occupations=files.read_occupations(spark, args.occupations, on_bad=args.on_bad),
+            movies=files.read_movies(spark, args.movies, on_bad=args.on_bad, last=True),
+            users=files.read_users(spark, args.users, on_bad=args.on_bad, last=True),
+            occupations=files.read_occupations(spark, args.occupations, on_bad=args.on_bad, last=True),
         )
         return run_rating_jobs(star, args.out)
     lines = files.read_lines(spark, args.input).withColumnRenamed("value", "line")

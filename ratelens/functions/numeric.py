@@ -11,17 +11,20 @@ def _col(c) -> Column:
 
 
 def round2(c) -> Column:
-    """Round half-up to two decimals on the decimal value.
-
-    The mean is first fixed to six decimals, then rounded, so that a value
-    printed as 2.675 becomes 2.68 (binary rounding would give 2.67)."""
-    return F.round(_col(c).cast("decimal(18,6)"), 2).cast("double")
+    """Round once, half-up, to two decimals on the shortest decimal form of
+    the double (2.675 becomes 2.68, 3.00499975 becomes 3.0)."""
+    return F.round(_col(c), 2)
 
 
 def fixed2(c) -> Column:
-    """Two-decimal string ('4.00'); NULL stays NULL."""
-    return F.round(_col(c).cast("decimal(18,6)"), 2).cast("decimal(18,2)").cast("string")
+    """Two-decimal string ('4.00'), rounded once; NULL stays NULL."""
+    return F.when(_col(c).isNotNull(), F.format_string("%.2f", _col(c)))
 
 
 def fixed2_or(c, default: str) -> Column:
     return F.coalesce(fixed2(c), F.lit(default))
+
+
+def plain(c) -> Column:
+    """The unrounded value in single precision as text ('4.0', '3.6666667')."""
+    return _col(c).cast("float").cast("string")

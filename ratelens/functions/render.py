@@ -1,6 +1,7 @@
 """Row rendering for text reports: fixed-width rows and sentence forms.
 
-Means are shown with two decimals (half-up on the decimal value)."""
+Means are shown with two decimals, but for the movie sentence, which shows the
+unrounded mean in single precision."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.numeric import fixed2, fixed2_or
+from ratelens.functions.numeric import fixed2, fixed2_or, plain
 
 
 def _text(c: str, kind: str) -> Column:
@@ -29,32 +30,26 @@ def fixed_width(df: DataFrame, spec: Sequence[tuple[str, int, str]], sep: str =
     return df.select(F.format_string(fmt, *[_text(c, k) for c, _, k in spec]).alias(out))
 
 
-def fixed_width_header(spec: Sequence[tuple[str, int, str]], labels: Sequence[str], sep: str = " | ") -> str:
-    return sep.join(f"{lb:<{w}}" for (_, w, _), lb in zip(spec, labels))
-
-
 # Layouts of the text reports.
 MOVIE_ROW = [("movie_id", 7, "s"), ("title", 60, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]
-MOVIE_LABELS = ["MovieID", "Title", "AvgRating", "TotalRatings"]
 GENRE_ROW = [("genre", 15, "s"), ("avg_rating", 10, "f2")]
-GENRE_LABELS = ["Genre", "AvgRating"]
 # The gender report prints its (already rounded) mean as a plain number: 4.0, 3.55.
 GENDER_ROW = [("movie_id", 7, "s"), ("title", 60, "s"), ("gender", 6, "s"), ("avg_rating", 10, "s"),
               ("n", 10, "s")]
-GENDER_LABELS = ["MovieID", "Title", "Gender", "AvgRating", "TotalRatings"]
 AGE_ROW = [("movie_id", 7, "s"), ("title", 60, "s"), ("age_group", 10, "s"), ("avg_rating", 10, "f2"),
            ("n", 12, "s")]
-AGE_LABELS = ["MovieID", "Title", "AgeGroup", "AvgRating", "TotalRatings"]
 OCCUPATION_ROW = [("occupation_id", 5, "u"), ("occupation", 20, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]
-OCCUPATION_LABELS = ["ID", "Occupation", "AvgRating", "TotalRatings"]
 YEAR_ROW = [("year", 8, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]
-YEAR_LABELS = ["Year", "AvgRating", "TotalRatings"]
+
+
+# Texts of the sentences below.
+def movie_line() -> Column:
+    return F.format_string("Average rating: %s (Total ratings: %d)", plain("avg_rating"), F.col("n"))
 
 
 def movie_sentence(df: DataFrame) -> DataFrame:
-    """title, "Average rating: X (Total ratings: N)"."""
-    return df.select("title", F.format_string("Average rating: %s (Total ratings: %d)",
-                                              fixed2("avg_rating"), F.col("n")).alias("value"))
+    """title, "Average rating: X (Total ratings: N)" with the unrounded mean."""
+    return df.select("title", movie_line().alias("value"))
 
 
 def genre_sentence(df: DataFrame) -> DataFrame:

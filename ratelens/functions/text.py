@@ -150,7 +150,7 @@ def extract_or_null(c, regex: str, group: int) -> Column:
     return F.when(_col(c).rlike(regex), F.regexp_extract(_col(c), regex, group))
 
 
-def loose_int(c) -> Column:
-    """String to int; a decimal string is truncated ('12.5' -> 12), junk -> NULL."""
+def loose_long(c) -> Column:
+    """String to bigint; a decimal string is truncated ('12.5' -> 12), junk -> NULL."""
     c = _col(c)
-    return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))

@@ -62,18 +62,6 @@ def conditional_means(df: DataFrame, keys, value: str, cases: dict[str, Column],
     return df.groupBy(*_cols(keys)).agg(*aggs)
 
 
-def pivot_means(df: DataFrame, keys, pivot_col: str, values: Sequence[str],
-                value: str = "rating", rounded: bool = True) -> DataFrame:
-    """General pivot to fixed categories (values must be listed, so no
-    extra job discovers them). Costs two aggregate exchanges."""
-    mean = F.avg(value)
-    out = df.groupBy(*_cols(keys)).pivot(pivot_col, list(values)).agg(mean)
-    if rounded:
-        for v in values:
-            out = out.withColumn(v, round2(F.col(f"`{v}`")))
-    return out
-
-
 def mean_by_dimension(fact: DataFrame, dim: DataFrame, key: str, attrs, value: str = "rating",
                       how: str = "left", defaults: dict | None = None, avg: str = "avg_rating",
                       n: str | None = "n", rounded: bool = True) -> DataFrame:

@@ -1,13 +1,9 @@
 """Enrich a fact DataFrame from a dimension keyed by one column.
 
-Join strategy: by default no hint is given. Spark then broadcasts the
-dimension only when its size estimate is under
-``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks with the exact
-runtime size; anything larger runs as a sort-merge join, where AQE's skew
-handling splits a hot key's partition on the fact side. A caller may pass
-``broadcast=<max rows>``: the dimension is then broadcast only after a
-bounded count proves it has at most that many rows, and otherwise left to
-Spark's choice. ``broadcast=False`` rules broadcasting out.
+Join strategy: no hint is given. Spark broadcasts the dimension only when its
+size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+re-checks with the exact runtime size; anything larger runs as a sort-merge
+join, where AQE's skew handling splits a hot key's partition on the fact side.
 """
 
 from __future__ import annotations
@@ -16,27 +12,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def last_per_key(dim: DataFrame, key: str, order: str) -> DataFrame:
+    """One row per key, the one with the largest ``order`` (a dictionary
+    filled in that order keeps its last entry). NULL keys are left out."""
+    rest = [c for c in dim.columns if c not in (key, order)]
+    last = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_last"))
+    return last.select(key, *[F.col("_last")[c].alias(c) for c in rest])
+
+
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-           defaults: dict | None = None, unique: bool = False,
-           broadcast: int | bool | None = None) -> DataFrame:
-    """``fact`` joined with ``dim`` on ``key``.
+           defaults: dict | None = None) -> DataFrame:
+    """``fact`` joined with ``dim`` on ``key`` (unique in ``dim``).
 
     how       ``left`` keeps fact rows without a match, ``inner`` drops them.
     defaults  ``{dim_column: Column | value}`` filled in for missing matches
               (the key itself, ``"Unknown"``, ...).
-    unique    keep one dimension row per key (dictionary semantics) so a
-              duplicated key cannot multiply fact rows.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup supports left/inner, not {how!r}")
-    if unique:
-        dim = dim.dropDuplicates([key])
-    if broadcast is True:
-        raise ValueError("pass a row bound (broadcast=<max rows>) instead of True")
-    if broadcast is False:
-        dim = dim.hint("merge")
-    elif isinstance(broadcast, int) and broadcast_fits(dim, broadcast):
-        dim = F.broadcast(dim)
     out = fact.join(dim, on=key, how=how)
     for name, value in (defaults or {}).items():
         fill = value if isinstance(value, Column) else F.lit(value)
@@ -44,11 +37,15 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     return out
 
 
-def broadcast_fits(dim: DataFrame, max_rows: int) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows. At most
-    ``max_rows + 1`` rows are counted (a scan stops early), so the check
-    stays cheap however large the dimension is."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def lookup_past_nulls(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left ``lookup`` of a raw fact in which many rows may have a NULL key:
+    those go round the join with NULL attributes, so they never meet in one
+    partition of it."""
+    extra = [c for c in dim.columns if c != key]
+    types = dict(dim.dtypes)
+    known = lookup(fact.where(F.col(key).isNotNull()), dim, key).select(*fact.columns, *extra)
+    unknown = fact.where(F.col(key).isNull()).select(*fact.columns, *[F.lit(None).cast(types[c]).alias(c) for c in extra])
+    return known.unionByName(unknown)
 
 
 def title_fallback(mode: str, key: str = "movie_id", title: str = "title") -> dict:

@@ -29,10 +29,6 @@ def parsed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.parse_review_lines(tables.review_lines(spark, sf_dir))
 
 
-def cleaned_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.clean_reviews(parsed_reviews(spark, sf_dir))
-
-
 def _ratings_union_all(spark, d):
     first, second = tables.rating_files(spark, d)
     return first.unionByName(second)
@@ -57,8 +53,19 @@ def _age_sentence(star_):
     return P.age_sentence(wide, labels, [R.age_column(x) for x in labels])
 
 
-def _clean(fn, **kw):
-    return lambda spark, d: fn(cleaned_reviews(spark, d), **kw)
+def _columns(fn, **kw):
+    """A count over review columns; the text is never read."""
+    return lambda spark, d: fn(tables.reviews(spark, d), **kw)
+
+
+def _words(fn, **kw):
+    """A word report over all texts."""
+    return lambda spark, d: fn(V.clean_reviews(tables.review_texts(spark, d)), **kw)
+
+
+def _words_of(wanted, fn, **kw):
+    """A word report over the texts of some sentiments, chosen before cleaning."""
+    return lambda spark, d: fn(V.clean_reviews(V.of_sentiment(tables.reviews(spark, d), wanted)), **kw)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -92,13 +99,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # reviews
     "reviews_parse": parsed_reviews,
     "reviews_clean": lambda spark, d: V.clean_sorted_reviews(parsed_reviews(spark, d)),
-    "top_words_k": _clean(V.top_words, k=5),
-    "category_count": _clean(V.count_by, key="category"),
-    "aspect_count": _clean(V.count_by, key="aspect"),
-    "top_aspect_positive": _clean(V.top_aspect, sentiment="positive"),
-    "top_aspect_negative": _clean(V.top_aspect, sentiment="negative"),
-    "top_words_category_positive": _clean(V.top_words_for_sentiment, sentiment="positive"),
-    "top_words_category_negative": _clean(V.top_words_for_sentiment, sentiment="negative"),
-    "top_words_category": _clean(V.top_symbol_stripped_words, k=5),
-    "top_words_category_by_sentiment": _clean(V.top_words_by_category, sentiments=("positive", "negative"), k=5),
+    "top_words_k": _words(V.top_words, k=5),
+    "category_count": _columns(V.count_by, key="category"),
+    "aspect_count": _columns(V.count_by, key="aspect"),
+    "top_aspect_positive": _columns(V.top_aspect, sentiment="positive"),
+    "top_aspect_negative": _columns(V.top_aspect, sentiment="negative"),
+    "top_words_category_positive": _words_of(["positive"], V.top_words_for_sentiment, sentiment="positive"),
+    "top_words_category_negative": _words_of(["negative"], V.top_words_for_sentiment, sentiment="negative"),
+    "top_words_category": _words(V.top_symbol_stripped_words, k=5),
+    "top_words_category_by_sentiment": _words_of(["positive", "negative"], V.top_words_by_category,
+                                                 sentiments=("positive", "negative"), k=5),
 }

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ratelens.functions.text import STOPWORD_PATTERN
 from ratelens.plans import ratings as R
 from ratelens.plans import reviews as V
-from ratelens.sinks import stage, write_many, write_tsv
+from ratelens.operators.aggregate import sum_count
+from ratelens.sinks import stage, unstage, write_many, write_tsv
 from ratelens.sources.files import parse_review_lines
 
 
@@ -48,6 +49,7 @@ def run_review_jobs(lines: DataFrame, out_dir: str, pattern: str = STOPWORD_PATT
     finally:
         for small in (by_sentiment, aspects):
             small.unpersist()
+        unstage(cleaned)
     return {p.rsplit("/", 1)[-1]: p for p in paths}
 
 
@@ -55,10 +57,14 @@ def run_rating_jobs(star: R.RatingsStar, out_dir: str) -> dict[str, str]:
     """Writes every rating report as tab-separated folders.
 
     The ratings are joined with all user attributes once and staged, so the
-    gender, age and occupation reports share one shuffle of the fact."""
+    gender, age and occupation reports share one shuffle of the fact; the
+    per-movie sums that six reports start from are computed once. Staged
+    folders are deleted at the end."""
     out = out_dir.rstrip("/")
     enriched = R.enrich_users(star)
-    star = R.RatingsStar(stage(enriched.ratings, "rated_users"), star.movies, star.users, star.occupations)
+    rated = stage(enriched.ratings, "rated_users")
+    partials = stage(sum_count(rated, "movie_id"), "movie_partials")
+    star = R.RatingsStar(rated, star.movies, star.users, star.occupations, partials)
     reports = {
         "movie_mean_count": R.movie_mean_count(star),
         "movie_mean_by_title": R.movie_mean_by_title(star),
@@ -73,6 +79,10 @@ def run_rating_jobs(star: R.RatingsStar, out_dir: str) -> dict[str, str]:
         "occupation_mean": R.occupation_mean(star),
         "year_mean": R.year_mean(star),
     }
-    for name, df in reports.items():
-        write_tsv(df, f"{out}/{name}")
+    try:
+        for name, df in reports.items():
+            write_tsv(df, f"{out}/{name}")
+    finally:
+        unstage(rated)
+        unstage(partials)
     return {name: f"{out}/{name}" for name in reports}

@@ -11,17 +11,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.buckets import PRESETS, bucket_ordinal, bucketize
-from ratelens.functions.numeric import fixed2, fixed2_or
+from ratelens.functions.numeric import fixed2, fixed2_or, plain
+from ratelens.functions.render import movie_line
 from ratelens.functions.time import year_utc
 from ratelens.operators.aggregate import (combine, conditional_means, finish, mean_by_dimension,
                                           mean_count, sum_count)
-from ratelens.operators.best import best_with_support
+from ratelens.operators.best import best_with_support, qualifying
 from ratelens.operators.explode import explode_values
-from ratelens.operators.lookup import lookup, title_fallback
+from ratelens.operators.lookup import lookup, lookup_past_nulls, title_fallback
 
 UNKNOWN = "Unknown"
 
@@ -30,38 +31,57 @@ UNKNOWN = "Unknown"
 class RatingsStar:
     """ratings: user_key, movie_id, rating, ts
     movies: movie_id, title, genres      users: user_key, user_id, gender, age, occupation_id
-    occupations: occupation_id, occupation"""
+    occupations: occupation_id, occupation
+    movie_partials: (sum, count) per movie, when a job has computed them once.
+
+    Keys are unique in movies, users and occupations (the readers' ``last``
+    option keeps the last row of a repeated key)."""
     ratings: DataFrame
     movies: DataFrame
     users: DataFrame
     occupations: DataFrame | None = None
+    movie_partials: DataFrame | None = None
 
     @property
     def titles(self) -> DataFrame:
         return self.movies.select("movie_id", "title")
 
-    def rated_with(self, *attrs: str, how: str = "left") -> DataFrame:
-        """Ratings carrying the given user attributes (NULL for an unknown
-        user). Ratings already enriched by ``enrich_users`` are used as is."""
+    def per_movie(self) -> DataFrame:
+        return self.movie_partials if self.movie_partials is not None else sum_count(self.ratings, "movie_id")
+
+    def rated_with(self, *attrs: str) -> DataFrame:
+        """Ratings carrying the given user attributes, NULL for an unknown
+        user; a known user's missing gender is empty text. Ratings already
+        enriched by ``enrich_users`` are used as is."""
+        if all(a in self.ratings.columns for a in attrs):
+            return self.ratings
+        return lookup_past_nulls(self.ratings, user_attributes(self, *attrs), "user_key")
+
+    def rated_by_known(self, *attrs: str) -> DataFrame:
+        """Ratings of known users only. The merge hint keeps the fact from
+        ever being the broadcast side, which an inner join would allow."""
         if all(a in self.ratings.columns for a in attrs):
-            rated = self.ratings
-            if how == "inner" and "_user_known" in rated.columns:
-                rated = rated.where(F.col("_user_known"))
-            return rated
-        return lookup(self.ratings, self.users.select("user_key", *attrs), "user_key", how=how)
+            return self.ratings.where(F.col("_user_known"))
+        return lookup(self.ratings.hint("merge"), user_attributes(self, *attrs), "user_key", how="inner")
 
 
 USER_ATTRS = ("gender", "age", "occupation_id")
 
 
+def user_attributes(star: RatingsStar, *attrs: str) -> DataFrame:
+    filled = [F.coalesce("gender", F.lit("")).alias("gender") if a == "gender" else F.col(a) for a in attrs]
+    return star.users.select("user_key", *filled)
+
+
 def enrich_users(star: RatingsStar) -> RatingsStar:
     """Attach every user attribute to the ratings with one join.
 
     Reports by gender, age and occupation then reuse the enriched ratings
     instead of each joining (and shuffling) the whole fact again; stage the
     result (``sinks.stage``) when several reports read it."""
-    users = star.users.select("user_key", *USER_ATTRS).withColumn("_user_known", F.lit(True))
-    rated = lookup(star.ratings, users, "user_key", defaults={"_user_known": False})
+    users = user_attributes(star, *USER_ATTRS).withColumn("_user_known", F.lit(True))
+    rated = lookup_past_nulls(star.ratings, users, "user_key")
+    rated = rated.withColumn("_user_known", F.coalesce("_user_known", F.lit(False)))
     return RatingsStar(rated, star.movies, star.users, star.occupations)
 
 
@@ -74,7 +94,7 @@ def _with_titles(stats: DataFrame, star: RatingsStar, on_missing: str) -> DataFr
 
 def movie_stats(star: RatingsStar, rounded: bool = True, on_missing: str = "drop") -> DataFrame:
     """movie_id, title, avg_rating, n (aggregate first, then titles)."""
-    stats = mean_count(star.ratings, "movie_id", rounded=rounded)
+    stats = finish(star.per_movie(), rounded=rounded)
     return _with_titles(stats, star, on_missing).select("movie_id", "title", "avg_rating", "n")
 
 
@@ -96,22 +116,36 @@ def best_movie(star: RatingsStar, min_n: int = 5, rounded: bool = False,
     when no movie qualifies."""
     best = best_with_support(movie_stats(star, rounded, on_missing), min_n,
                              strictly_positive=not rounded)
+    return best.withColumn("result", result_sentence(F.col("found"), min_n, rounded)).drop("found")
+
+
+def result_sentence(found: Column, min_n: int, rounded: bool) -> Column:
     # Result sentences.
-    found = F.format_string(
+    best = F.format_string(
         "%s is the highest rated movie with an average rating of %s among movies with at least %d ratings.",
-        F.col("title"), fixed2("avg_rating"), F.lit(min_n))
-    none = F.lit(f"No movies has at least {min_n} ratings.")
-    return best.withColumn("result", F.when(F.col("found"), found).otherwise(none)).drop("found")
+        F.col("title"), fixed2("avg_rating") if rounded else plain("avg_rating"), F.lit(min_n))
+    return F.when(found, best).otherwise(F.lit(f"No movies has at least {min_n} ratings."))
 
 
 def movie_report_with_result(star: RatingsStar, min_n: int = 5) -> DataFrame:
     """title, value: one sentence per movie, then a ``RESULT`` line naming
     the best movie with at least ``min_n`` ratings (or saying none has)."""
-    from ratelens.functions.render import movie_sentence
-    lines = movie_sentence(movie_mean_by_title(star)).withColumn("_o", F.lit(0))
-    result = best_movie(star, min_n).select(F.lit("RESULT").alias("title"), F.col("result").alias("value"),
-                                            F.lit(1).alias("_o"))
-    return lines.unionByName(result).orderBy("_o", "title").drop("_o")
+    stats = lookup(finish(star.per_movie(), rounded=False), star.titles, "movie_id")
+    kind = dict(stats.dtypes)["movie_id"]
+    # Each movie stands once for its own line and once as a candidate of the
+    # result line, so both come from one aggregate of the ratings. One seed
+    # row makes the result line exist without any movie.
+    own = F.struct(F.lit(0).alias("o"), F.col("movie_id").alias("key"))
+    candidate = F.struct(F.lit(1).alias("o"), F.lit(None).cast(kind).alias("key"))
+    rows = stats.select("*", F.explode(F.array(own, candidate)).alias("_as"))
+    rows = rows.where((F.col("_as.o") == 0) | (F.col("title").isNotNull() & qualifying(min_n)))
+    seed = stats.sparkSession.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in stats.dtypes], candidate.alias("_as"))
+    one = F.max_by(F.struct("movie_id", "title", "avg_rating", "n"), F.struct("avg_rating", -F.col("movie_id")))
+    best = rows.unionByName(seed).groupBy("_as").agg(one.alias("_b")).select("_as.o", "_b.*")
+    line = F.when(F.col("o") == 0, movie_line()).otherwise(result_sentence(F.col("movie_id").isNotNull(), min_n, False))
+    title = F.when(F.col("o") == 1, F.lit("RESULT")).otherwise(F.coalesce("title", F.col("movie_id").cast("string")))
+    return (best.select(title.alias("title"), line.alias("value"), "o", "movie_id")
+            .orderBy("o", "title", "movie_id").select("title", "value"))
 
 
 # --- per genre --------------------------------------------------------------
@@ -120,7 +154,7 @@ def genre_stats(star: RatingsStar) -> DataFrame:
     """genre, avg_rating, n. Ratings are reduced to one (sum, count) row per
     movie before the one-to-many join with the exploded genres, so the
     explode multiplies movies, not ratings. Unknown movies drop out."""
-    partial = sum_count(star.ratings, "movie_id")
+    partial = star.per_movie()
     genres = explode_values(star.movies.select("movie_id", "genres"), "genres", out="genre")
     return finish(combine(partial.join(genres, "movie_id"), "genre"))
 
@@ -168,7 +202,7 @@ def gender_long(star: RatingsStar, id_order: str = "numeric") -> DataFrame:
 
 def _age_rated(star: RatingsStar, preset: str) -> DataFrame:
     """Ratings of known users with a known age, tagged with the age group."""
-    rated = star.rated_with("age", how="inner")
+    rated = star.rated_by_known("age")
     return rated.withColumn("age_group", bucketize("age", preset)).where(F.col("age_group").isNotNull())
 
 

@@ -19,11 +19,15 @@ from ratelens.functions.text import (STOPWORD_PATTERN, TOKEN_SEPARATORS, clean_r
 from ratelens.operators.topk import top_k, top_k_per_group
 
 
+def of_sentiment(reviews: DataFrame, sentiments: Sequence[str]) -> DataFrame:
+    """Rows whose trimmed lower-case sentiment is one of ``sentiments``."""
+    return reviews.where(F.lower(java_trim("sentiment")).isin(list(sentiments)))
+
+
 def clean_reviews(parsed: DataFrame, pattern=STOPWORD_PATTERN) -> DataFrame:
     """Lower-case, remove stop words, punctuation to spaces, collapse
     whitespace, trim. ``pattern`` is a regex string (or a Column)."""
-    return parsed.select("id", clean_review("review", pattern).alias("review"),
-                         "aspect", "category", "sentiment")
+    return parsed.withColumn("review", clean_review("review", pattern))
 
 
 def sorted_reviews(cleaned: DataFrame) -> DataFrame:
@@ -71,17 +75,10 @@ def count_by(cleaned: DataFrame, key: str, counted: str = "id", out: str = "tota
 def top_aspect(cleaned: DataFrame, sentiment: str, k: int = 1) -> DataFrame:
     """aspect, total_<sentiment>: the aspect(s) with most reviews of the
     given sentiment (trimmed aspect, trimmed lower-case sentiment, both
-    non-NULL); ties go to the smaller aspect.
-
-    Written as one conditional count per aspect, with empty groups dropped
-    after the aggregate: a filter before it would be pushed below the
-    parse and re-evaluate the parse expressions for every row."""
+    non-NULL); ties go to the smaller aspect."""
     out = f"total_{sentiment}"
-    aspect = java_trim("aspect")
-    hit = F.lower(java_trim("sentiment")) == sentiment
-    counts = (cleaned.groupBy(aspect.alias("aspect"))
-              .agg(F.count(F.when(hit, F.col("aspect"))).alias(out))
-              .where(F.col(out) > 0))
+    rows = of_sentiment(cleaned, [sentiment]).select(java_trim("aspect").alias("aspect"))
+    counts = rows.where(F.col("aspect").isNotNull()).groupBy("aspect").agg(F.count("aspect").alias(out))
     return top_k(counts, k, [F.desc(out), "aspect"])
 
 
@@ -109,15 +106,11 @@ def top_words_by_category(cleaned: DataFrame, sentiments: Sequence[str] = ("posi
     requested sentiments in one pass. Rows without id are skipped; a word
     counts when its category is non-NULL.
 
-    The row condition sits inside the explode (a non-qualifying review
-    yields no token) rather than in a filter that Catalyst would push
-    below the parse, re-evaluating it. The length filter refers to the
-    exploded word, so it stays above the explode (it also drops the empty
-    strings of the split)."""
-    sentiment = F.lower(java_trim("sentiment"))
-    qualifies = F.col("id").isNotNull() & sentiment.isin(list(sentiments))
-    words = cleaned.select(sentiment.alias("sentiment"), "category",
-                           F.explode(F.when(qualifies, F.split("review", TOKEN_SEPARATORS))).alias("word"))
+    Filter by sentiment before cleaning (``of_sentiment``): only those texts
+    are then cleaned."""
+    rows = of_sentiment(cleaned, sentiments).where(F.col("id").isNotNull())
+    words = rows.select(F.lower(java_trim("sentiment")).alias("sentiment"), "category",
+                        F.explode(F.split("review", TOKEN_SEPARATORS)).alias("word"))
     words = words.where(F.char_length("word") >= min_chars)
     counts = words.groupBy("sentiment", "category", "word").agg(F.count("category").alias("freq"))
     return top_k_per_group(counts, ["sentiment", "category"], [F.desc("freq"), "word"], k)

@@ -1,45 +1,9 @@
-"""Session helpers.
-
-Library code never builds its own session: every operator takes and returns
-DataFrames and reads settings from the session it is given. ``local_session``
-exists for tests and the benchmark only.
-"""
+"""Session settings the library reads. It never builds a session of its own."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Settings the reports depend on, applied by ``local_session`` only.
-# AQE re-plans joins from runtime sizes (broadcast when a side proves small,
-# sort-merge otherwise) and splits skewed join partitions.
-LOCAL_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
-}
-
-
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "ratelens", extra: dict | None = None) -> SparkSession:
-    """A local session for tests and benchmarks (never used by library code)."""
-    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    conf = dict(LOCAL_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("RATELENS_DRIVER_MEMORY", "16g")
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
-
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session (``spark.checkpoint.dir``
@@ -52,11 +16,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir()
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """For local sessions (tests, benchmark) only: use the configured folder,
-    or create a scratch one when none is set."""
-    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ratelens-ckpt-"))
-    return checkpoint_dir(spark)

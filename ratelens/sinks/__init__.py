@@ -13,12 +13,6 @@ from pyspark.sql import functions as F
 from ratelens.session import checkpoint_dir
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Key TAB value files: no header, no quoting, NULL written as empty."""
-    (df.write.mode(mode).option("sep", "\t").option("quote", "").option("escapeQuotes", "false")
-     .option("nullValue", "").option("emptyValue", "").csv(path))
-
-
 def as_text(df: DataFrame, sep: str = "\t") -> DataFrame:
     """One string column ``value``: the row's fields joined by ``sep``
     (NULL as empty)."""
@@ -26,17 +20,13 @@ def as_text(df: DataFrame, sep: str = "\t") -> DataFrame:
                      .alias("value"))
 
 
-def write_text(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
-               max_rows_single_file: int = 1_000_000) -> None:
-    """Write one line per row. ``single_file`` funnels the result through one
-    task and is allowed only for reports proven to have at most
-    ``max_rows_single_file`` rows (checked with a bounded ``limit`` count)."""
-    out = df if "value" in df.columns and len(df.columns) == 1 else as_text(df)
-    if single_file:
-        if out.limit(max_rows_single_file + 1).count() > max_rows_single_file:
-            raise ValueError(f"result exceeds {max_rows_single_file} rows; refusing a single-file write")
-        out = out.coalesce(1)
-    out.write.mode(mode).text(path)
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Key TAB value files: no header, no quoting, NULL written as empty.
+
+    Fields are written byte for byte: edge blanks stay, and a tab or line
+    break inside a value is not escaped (the age report's value holds tabs by
+    design), so a reader that splits on tabs sees it as a separator."""
+    as_text(df).write.mode(mode).text(path)
 
 
 def write_many(outputs: dict[str, DataFrame], parent: DataFrame | None = None,
@@ -58,16 +48,19 @@ def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared checkpoint folder
     and read it back: a hand-off between jobs that cuts lineage and survives
     executor loss (the folder is named by ``spark.checkpoint.dir``). Each
-    call writes a new ``staged-<name>-<id>`` folder; like checkpoint data it
-    stays until the checkpoint folder is cleaned."""
+    call writes a new ``staged-<name>-<id>`` folder; ``unstage`` removes it."""
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/staged-{name or 'df'}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local one)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def unstage(staged: DataFrame) -> None:
+    """Delete the folder of a staged DataFrame (not to be read afterwards)."""
+    jvm = staged.sparkSession._jvm
+    conf = staged.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        if "/staged-" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

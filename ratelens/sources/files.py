@@ -8,7 +8,12 @@ split with built-in expressions, so trimming, header rules and the
 on_bad:
   ``drop``  rows with a missing or unparsable required field are removed;
   ``null``  rows are kept, bad fields become NULL;
-  ``fail``  the job raises on the first bad field (ANSI casts).
+  ``fail``  the job raises on the first bad field of any row it reads,
+            whichever columns are used later and whatever the ANSI setting
+            (one filter looks at all fields of the line).
+
+Ids of the comma files are whole numbers: ``10.5`` is a bad id. ``NaN`` is a
+number: such a rating is kept, and its means are NaN.
 """
 
 from __future__ import annotations
@@ -20,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens import schemas
-from ratelens.functions.text import extract_or_null, full_match, java_trim, loose_int
+from ratelens.functions.text import extract_or_null, full_match, java_trim, loose_long
+from ratelens.operators.lookup import last_per_key
 
 ON_BAD = ("drop", "null", "fail")
 
@@ -35,9 +41,13 @@ def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_lines(spark: SparkSession, paths, with_file_name: bool = False) -> DataFrame:
-    """One row per line (column ``value``); optionally the source file name."""
+def read_lines(spark: SparkSession, paths, with_file_name: bool = False, with_order: bool = False) -> DataFrame:
+    """One row per line (column ``value``); optionally the source file name,
+    or ``_order``, which grows along the files in path order."""
     df = spark.read.text(_paths(paths))
+    if with_order:
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+        return df.select("value", place.alias("_order"))
     if with_file_name:
         df = df.select("value", F.col("_metadata.file_name").alias("file_name"))
     return df
@@ -48,12 +58,23 @@ def _check(on_bad: str):
         raise ValueError(f"on_bad must be one of {ON_BAD}, got {on_bad!r}")
 
 
-def _typed(raw: Column, dtype: T.DataType, on_bad: str) -> Column:
-    if isinstance(dtype, T.StringType):
-        return raw
-    if isinstance(dtype, T.IntegerType) and on_bad != "fail":
-        return loose_int(raw)
-    return raw.cast(dtype) if on_bad == "fail" else raw.try_cast(dtype)
+def _typed(raw: Column, dtype: T.DataType) -> Column:
+    return raw if isinstance(dtype, T.StringType) else raw.try_cast(dtype)
+
+
+def _apply_policy(lines: DataFrame, value: str, fields: dict[str, Column], bad: Column,
+                  on_bad: str, required: Sequence[str]) -> DataFrame:
+    """The typed ``fields`` of each line under the bad-record policy (and the
+    line's ``_order``, when it has one)."""
+    if on_bad == "fail":
+        message = F.concat(F.lit("bad input line: "), F.col(value))
+        lines = lines.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    order = [c for c in lines.columns if c == "_order"]
+    out = lines.select(*[c.alias(name) for name, c in fields.items()], *order)
+    if on_bad == "drop":
+        for name in required:
+            out = out.where(F.col(name).isNotNull())
+    return out
 
 
 def parse_fields(lines: DataFrame, schema: T.StructType, sep: str = ",", on_bad: str = "drop",
@@ -72,18 +93,16 @@ def parse_fields(lines: DataFrame, schema: T.StructType, sep: str = ",", on_bad:
     if header_regex:
         lines = lines.where(~full_match(v, header_regex))
     parts = F.split(v, sep, limit)
-    cols = []
+    fields, bad = {}, F.lit(False)
     for i, field in enumerate(schema.fields):
-        raw = parts.getItem(i) if on_bad == "fail" else F.get(parts, i)
+        raw = F.get(parts, i)
         if trim:
             raw = java_trim(raw)
-        if empty_as_null:
-            raw = F.nullif(raw, F.lit(""))
-        cols.append(_typed(raw, field.dataType, on_bad).alias(field.name))
-    out = lines.select(*cols)
-    if on_bad == "drop":
-        out = out.dropna(subset=list(required or schema.fieldNames()))
-    return out
+        typed = _typed(F.nullif(raw, F.lit("")) if empty_as_null else raw, field.dataType)
+        blank = raw == "" if empty_as_null else F.lit(False)
+        bad = bad | raw.isNull() | (typed.isNull() & ~F.coalesce(blank, F.lit(False)))
+        fields[field.name] = typed
+    return _apply_policy(lines, value, fields, bad, on_bad, required or schema.fieldNames())
 
 
 def read_delimited(spark: SparkSession, paths, schema: T.StructType, **kw) -> DataFrame:
@@ -100,37 +119,44 @@ def read_ratings(spark: SparkSession, paths, on_bad: str = "drop") -> DataFrame:
     return df.withColumn("user_key", F.col("user_id"))
 
 
-def read_movies(spark: SparkSession, paths, on_bad: str = "drop") -> DataFrame:
+def parse_movie_lines(lines: DataFrame, on_bad: str = "drop", value: str = "value") -> DataFrame:
     """``MovieID,Title,G1|G2``: the first field is the id, the last the
     genres and everything between is the title, so titles keep commas.
     A two-field line has a title and no genres."""
     _check(on_bad)
-    v = F.col("value")
+    v = F.col(value)
     three = r"^([^,]*),(.*),([^,]*)$"
     two = r"^([^,]*),([^,]*)$"
-    lines = read_lines(spark, paths).where(F.length(java_trim(v)) > 0)
     raw_id = F.coalesce(extract_or_null(v, three, 1), extract_or_null(v, two, 1))
     title = F.coalesce(extract_or_null(v, three, 2), extract_or_null(v, two, 2))
-    genres = extract_or_null(v, three, 3)
-    movie_id = java_trim(raw_id)
-    movie_id = movie_id.cast("int") if on_bad == "fail" else loose_int(movie_id)
-    out = lines.select(movie_id.alias("movie_id"), java_trim(title).alias("title"),
-                       java_trim(genres).alias("genres"))
-    if on_bad == "drop":
-        out = out.dropna(subset=["movie_id", "title"])
-    return out
+    fields = {"movie_id": _typed(java_trim(raw_id), T.LongType()), "title": java_trim(title),
+              "genres": java_trim(extract_or_null(v, three, 3))}
+    bad = fields["movie_id"].isNull() | fields["title"].isNull()
+    lines = lines.where(F.length(java_trim(v)) > 0)
+    return _apply_policy(lines, value, fields, bad, on_bad, ["movie_id", "title"])
+
+
+def _dimension(rows: DataFrame, key: str, last: bool) -> DataFrame:
+    return last_per_key(rows, key, "_order") if last else rows
 
 
-def read_users(spark: SparkSession, paths, on_bad: str = "drop") -> DataFrame:
+def read_movies(spark: SparkSession, paths, on_bad: str = "drop", last: bool = False) -> DataFrame:
+    """``last`` keeps the last line of a repeated id, as a dictionary does."""
+    return _dimension(parse_movie_lines(read_lines(spark, paths, with_order=last), on_bad), "movie_id", last)
+
+
+def read_users(spark: SparkSession, paths, on_bad: str = "drop", last: bool = False) -> DataFrame:
     """``UserID,Gender,Age,OccupationID``; a missing or bad cell other than
-    the id becomes NULL. ``user_key`` mirrors ``user_id``."""
-    df = read_delimited(spark, paths, schemas.USERS, on_bad=on_bad, required=["user_id"],
-                        empty_as_null=True)
-    return df.withColumn("user_key", F.col("user_id"))
+    the id becomes NULL. ``user_key`` mirrors ``user_id``; ``last`` keeps the
+    last line of a repeated id."""
+    df = parse_fields(read_lines(spark, paths, with_order=last), schemas.USERS, on_bad=on_bad, required=["user_id"],
+                      empty_as_null=True)
+    return _dimension(df, "user_id", last).withColumn("user_key", F.col("user_id"))
 
 
-def read_occupations(spark: SparkSession, paths, on_bad: str = "drop") -> DataFrame:
-    return read_delimited(spark, paths, schemas.OCCUPATIONS, on_bad=on_bad, limit=2)
+def read_occupations(spark: SparkSession, paths, on_bad: str = "drop", last: bool = False) -> DataFrame:
+    rows = parse_fields(read_lines(spark, paths, with_order=last), schemas.OCCUPATIONS, on_bad=on_bad, limit=2)
+    return _dimension(rows, "occupation_id", last)
 
 
 def parse_review_lines(lines: DataFrame, value: str = "line") -> DataFrame:
@@ -155,7 +181,7 @@ def parse_review_lines(lines: DataFrame, value: str = "line") -> DataFrame:
     def field(i):
         return F.when(ok, F.get(parts, i))
     return body.select(
-        loose_int(field(0)).alias("id"),
+        loose_long(field(0)).alias("id"),
         F.when(ok, F.array_join(F.slice(parts, F.lit(2), n - 4), ";")).alias("review"),
         field(n - 3).alias("aspect"),
         field(n - 2).alias("category"),
@@ -198,7 +224,7 @@ def read_routed(spark: SparkSession, paths, routes: dict[str, Callable[[DataFram
 
 
 def route_parsers(on_bad: str = "drop") -> dict[str, Callable[[DataFrame], DataFrame]]:
-    """Parsers for the three rating-star file kinds, for ``read_routed``."""
+    """Parsers for the four rating-star file kinds, for ``read_routed``."""
     def ratings(lines):
         return parse_fields(lines, schemas.RATINGS, sep=r",\s*", on_bad=on_bad,
                             required=["movie_id", "rating"], header_prefix=RATINGS_HEADER_PREFIX
@@ -208,7 +234,9 @@ def route_parsers(on_bad: str = "drop") -> dict[str, Callable[[DataFrame], DataF
         return parse_fields(lines, schemas.USERS, sep=r",\s*", on_bad=on_bad, required=["user_id"],
                             empty_as_null=True).withColumn("user_key", F.col("user_id"))
 
+    def occupations(lines):
+        return parse_fields(lines, schemas.OCCUPATIONS, on_bad=on_bad, limit=2)
+
     def movies(lines):
-        return parse_fields(lines, schemas.MOVIES, sep=",", limit=3, on_bad=on_bad,
-                            required=["movie_id", "title"])
-    return {"users": users, "ratings": ratings, "movies": movies}
+        return parse_movie_lines(lines, on_bad)
+    return {"users": users, "ratings": ratings, "movies": movies, "occupation": occupations}

@@ -3,17 +3,21 @@
 Role mapping (every entity is derived by Spark from whole tables):
 
 * ratings     ``lineitem``: movie = l_partkey, rating = l_quantity,
-              ts = epoch seconds of l_shipdate, user key = l_orderkey.
+              ts = epoch seconds of l_shipdate, user key = l_orderkey; the
+              user key of every tenth order is blank (unknown user).
 * users       keyed by the ratings' user key: ``orders`` (o_orderkey ->
               o_custkey) enriched from ``customer``: gender 'M' for the
               BUILDING segment else 'F', age from the account balance,
-              occupation = c_nationkey. A rating whose order or customer is
-              missing is a rating by an unknown user.
-* movies      ``part``: id p_partkey, title p_name, genres "p_type|<words of p_name>".
+              occupation = c_nationkey, or 100 more (an unknown occupation)
+              for every seventh customer.
+* movies      ``part``: id p_partkey, title p_name, genres "p_type|<words of
+              p_name>"; every eleventh part has another id (its ratings are
+              of an unknown movie).
 * occupations ``nation``: n_nationkey, n_name.
 * reviews     ``documents`` left-joined with ``labels``: id doc_id, review
-              text, aspect source, category lang, sentiment from quality
-              (1 positive, 0 negative, unlabelled neutral).
+              text (line breaks as spaces, as in a line file), aspect source,
+              category lang, sentiment from quality (1 positive, 0 negative,
+              unlabelled neutral).
 
 Keying users by the order key lets a report join lineitem once; the small
 orders->customer lookup is resolved first (orders is 1/4 of lineitem).
@@ -50,34 +54,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def balanced(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a fact scan over at least ``defaultParallelism`` tasks.
-
-    A large input on a cluster already scans as many splits and is returned
-    untouched. A scan with fewer splits than cores (e.g. one file with a
-    single row group) is repartitioned, so the per-row work that follows
-    (regexes over whole texts) runs on every core: hash-partitioned on
-    ``key`` (a unique column) when given, round-robin otherwise. Used for
-    the text table only; for cheap per-row work (partial aggregates over
-    ratings) the extra exchange costs more than it saves. Planning only, no
-    job is run, and column pruning still reaches the scan.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API (Spark Connect): leave the scan as is
-        return df
-    if splits >= target:
-        return df
-    # Hashing on a unique key spreads rows as evenly as round-robin, needs no
-    # sort-before-repartition, and leaves the rows partitioned on that key.
-    return df.repartition(target, key) if key else df.repartition(target)
-
-
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").alias("user_key"),
+        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_orderkey")).alias("user_key"),
         F.col("l_partkey").alias("movie_id"),
         F.col("l_quantity").alias("rating"),
         epoch_seconds("l_shipdate").alias("ts"),
@@ -85,14 +65,16 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Ratings as two like inputs (split by line status), as two rating files."""
+    """Ratings as two like inputs (line status 'O' and all others), as two rating files."""
     li = table(spark, sf_dir, "lineitem")
 
-    def part(status):
-        return li.where(F.col("l_linestatus") == status).select(
+    first = F.col("l_linestatus").eqNullSafe("O")
+
+    def part(cond):
+        return li.where(cond).select(
             F.col("l_orderkey").alias("user_key"), F.col("l_partkey").alias("movie_id"),
             F.col("l_quantity").alias("rating"), epoch_seconds("l_shipdate").alias("ts"))
-    return part("O"), part("F")
+    return part(first), part(~first)
 
 
 def customer_age():
@@ -107,7 +89,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("user_id"),
         F.when(F.col("c_mktsegment") == "BUILDING", "M").otherwise("F").alias("gender"),
         customer_age().alias("age"),
-        F.col("c_nationkey").alias("occupation_id"),
+        (F.col("c_nationkey") + F.when(F.col("c_custkey") % 7 == 0, 100).otherwise(0)).alias("occupation_id"),
     )
     return orders.join(cust, "user_id", "left")
 
@@ -115,7 +97,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return part.select(
-        F.col("p_partkey").alias("movie_id"),
+        F.when(F.col("p_partkey") % 11 == 0, -F.col("p_partkey")).otherwise(F.col("p_partkey")).alias("movie_id"),
         F.col("p_name").alias("title"),
         F.concat_ws("|", F.col("p_type"), F.regexp_replace("p_name", " ", "|")).alias("genres"),
     )
@@ -126,24 +108,25 @@ def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("occupation"))
 
 
+def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews without the sentiment (no join with the labels)."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.regexp_replace("text", r"\r\n|\r|\n", " ").alias("review"),
+        F.col("source").alias("aspect"), F.col("lang").alias("category"))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = balanced(table(spark, sf_dir, "documents"), key="doc_id").select("doc_id", "text", "source", "lang")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
     sentiment = (F.when(F.col("quality") == 1, "positive")
                  .when(F.col("quality") == 0, "negative").otherwise("neutral"))
-    return docs.join(labels, "doc_id", "left").select(
-        F.col("doc_id").alias("id"), F.col("text").alias("review"),
-        F.col("source").alias("aspect"), F.col("lang").alias("category"),
-        sentiment.alias("sentiment"))
+    return review_texts(spark, sf_dir).join(labels, "id", "left").select(
+        "id", "review", "aspect", "category", sentiment.alias("sentiment"))
 
 
 def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ``id;review;aspect;category;sentiment`` lines (one column ``line``)
-    with a header line, as a line-oriented review file holds them. Line
-    breaks inside a review become spaces, since a line file cannot hold them."""
+    with a header line, as a line-oriented review file holds them."""
     r = reviews(spark, sf_dir)
-    line = F.concat_ws(";", F.col("id").cast("string"),
-                       F.regexp_replace("review", r"\r\n|\r|\n", " "),
-                       "aspect", "category", "sentiment")
+    line = F.concat_ws(";", F.col("id").cast("string"), "review", "aspect", "category", "sentiment")
     header = spark.range(1).select(F.lit(REVIEW_HEADER).alias("line"))
     return header.unionByName(r.select(line.alias("line")))

@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from ratelens.session import local_session
+    from bench import local_session
     s = local_session("*", shuffle_partitions=8, app="ratelens-tests")
     yield s
     s.stop()

@@ -70,7 +70,7 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
 
 
 def main(argv):
-    from ratelens.session import local_session
+    from bench import local_session
     import __spark_entry__ as E
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"

@@ -32,7 +32,7 @@ def summary(df) -> dict:
 
 
 def main(argv):
-    from ratelens.session import local_session
+    from bench import local_session
     import __spark_entry__ as E
 
     sf_dir = next((a for a in argv[1:] if not a.startswith("--")), "/root/testdata/sf0.01")

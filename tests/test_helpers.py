@@ -1,18 +1,10 @@
-"""Smaller helpers: rendering headers, writers, checkpoints, join hints,
-streaming year means."""
+"""Smaller helpers: writers, explode, command line."""
 
 from pyspark.sql import functions as F
 
-from conftest import RATINGS_1, RATINGS_2, rows
+from conftest import rows
 from ratelens import sinks
-from ratelens.functions import render as P
 from ratelens.operators.explode import explode_values
-from ratelens.operators.lookup import lookup
-
-
-def test_fixed_width_header_matches_row_layout():
-    header = P.fixed_width_header(P.YEAR_ROW, P.YEAR_LABELS)
-    assert header == f"{'Year':<8} | {'AvgRating':<10} | {'TotalRatings':<12}"
 
 
 def test_write_many_shares_one_parent(spark, tmp_path):
@@ -24,89 +16,15 @@ def test_write_many_shares_one_parent(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "b")).count() == 10
 
 
-def test_reliable_checkpoint(spark):
-    df = sinks.checkpointed(spark.range(10).withColumn("x", F.col("id") * 2))
-    assert df.count() == 10 and "LogicalRDD" in df._jdf.queryExecution().analyzed().toString()
-
-
-def test_lookup_hints(spark):
-    fact = spark.range(1000).withColumn("k", F.col("id") % 10)
-    dim = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    import pytest
-    with_bc = lookup(fact, dim, "k", broadcast=100)._jdf.queryExecution().executedPlan().toString()
-    no_bc = lookup(fact, dim, "k", broadcast=False)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in with_bc
-    assert "SortMergeJoin" in no_bc and "BroadcastHashJoin" not in no_bc
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:  # 10 rows exceed a bound of 5: no hint, Spark's own (sort-merge) choice
-        over = lookup(fact, dim, "k", broadcast=5)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" not in over
-    with pytest.raises(ValueError):
-        lookup(fact, dim, "k", broadcast=True)
-
-
 def test_explode_values_keep_and_separator(spark):
     df = spark.createDataFrame([(1, "a, b,,c", "x")], "id int, tags string, other string")
     got = rows(explode_values(df, "tags", r",\s*", out="tag", keep=["id"]))
     assert got == [(1, "a"), (1, "b"), (1, "c")]
 
 
-def test_streaming_year_means(spark, write_files, tmp_path):
-    from ratelens import streaming
-    f = write_files({"ratings_1.txt": RATINGS_1, "ratings_2.txt": RATINGS_2}, sub="stream_years")
-    folder = f["ratings_1.txt"].rsplit("/", 1)[0]
-    q = streaming.start(streaming.running_year_means(streaming.rating_stream(spark, folder)), "year_means_t",
-                        checkpoint=str(tmp_path / "ckpt_year_means"))
-    try:
-        q.processAllAvailable()
-        got = sorted(rows(spark.table("year_means_t"), "year", "avg_rating", "n"))
-    finally:
-        q.stop()
-    assert got == [(2019, 5.0, 1), (2020, 3.17, 3)]
-
-
 def test_command_line_rejects_unknown_policy():
     import pytest
     from ratelens.__main__ import parse_args
     with pytest.raises(SystemExit):
         parse_args(["ratings", "--ratings", "r", "--movies", "m", "--users", "u", "--occupations", "o",
                     "--out", "x", "--on-bad", "skip"])
-
-
-def test_streaming_parquet_sink_rewrites_full_result(spark, write_files, tmp_path):
-    from ratelens import streaming
-    f = write_files({"ratings_1.txt": RATINGS_1, "ratings_2.txt": RATINGS_2}, sub="stream_pq")
-    folder = f["ratings_1.txt"].rsplit("/", 1)[0]
-    out = str(tmp_path / "movie_means")
-    q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, folder)), "movie_means_pq",
-                        sink="parquet", path=out, checkpoint=str(tmp_path / "ckpt_pq"))
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    got = sorted(rows(spark.read.parquet(out), "movie_id", "avg_rating", "n"))
-    assert got == [(10, 4.17, 3), (99, 2.0, 1)]
-
-
-def test_streaming_query_resumes_from_default_checkpoint(spark, tmp_path):
-    """Stop after the first file, add a second, restart under the same name:
-    the restarted query resumes from the shared default checkpoint."""
-    import uuid
-    from ratelens import streaming
-    folder = tmp_path / "incoming"
-    folder.mkdir()
-    (folder / "r1.txt").write_text("1,10,4.0,0\n")
-    name = f"resume_{uuid.uuid4().hex[:8]}"
-
-    def run_once():
-        q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, str(folder))), name)
-        try:
-            q.processAllAvailable()
-            return sorted(rows(spark.table(name), "movie_id", "avg_rating", "n"))
-        finally:
-            q.stop()
-    assert run_once() == [(10, 4.0, 1)]
-    (folder / "r2.txt").write_text("2,10,2.0,0\n")
-    assert run_once() == [(10, 3.0, 2)]

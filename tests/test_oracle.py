@@ -6,6 +6,8 @@ tests/oracle_compare.py /root/testdata/sf0.01`` reproduces it."""
 import pytest
 
 import __spark_entry__ as E
+from ratelens.plans.catalog import QUERIES
+from ratelens.plans.oracle import ORACLE
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
@@ -16,12 +18,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    info = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
+    info = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)
     assert info["cols_match"], info
     assert info["spark_rows"] == info["duck_rows"], info
     assert info["values_match"], info
@@ -78,7 +80,7 @@ def test_time_queries_ignore_session_zone(spark, con, name):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        info = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
+        info = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert info["values_match"] and info["spark_rows"] == info["duck_rows"], info

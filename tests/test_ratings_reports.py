@@ -27,7 +27,7 @@ def test_best_movie_fallback_and_winner(star):
     assert none == [(None, None, None, None, "No movies has at least 5 ratings.")]
     best = rows(R.best_movie(star, 3))
     assert best[0][:4] == (10, "First Film (1990)", 12.5 / 3, 3)
-    assert best[0][4] == ("First Film (1990) is the highest rated movie with an average rating of 4.17 "
+    assert best[0][4] == ("First Film (1990) is the highest rated movie with an average rating of 4.1666665 "
                           "among movies with at least 3 ratings.")
 
 
@@ -129,21 +129,13 @@ def test_duplicate_titles_stay_separate(spark):
     assert got == [(1, "Same", 4.0, 1), (2, "Same", 2.0, 1)]
 
 
-def test_lookup_unique_keeps_one_row_per_key(spark):
-    from ratelens.operators.lookup import lookup
-    fact = spark.createDataFrame([(1,), (1,)], "k int")
-    dim = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
-    assert lookup(fact, dim, "k").count() == 4
-    assert lookup(fact, dim, "k", unique=True).count() == 2
-
-
-def test_pivot_means_matches_conditional_means(spark):
-    from ratelens.operators.aggregate import conditional_means, pivot_means
-    df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (1, "b", 4.0), (2, "b", 3.0)],
-                               "k int, g string, rating double")
-    p = sorted(rows(pivot_means(df, "k", "g", ["a", "b", "c"])))
-    c = sorted(rows(conditional_means(df, "k", "rating", {x: F.col("g") == x for x in "abc"})))
-    assert p == c == [(1, 1.5, 4.0, None), (2, None, 3.0, None)]
+def test_null_keys_go_round_the_join(spark):
+    from ratelens.operators.lookup import lookup, lookup_past_nulls
+    fact = spark.createDataFrame([(1, "x"), (None, "y"), (3, "z"), (None, "y")], "k int, f string")
+    dim = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    got = sorted(rows(lookup_past_nulls(fact, dim, "k"), "k", "f", "v"), key=str)
+    assert got == sorted(rows(lookup(fact, dim, "k"), "k", "f", "v"), key=str)
+    assert got == [(1, "x", "a"), (3, "z", None), (None, "y", None), (None, "y", None)]
 
 
 def test_support_thresholds_at_4_5_49_50(spark):
@@ -164,9 +156,9 @@ def test_missing_gender_and_age_cells_in_reports(spark, write_files):
                      "ratings.txt": "1,10,4.0,0\n2,10,2.0,0\n3,10,3.0,0\n"})
     star = RatingsStar(S.read_ratings(spark, f["ratings.txt"]), S.read_movies(spark, f["movies.txt"]),
                        S.read_users(spark, f["users.txt"]))
-    # missing gender: not 'M', so female in the wide form and 'Unknown' in the long form
+    # missing gender: not 'M', so female in the wide form, and of no name in the long form
     assert rows(R.gender_wide(star), "male_avg", "female_avg") == [(4.0, 2.5)]
-    assert sorted(rows(R.gender_long(star), "gender", "n")) == [("F", 1), ("M", 1), ("Unknown", 1)]
+    assert sorted(rows(R.gender_long(star), "gender", "n")) == [("", 1), ("F", 1), ("M", 1)]
     # missing age: the user drops out of the age reports
     assert rows(R.age_long(star, "five"), "age_group", "n") == [("26-35", 1), ("36-50", 1)]
 
@@ -185,8 +177,8 @@ def test_id_order_option(spark):
 
 def test_movie_report_ends_with_result_line(star):
     got = rows(R.movie_report_with_result(star))
-    assert got == [("99", "Average rating: 2.00 (Total ratings: 1)"),
-                   ("First Film (1990)", "Average rating: 4.17 (Total ratings: 3)"),
+    assert got == [("99", "Average rating: 2.0 (Total ratings: 1)"),
+                   ("First Film (1990)", "Average rating: 4.1666665 (Total ratings: 3)"),
                    ("RESULT", "No movies has at least 5 ratings.")]
 
 
@@ -196,3 +188,31 @@ def test_fixed_width_report_formats(star):
     assert gender[0] == f"{'10':<7} | {'First Film (1990)':<60} | {'F':<6} | {'5.0':<10} | {'1':<10}"
     occ = [r[0] for r in P.fixed_width(R.occupation_mean(star), P.OCCUPATION_ROW).collect()]
     assert occ[1] == f"{'Unknown':<5} | {'Unknown':<20} | {'4.00':<10} | {'1':<12}"
+
+
+def test_means_are_rounded_once(spark):
+    """20,001 ratings that sum to 60,103: the mean 3.00499975 is 3.0."""
+    import dataclasses
+    from ratelens.plans import ratings as R
+    ratings = spark.range(20001).selectExpr("id as user_key", "1L as movie_id", "case when id < 100 then 4.0D when id < 20000 then 3.0D else 3.0D end as rating", "0L as ts")
+    total = ratings.selectExpr("sum(rating)").first()[0]
+    assert total == 60103.0
+    movies = spark.createDataFrame([(1, "A", "g")], "movie_id long, title string, genres string")
+    star = R.RatingsStar(ratings, movies, spark.createDataFrame([], "user_key long, gender string, age int, occupation_id long"))
+    assert [tuple(r) for r in R.year_mean(star).collect()] == [(1970, 3.0, 20001)]
+    assert R.genre_mean_count(star).first().avg_rating == 3.0
+    tie = spark.range(40).selectExpr("id as user_key", "1L as movie_id", "case when id < 27 then 3.0D else 2.0D end as rating", "0L as ts")
+    assert R.movie_mean_count(dataclasses.replace(star, ratings=tie)).first().avg_rating == 2.68  # 107 / 40
+
+
+def test_movie_sentence_shows_the_unrounded_mean(spark, star):
+    from ratelens.functions.render import movie_sentence
+    from ratelens.plans import ratings as R
+    got = {r.title: r.value for r in movie_sentence(R.movie_mean_by_title(star)).collect()}
+    assert got["First Film (1990)"] == "Average rating: 4.1666665 (Total ratings: 3)"
+    report = [tuple(r) for r in R.movie_report_with_result(star, min_n=3).collect()]
+    assert report[-1] == ("RESULT", "First Film (1990) is the highest rated movie with an average rating of 4.1666665 "
+                                    "among movies with at least 3 ratings.")
+    assert dict(report)["99"] == "Average rating: 2.0 (Total ratings: 1)"
+    none = R.RatingsStar(star.ratings.where("false"), star.movies, star.users)
+    assert [tuple(r) for r in R.movie_report_with_result(none).collect()] == [("RESULT", "No movies has at least 5 ratings.")]

@@ -52,11 +52,11 @@ def test_users_missing_cells_are_null(spark, write_files):
     assert got == [(1, "M", 17, 1), (2, None, None, 3), (3, "F", None, None)]
 
 
-def test_loose_int_truncates_decimal_strings(spark):
+def test_loose_long_truncates_decimal_strings(spark):
     from pyspark.sql import functions as F
-    from ratelens.functions.text import loose_int
-    df = spark.createDataFrame([("12",), ("12.5",), (" 7 ",), ("x",), (None,)], "s string")
-    assert [r[0] for r in df.select(loose_int(F.col("s"))).collect()] == [12, 12, 7, None, None]
+    from ratelens.functions.text import loose_long
+    df = spark.createDataFrame([("12",), ("12.5",), (" 7 ",), ("x",), (None,), ("3000000000",)], "s string")
+    assert [r[0] for r in df.select(loose_long(F.col("s"))).collect()] == [12, 12, 7, None, None, 3000000000]
 
 
 def test_review_lines_parse(spark, write_files):
@@ -121,16 +121,80 @@ def test_split_parse_equals_regex_groups(spark):
     from collections import Counter
 
     from conftest import SF_SMALL
-    from ratelens.functions.text import extract_or_null, full_match, loose_int
+    from ratelens.functions.text import extract_or_null, full_match, loose_long
     from ratelens.sources.tables import review_lines
     lines = review_lines(spark, SF_SMALL).unionByName(
         spark.createDataFrame([(e,) for e in EDGE_LINES], "line string"))
     rx, v = S.REVIEW_LINE_REGEX, F.col("line")
     by_regex = lines.where(~full_match(v, S.REVIEWS_HEADER_REGEX)).select(
-        loose_int(extract_or_null(v, rx, 1)).alias("id"),
+        loose_long(extract_or_null(v, rx, 1)).alias("id"),
         *[extract_or_null(v, rx, i).alias(c) for i, c in [(2, "review"), (3, "aspect"), (4, "category"),
                                                           (5, "sentiment")]])
     a = Counter(tuple(r) for r in by_regex.collect())
     b = Counter(tuple(r) for r in S.parse_review_lines(lines).collect())
     assert a == b
     assert sum(a.values()) == lines.count() - 2  # the header and the header-like edge line
+
+
+def test_ids_beyond_32_bits_are_kept(spark, write_files):
+    f = write_files({"r.txt": "3000000000,3000000001,4.0,0\n", "rv.csv": "id;x\n3000000000;good room;A;C;positive\n"})
+    assert rows(S.read_ratings(spark, f["r.txt"]), "user_id", "movie_id") == [(3000000000, 3000000001)]
+    from ratelens.plans import reviews as V
+    parsed = S.read_reviews_raw(spark, f["rv.csv"])
+    assert rows(V.count_by(parsed, "category")) == [("C", 1)]
+    assert ("C", "good", 1) in rows(V.top_words_for_sentiment(V.clean_reviews(parsed), "positive"))
+
+
+def test_comma_file_ids_are_whole_numbers(spark, write_files):
+    f = write_files({"r.txt": "1,10.5,4.0,0\n1,10,NaN,0\n1, 11 ,3.0,0\n", "m.txt": "10.5,Half,Drama\n"})
+    got = rows(S.read_ratings(spark, f["r.txt"]), "movie_id", "rating")
+    assert [g[0] for g in got] == [10, 11] and got[0][1] != got[0][1]  # NaN is a number
+    assert rows(S.read_movies(spark, f["m.txt"])) == []
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("line", ["1,x,4.0,0", "1,10.5,4.0,0", "1,10,4.0", "1,10,4.0,y"])
+def test_fail_policy_holds_under_pruning(spark, write_files, ansi, line):
+    f = write_files({"r.txt": f"1,10,4.0,0\n{line}\n"})
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="bad input line"):
+            S.read_ratings(spark, f["r.txt"], on_bad="fail").select("rating").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_fail_policy_passes_good_lines(spark, star_files):
+    f = star_files
+    assert S.read_users(spark, f["users.txt"], on_bad="fail").count() == 3
+    assert S.read_movies(spark, f["movies.txt"], on_bad="fail").count() == 2
+    assert S.read_occupations(spark, f["occupation.txt"], on_bad="fail").count() == 2
+
+
+def test_routed_movies_keep_commas_and_occupations_have_a_route(spark, write_files):
+    f = write_files({"movies.txt": "10, Film, The (1990), Drama|Crime\n", "occupation.txt": "1,Programmer, senior\n"})
+    parts = S.read_routed(spark, f["movies.txt"].rsplit("/", 1)[0], S.route_parsers())
+    assert rows(parts["movies"]) == [(10, "Film, The (1990)", "Drama|Crime")]
+    assert rows(parts["occupation"]) == [(1, "Programmer, senior")]
+
+
+def test_last_row_of_a_repeated_key(spark, write_files):
+    from ratelens.plans import ratings as R
+    f = write_files({"users.txt": "1,M,17,1\n2,F,20,2\n1,F,40,2\n", "movies.txt": "10,Old,Drama\n10,New,Drama\n",
+                     "occupation.txt": "2,Clerk\n2,Doctor\n", "r.txt": "1,10,4.0,0\n2,10,2.0,0\n,10,1.0,0\n"})
+    users = S.read_users(spark, f["users.txt"], last=True)
+    assert sorted(rows(users, "user_id", "gender", "age", "occupation_id")) == [(1, "F", 40, 2), (2, "F", 20, 2)]
+    star = R.RatingsStar(S.read_ratings(spark, f["r.txt"]), S.read_movies(spark, f["movies.txt"], last=True), users,
+                         S.read_occupations(spark, f["occupation.txt"], last=True))
+    assert rows(R.gender_long(star)) == [(10, "New", "F", 3.0, 2), (10, "New", "Unknown", 1.0, 1)]
+    assert rows(R.occupation_mean(star)) == [(2, "Doctor", 3.0, 2), (None, "Unknown", 1.0, 1)]
+    assert [r[3] for r in rows(R.movie_mean_count(star))] == [3]
+
+
+def test_empty_gender_is_not_unknown(spark, write_files):
+    from ratelens.plans import ratings as R
+    f = write_files({"users.txt": "1,,17,1\n", "movies.txt": "10,A,Drama\n", "r.txt": "1,10,4.0,0\n2,10,2.0,0\n"})
+    star = R.RatingsStar(S.read_ratings(spark, f["r.txt"]), S.read_movies(spark, f["movies.txt"]), S.read_users(spark, f["users.txt"]))
+    assert rows(R.gender_long(star)) == [(10, "A", "", 4.0, 1), (10, "A", "Unknown", 2.0, 1)]
+    assert rows(R.gender_long(R.enrich_users(star))) == rows(R.gender_long(star))

@@ -1,7 +1,6 @@
-import pytest
 from pyspark.sql import types as T
 
-from conftest import RATINGS_1, RATINGS_2, SF_SMALL, rows
+from conftest import SF_SMALL, rows
 from ratelens import sinks
 from ratelens.sources import files as S
 
@@ -13,12 +12,30 @@ def test_tsv_round_trip(spark, tmp_path):
     assert sorted(rows(back, "id", "review", "aspect")) == [("1", "a b", None), ("2", "c", "x")]
 
 
-def test_single_file_text_is_guarded(spark, tmp_path):
-    df = spark.range(10).toDF("n")
-    sinks.write_text(df, str(tmp_path / "ok"), single_file=True)
-    assert len([p for p in (tmp_path / "ok").iterdir() if p.name.startswith("part-")]) == 1
-    with pytest.raises(ValueError):
-        sinks.write_text(df, str(tmp_path / "big"), single_file=True, max_rows_single_file=5)
+def test_tsv_writes_values_byte_for_byte(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\tb", " lead ", '"q"', None, "")], "n int, a string, b string, c string, d string, e string")
+    sinks.write_tsv(df, str(tmp_path / "out"))
+    data = b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("part-*")))
+    assert data == b'1\ta\tb\t lead \t"q"\t\t\n' and b"\x00" not in data
+
+
+def test_tsv_of_the_age_report(spark, star, tmp_path):
+    from ratelens.functions.render import age_sentence
+    from ratelens.plans import ratings as R
+    wide = R.age_wide_text(star, "four")
+    labels = R.PRESETS["four"].labels
+    sinks.write_tsv(age_sentence(wide, labels, [R.age_column(x) for x in labels]), str(tmp_path / "age"))
+    lines = [r[0] for r in spark.read.text(str(tmp_path / "age")).collect()]
+    assert "First Film (1990)\t0-18: 3.50\t18-35: NA\t35-50: NA\t50+: 5.00\t" in lines
+
+
+def test_staged_data_is_deleted(spark):
+    staged = sinks.stage(spark.range(10).toDF("id"), "gone")
+    assert staged.count() == 10
+    folder = staged.inputFiles()[0].rsplit("/", 1)[0].split(":", 1)[-1]
+    sinks.unstage(staged)
+    import os
+    assert not os.path.exists("/" + folder.lstrip("/"))
 
 
 def test_stage_cuts_lineage_in_checkpoint_dir(spark):
@@ -49,22 +66,6 @@ def test_fixed_width_rendering(spark):
     assert line == f"{'1015':<7} | {'Sunset Boulevard (1950)':<60} | {'4.36':<10} | {'7':<12}"
 
 
-def test_streaming_means_match_batch(spark, write_files, tmp_path):
-    from ratelens import streaming
-    from ratelens.operators.aggregate import mean_count
-    f = write_files({"ratings_1.txt": RATINGS_1, "ratings_2.txt": RATINGS_2}, sub="stream")
-    folder = f["ratings_1.txt"].rsplit("/", 1)[0]
-    q = streaming.start(streaming.running_movie_means(streaming.rating_stream(spark, folder)), "movie_means_t",
-                        checkpoint=str(tmp_path / "ckpt_movie_means"))
-    try:
-        q.processAllAvailable()
-        got = sorted(rows(spark.table("movie_means_t"), "movie_id", "avg_rating", "n"))
-    finally:
-        q.stop()
-    batch = sorted(rows(mean_count(S.read_ratings(spark, folder), "movie_id"), "movie_id", "avg_rating", "n"))
-    assert got == batch == [(10, 4.17, 3), (99, 2.0, 1)]
-
-
 def test_library_requires_shared_checkpoint_dir(spark):
     from ratelens.session import checkpoint_dir
     assert checkpoint_dir(spark)  # tests run with a folder set by local_session

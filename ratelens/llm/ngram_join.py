@@ -9,17 +9,17 @@ link as connectivity; pairs within a group are never all written out.
    the order is (counter, hash), so shared passages come last. The order is
    the same for all documents, which is all that correctness asks of it.
 2. *Classes.* Documents with one set are one class, represented by the smallest id.
-3. *Prefix filter.* Of n shingles in order, the first n - ceil(t n) + 1 are
-   emitted; two linked sets share one of them. Those that one class has alone
-   are dropped.
-4. *Stars.* Each class is verified against one pivot, the smallest class of
-   its shared prefix shingles that it meets most often. Links found are merged into components.
-5. *Rest.* Only prefix shingles that still meet two components are joined,
-   between different components only, with the length filter, the shorter
-   index prefix for the smaller set, the positional filter and the suffix
-   filter (a lower bound of the difference from eight hash-range counts). Each pair left is
-   verified once on the full sets. As pairs inside a component add no
-   connectivity, no link between different texts is lost.
+3. *Prefix filter.* Of n shingles in order, the first n - ceil(t n) + ``COMMON``
+   are emitted; two linked sets share ``COMMON`` of them at least. Those that one class
+   has alone are dropped.
+4. *Stars.* The smallest class of a shared prefix shingle is its pivot. Each
+   class is verified against the pivot it meets most often, and the links found are
+   merged into components. This finds most links of a large group with one pair per class.
+5. *Rest.* Prefix shingles that still meet two components are joined, between different components only,
+   with the length filter, the shorter index prefix for the smaller set and the
+   positional filter. Pairs that meet in ``COMMON`` shingles and pass the suffix filter (a lower bound of
+   the difference of two sets from their counts in eight hash ranges) are verified once, on the full
+   sets. As pairs inside a component add no connectivity, no link between different texts is lost.
 6. Components over all links; each document gets the smallest id.
 
 Defined cases: null or blank text has no shingles and links with nothing; rows
@@ -43,7 +43,7 @@ from ratelens.llm.common import written
 from ratelens.llm.components import components
 
 SLOTS = 1 << 22
-PARTS = 8
+PARTS, COMMON = 8, 3
 
 
 def _counters(width: int):
@@ -52,7 +52,7 @@ def _counters(width: int):
         for batch in K.slices(batches):
             sets = list(K.shingle_sets(K.doc_bytes(batch.column("text")), width))
             if sets:
-                np.add.at(counts, (np.concatenate(sets) & np.uint64(SLOTS - 1)).astype(np.int64), 1)
+                np.add.at(counts, (np.concatenate(sets) & np.uint64(SLOTS - 1)).astype(np.int64), np.uint32(1))
         yield counters.chunks(counts)
     return run
 
@@ -86,7 +86,7 @@ def _prefixes(freq, width: int, percent: int):
                     prefix.append(np.empty(0, np.int64))
                     continue
                 order = np.argsort(table[(s & np.uint64(SLOTS - 1)).astype(np.int64)], kind="stable")
-                prefix.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].view(np.int64))
+                prefix.append(s[order[: len(s) - -(-percent * len(s) // 100) + COMMON]].view(np.int64))
             offsets = np.cumsum([0] + [len(p) for p in prefix]).astype(np.int32)
             values = np.concatenate(prefix) if prefix else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -113,6 +113,13 @@ def _sets(width: int):
     return run
 
 
+def _sets_of(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of all nodes of the pairs, from their texts."""
+    nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    chosen = docs.join(nodes, "doc_id", "left_semi")
+    return written(chosen.mapInArrow(_sets(width), "node long, shingles array<long>"), "shingle-sets")
+
+
 def _suffix_bound(x: Column, y: Column) -> Column:
     """Least size of the difference of two sets, from their part counts."""
     total = F.lit(0)
@@ -122,6 +129,17 @@ def _suffix_bound(x: Column, y: Column) -> Column:
     return total
 
 
+def _fewest(n: Column, m: Column, percent: int) -> Column:
+    """Fewest common shingles of two linked sets of n and m."""
+    return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent) - F.lit(1e-9))
+
+
+def _sizes_fit(n: Column, m: Column, xparts: Column, yparts: Column, percent: int) -> Column:
+    """Length and suffix filter."""
+    return ((F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
+            & (_suffix_bound(xparts, yparts) <= n + m - 2 * _fewest(n, m, percent)))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -148,13 +166,15 @@ def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
               .where("c > 1").select("token", "pivot"))
     met = written(tokens.join(shared, "token"), "shared-prefix-shingles")
 
-    active = met.select(F.col("node").alias("doc_id")).distinct()
-    sets = written(docs.join(active, "doc_id", "left_semi").mapInArrow(_sets(width), "node long, shingles array<long>"),
-                   "shingle-sets")
-
-    meetings = met.where("node != pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("c"))
-    stars = meetings.groupBy("node").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("pivot"))
-    star_links = written(_verified(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")), sets, percent), "star-links")
+    # the same classes without their prefixes, which their digests stand for
+    nodes = (rows.where("n > 0 and doc_id is not null").groupBy("digest", "n", "parts").agg(F.min("doc_id").alias("node")))
+    sizes = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("parts").alias("pivot_parts"))
+    meetings = (met.where("node != pivot").groupBy("node", "n", "parts", "pivot").agg(F.count(F.lit(1)).alias("c"))
+                .where(F.col("c") >= F.least(F.lit(COMMON), _fewest(F.col("n"), F.col("n"), percent)))
+                .join(sizes, "pivot").where(_sizes_fit(F.col("n"), F.col("m"), F.col("parts"), F.col("pivot_parts"), percent)))
+    star_pairs = written(meetings.groupBy("node").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("pivot"))
+                         .select(F.col("node").alias("a"), F.col("pivot").alias("b")), "stars")
+    star_links = written(_verified(star_pairs, _sets_of(docs, star_pairs, width), percent), "star-links")
     merged = components(star_links)
 
     placed = (met.select("token", "node", "n", "pos", "parts").join(merged, "node", "left")
@@ -164,21 +184,23 @@ def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
     rest = written(placed.join(open_tokens, "token", "left_semi"), "open-prefix-shingles")
     x = rest.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "parts", "component")])
     y = rest.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "pos", "parts", "component")])
-    # fewest common shingles of a linked pair of these sizes
-    least = F.ceil(F.lit(percent) * (F.col("x_n") + F.col("y_n")) / F.lit(100 + percent) - F.lit(1e-9))
-    index = F.col("y_n") - F.ceil(F.lit(2 * percent) * F.col("y_n") / F.lit(100 + percent) - F.lit(1e-9)) + 1
-    most = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))  # if this is their first common one
+    xn, yn = F.col("x_n"), F.col("y_n")
+    index = yn - F.ceil(F.lit(2 * percent) * yn / F.lit(100 + percent) - F.lit(1e-9)) + COMMON
+    # shingles still to come, if this is the last of the first COMMON they share
+    most = COMMON - 1 + F.least(xn - F.col("x_pos"), yn - F.col("y_pos"))
     pairs = (x.join(y, "token")
              .where((F.col("x_component") != F.col("y_component"))
-                    & ((F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") > F.col("y_node"))))
-                    & (F.lit(100) * F.col("y_n") >= F.lit(percent) * F.col("x_n"))
-                    & (F.col("y_pos") < index) & (most >= least)
-                    & (_suffix_bound(F.col("x_parts"), F.col("y_parts")) <= F.col("x_n") + F.col("y_n") - 2 * least))
-             .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
-    links = star_links.unionByName(_verified(pairs, sets, percent))
+                    & ((xn > yn) | ((xn == yn) & (F.col("x_node") > F.col("y_node"))))
+                    & (F.lit(100) * yn >= F.lit(percent) * xn) & (F.col("y_pos") < index) & (most >= _fewest(xn, yn, percent)))
+             .groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b"), "x_n", "y_n", "x_parts", "y_parts")
+             .agg(F.count(F.lit(1)).alias("c"))
+             .where((F.col("c") >= F.least(F.lit(COMMON), _fewest(xn, yn, percent)))
+                    & _sizes_fit(xn, yn, F.col("x_parts"), F.col("y_parts"), percent)).select("a", "b").distinct())
+    pairs = written(pairs, "rest-pairs")
+    links = star_links.unionByName(_verified(pairs, _sets_of(docs, pairs, width), percent))
     final = components(links).withColumnsRenamed({"component": "component_id"})
 
-    member = classes.select("digest", "node").join(final, "node", "left").select(
+    member = nodes.select("digest", "node").join(final, "node", "left").select(
         F.col("digest").alias("d"), F.coalesce("component_id", "node").alias("component_id"))
     out = rows.join(member, (rows["digest"] == member["d"]) & (rows["n"] > 0) & rows["doc_id"].isNotNull(), "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),

@@ -10,8 +10,8 @@ value. Probing level s opens the lists within s bits of the query's
 substring; by the pigeonhole principle all codes within m(s + 1) - 1 bits of
 the query are then found, m being the number of substrings. Buckets are found
 either by flipping bits or by comparing with the values present, whichever is
-fewer. The level grows until that radius holds ``reach`` of the block's
-distinct vectors (at least ``least``); the smallest radius with as many
+fewer. The level grows (from the one the last query needed) until that radius holds
+``reach`` of the block's distinct vectors (at least ``least``); the smallest radius with as many
 is taken, and its vectors are reranked by inner products of the original vectors in double
 precision. Vectors much longer than others can win at a larger angle, so
 as many of the longest join the candidates.
@@ -38,10 +38,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BITS, SAMPLE, ROUNDS = 256, 4096, 15
-BLOCK_ROWS, REACH, LEAST = 1 << 14, 1 / 64, 128
+BITS, SAMPLE, ROUNDS = 192, 4096, 15
+BLOCK_ROWS, REACH, LEAST = 1 << 14, 1 / 32, 128
 POP16 = np.bitwise_count(np.arange(1 << 16, dtype=np.uint16))
-FLIPS = [np.array([sum(1 << b for b in bits) for bits in combinations(range(16), s)], np.uint16) for s in range(5)]
+BALLS = [np.array([sum(1 << b for b in bits) for n in range(s + 1) for bits in combinations(range(16), n)], np.uint16)
+         for s in range(4)]
 
 
 @dataclass
@@ -96,41 +97,35 @@ class Block:
         lengths = np.linalg.norm(self.x, axis=1)
         uneven = lengths.max() > 1.01 * lengths.min()
         self.longest = np.argsort(-lengths, kind="stable")[: self.target] if uneven else np.empty(0, np.int64)
+        self.level = 0  # where the last query ended: the next one starts there
 
-    def _opened(self, j: int, value: np.uint16, s: int, present: list) -> np.ndarray:
-        """Rows whose substring j differs from ``value`` in exactly s bits."""
+    def _opened(self, j: int, value: np.uint16, s: int) -> np.ndarray:
+        """Rows whose substring j is within s bits of ``value``."""
         values, start, rows = self.lists[j]
-        if s < len(FLIPS) and len(FLIPS[s]) < len(values):
-            wanted = FLIPS[s] ^ value
-            at = np.searchsorted(values, wanted)
-            at = at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == wanted)]
-        else:
-            if present[j] is None:
-                present[j] = POP16[values ^ value]
-            at = np.flatnonzero(present[j] == s)
-        if not len(at):
-            return np.empty(0, np.int32)
-        sizes = start[at + 1] - start[at]
-        return rows[np.repeat(start[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+        if s < len(BALLS) and len(BALLS[s]) < len(values):
+            wanted = BALLS[s] ^ value
+            at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+            at = at[values[at] == wanted]
+            sizes = start[at + 1] - start[at]
+            return rows[np.repeat(start[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+        return rows[np.repeat(POP16[values ^ value] <= s, np.diff(start))]
 
     def near(self, code: np.ndarray) -> np.ndarray:
         """All rows within the least radius that holds ``target`` rows."""
-        n = len(self.x)
         word = np.pad(code, (0, -self.m % 4)).view(np.uint64)
-        found, distance = np.zeros(n, bool), np.full(n, 1 << 15, np.int32)
-        present: list = [None] * self.m
-        for s in range(17):
-            fresh = np.zeros(n, bool)
+        while True:
+            found = np.zeros(len(self.x), bool)
             for j in range(self.m):
-                fresh[self._opened(j, code[j], s, present)] = True
-            fresh &= ~found
-            rows = np.flatnonzero(fresh)
-            found[rows] = True
-            distance[rows] = np.bitwise_count(self.words[rows] ^ word).sum(1)
-            radius = self.m * (s + 1) - 1
-            if np.count_nonzero(distance <= radius) >= self.target:
+                found[self._opened(j, code[j], self.level)] = True
+            rows = np.flatnonzero(found)
+            distance = np.bitwise_count(self.words[rows] ^ word).sum(1, dtype=np.int32)
+            inside = np.count_nonzero(distance <= self.m * (self.level + 1) - 1)  # complete up to here
+            if inside >= self.target or self.level == 16:
                 break
-        return np.flatnonzero(distance <= np.partition(distance, self.target - 1)[self.target - 1])
+            self.level += 1
+        if self.level and np.count_nonzero(distance <= self.m * self.level - 1) >= self.target:
+            self.level -= 1
+        return rows[distance <= np.partition(distance, self.target - 1)[self.target - 1]]
 
     def search(self, own: int, q: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best found, the query's own id left out."""
@@ -213,7 +208,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, block_rows: int = B
     n_blocks = max(1, -(-n // block_rows))
     index = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int").alias("block"), F.lit(False).alias("query"), "vec_id", "v")
     queries = rows.where(is_query).select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(True).alias("query"), "vec_id", "v")
-    dealt = index.unionByName(queries).repartition(n_blocks, "block").sortWithinPartitions("block", "query")
+    dealt = index.unionByName(queries).repartitionByRange(n_blocks, "block").sortWithinPartitions("block", "query")
     found = dealt.mapInArrow(_searched(coder, d, k, reach, least), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))  # k rows a block at most
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratelens.llm import exact_dedup, ngram_join, packing, quality, secrets
-from ratelens.llm.common import crc_fold, read, written
+from ratelens.llm.common import Scratch, crc_fold, read
 
 
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,8 @@ ORACLE_SQL = None  # a trained classifier decides what goes: no SQL for it
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, f"pipeline-{name}")
-    return docs
+    docs, scratch = read(spark, sf_dir, "documents"), Scratch(spark)
+    for name, stage in STAGES[:-1]:
+        docs = scratch.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        scratch.clear(keep=1)  # what the stage before kept has been read
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -39,11 +39,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Tables written once to the shared folder and read again; ``clear``
+    deletes those that nothing will read any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, keep: int = 0) -> None:
+        """Delete all but the ``keep`` tables written last."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        gone = self.paths[: len(self.paths) - keep]
+        for p in gone:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+        self.paths = self.paths[len(gone):]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read back; like checkpoint
+    data it stays until that folder is cleaned."""
+    return Scratch(df.sparkSession).written(df, name)
 
 
 def crc_fold(col: Column, k: int) -> Column:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratelens.llm import counters, kernels as K
-from ratelens.llm.common import written
+from ratelens.llm.common import Scratch, written
 from ratelens.llm.components import components
 
 SLOTS = 1 << 22
@@ -113,11 +113,11 @@ def _sets(width: int):
     return run
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+def _sets_of(docs: DataFrame, pairs: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     """(node, shingles) of all nodes of the pairs, from their texts."""
     nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     chosen = docs.join(nodes, "doc_id", "left_semi")
-    return written(chosen.mapInArrow(_sets(width), "node long, shingles array<long>"), "shingle-sets")
+    return scratch.written(chosen.mapInArrow(_sets(width), "node long, shingles array<long>"), "shingle-sets")
 
 
 def _suffix_bound(x: Column, y: Column) -> Column:
@@ -164,7 +164,8 @@ def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
     tokens = classes.select("node", "n", "parts", F.posexplode("prefix").alias("pos", "token"))
     shared = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("pivot"))
               .where("c > 1").select("token", "pivot"))
-    met = written(tokens.join(shared, "token"), "shared-prefix-shingles")
+    scratch = Scratch(spark)
+    met = scratch.written(tokens.join(shared, "token"), "shared-prefix-shingles")
 
     # the same classes without their prefixes, which their digests stand for
     nodes = (rows.where("n > 0 and doc_id is not null").groupBy("digest", "n", "parts").agg(F.min("doc_id").alias("node")))
@@ -172,16 +173,16 @@ def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
     meetings = (met.where("node != pivot").groupBy("node", "n", "parts", "pivot").agg(F.count(F.lit(1)).alias("c"))
                 .where(F.col("c") >= F.least(F.lit(COMMON), _fewest(F.col("n"), F.col("n"), percent)))
                 .join(sizes, "pivot").where(_sizes_fit(F.col("n"), F.col("m"), F.col("parts"), F.col("pivot_parts"), percent)))
-    star_pairs = written(meetings.groupBy("node").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("pivot"))
+    star_pairs = scratch.written(meetings.groupBy("node").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("pivot"))
                          .select(F.col("node").alias("a"), F.col("pivot").alias("b")), "stars")
-    star_links = written(_verified(star_pairs, _sets_of(docs, star_pairs, width), percent), "star-links")
+    star_links = scratch.written(_verified(star_pairs, _sets_of(docs, star_pairs, width, scratch), percent), "star-links")
     merged = components(star_links)
 
     placed = (met.select("token", "node", "n", "pos", "parts").join(merged, "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     open_tokens = (placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                    .where("lo != hi").select("token"))
-    rest = written(placed.join(open_tokens, "token", "left_semi"), "open-prefix-shingles")
+    rest = scratch.written(placed.join(open_tokens, "token", "left_semi"), "open-prefix-shingles")
     x = rest.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "parts", "component")])
     y = rest.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "pos", "parts", "component")])
     xn, yn = F.col("x_n"), F.col("y_n")
@@ -196,9 +197,10 @@ def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
              .agg(F.count(F.lit(1)).alias("c"))
              .where((F.col("c") >= F.least(F.lit(COMMON), _fewest(xn, yn, percent)))
                     & _sizes_fit(xn, yn, F.col("x_parts"), F.col("y_parts"), percent)).select("a", "b").distinct())
-    pairs = written(pairs, "rest-pairs")
-    links = star_links.unionByName(_verified(pairs, _sets_of(docs, pairs, width), percent))
-    final = components(links).withColumnsRenamed({"component": "component_id"})
+    pairs = scratch.written(pairs, "rest-pairs")
+    links = star_links.unionByName(_verified(pairs, _sets_of(docs, pairs, width, scratch), percent))
+    final = components(links).withColumnsRenamed({"component": "component_id"})  # checkpointed: the rest may go
+    scratch.clear()
 
     member = nodes.select("digest", "node").join(final, "node", "left").select(
         F.col("digest").alias("d"), F.coalesce("component_id", "node").alias("component_id"))

@@ -20,7 +20,7 @@ totals. A block is closed at ``block_tokens`` ids, after the document that reach
 a task's memory but for a single longer document.
 
 Defined cases: null text is empty and has the end id alone; null ids come
-first; rows that repeat an id stand in text order, one after another; an
+first; rows that repeat an id stand one after another, by a hash of their text; an
 empty table gives an empty table. Only the id and text columns are read, so
 further columns cannot clash.
 """
@@ -121,8 +121,10 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID, block_to
                       id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of every text, with ``end_id`` after each, in id order."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    (ordered.mapInArrow(_blocks(end_id, block_tokens, tokenizer, ranks), FILE_SCHEMA)
+    # ties split across shards too: identical rows may stand in any order
+    keyed = rows.select("*", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("r"))
+    ordered = keyed.repartitionByRange("doc_id", "h", "r").sortWithinPartitions("doc_id", "h", "r")
+    (ordered.select("doc_id", "text").mapInArrow(_blocks(end_id, block_tokens, tokenizer, ranks), FILE_SCHEMA)
      .write.option("parquet.enable.dictionary", "false").parquet(path))
 
 

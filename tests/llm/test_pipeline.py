@@ -3,6 +3,7 @@ import re
 
 import corpus_pipeline as P
 from ratelens.llm import quality
+from ratelens.llm.common import written
 from test_ngram_join import brute as near_brute
 from test_packing import check
 from test_secrets import MASK, brute as spans
@@ -17,7 +18,7 @@ def test_stages(spark, monkeypatch):
 
     def stage(i, df):
         out = P.STAGES[i][1](spark, df, SF)
-        return P.written(out, "test-stage") if i < 4 else out
+        return written(out, "test-stage") if i < 4 else out
 
     good = stage(0, docs)
     assert good.columns == docs.columns

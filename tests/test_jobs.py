@@ -28,6 +28,9 @@ def test_rating_jobs_write_every_report(spark, tmp_path):
     assert len(out) == 12
     for name, path in out.items():
         assert spark.read.text(path).count() > 0, name
+    import glob
+    folder = "/" + spark.sparkContext.getCheckpointDir().split(":", 1)[-1].lstrip("/")
+    assert not glob.glob(f"{folder}/staged-rated_users-*") and not glob.glob(f"{folder}/staged-movie_partials-*")
 
 
 def test_command_line_ratings(spark, star_files, tmp_path):

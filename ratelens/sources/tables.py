@@ -108,10 +108,18 @@ def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("occupation"))
 
 
+def one_line(c: str):
+    """The text with every line break (CR LF, CR or LF) as one space."""
+    out = F.col(c)
+    for brk in ("\r\n", "\r", "\n"):
+        out = F.replace(out, F.lit(brk), F.lit(" "))
+    return out
+
+
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews without the sentiment (no join with the labels)."""
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.regexp_replace("text", r"\r\n|\r|\n", " ").alias("review"),
+        F.col("doc_id").alias("id"), one_line("text").alias("review"),
         F.col("source").alias("aspect"), F.col("lang").alias("category"))
 
 

@@ -109,3 +109,17 @@ def test_co_bucketed_fact_and_dimension_join_without_exchange(spark, tmp_path):
     finally:
         spark.sql("drop table if exists rl_ratings_b")
         spark.sql("drop table if exists rl_users_b")
+
+
+def test_a_third_of_null_user_keys_stays_out_of_the_join(spark):
+    from ratelens.plans import ratings as R
+    ratings = spark.range(3000).selectExpr("case when id % 3 > 0 then id % 50 end as user_key", "id % 7 as movie_id",
+                                           "1.0D * (id % 5) as rating", "0L as ts")
+    users = spark.range(50).selectExpr("id as user_key", "if(id % 2 = 0, 'M', 'F') as gender", "20 as age", "1L as occupation_id")
+    movies = spark.range(7).selectExpr("id as movie_id", "concat('m', id) as title", "'g' as genres")
+    star = R.RatingsStar(ratings, movies, users)
+    plan = star.rated_with("gender")._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join LeftOuter"):]
+    assert plan.startswith("Union") and "isnotnull" in joined.split("Range")[0]
+    got = {(r.movie_id, r.gender): r.n for r in R.gender_long(star).collect()}
+    assert sum(n for (_, g), n in got.items() if g == "Unknown") == 1000 and sum(got.values()) == 3000

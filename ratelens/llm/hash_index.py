@@ -38,9 +38,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BITS, SAMPLE, ROUNDS = 192, 4096, 15
-BLOCK_ROWS, REACH, LEAST = 1 << 14, 1 / 32, 128
-POP16 = np.bitwise_count(np.arange(1 << 16, dtype=np.uint16))
+from ratelens.llm.common import written
+
+BITS, SAMPLE, ROUNDS = 256, 4096, 15
+BLOCK_ROWS, REACH, LEAST = 1 << 14, 1 / 64, 128
 BALLS = [np.array([sum(1 << b for b in bits) for n in range(s + 1) for bits in combinations(range(16), n)], np.uint16)
          for s in range(4)]
 
@@ -93,7 +94,7 @@ class Block:
         for j in range(self.m):
             by = np.argsort(self.codes[:, j], kind="stable").astype(np.int32)
             values, start = np.unique(self.codes[by, j], return_index=True)
-            self.lists.append((values, np.append(start, n), by))
+            self.lists.append((values, start, np.diff(np.append(start, n)), by))
         lengths = np.linalg.norm(self.x, axis=1)
         uneven = lengths.max() > 1.01 * lengths.min()
         self.longest = np.argsort(-lengths, kind="stable")[: self.target] if uneven else np.empty(0, np.int64)
@@ -101,14 +102,16 @@ class Block:
 
     def _opened(self, j: int, value: np.uint16, s: int) -> np.ndarray:
         """Rows whose substring j is within s bits of ``value``."""
-        values, start, rows = self.lists[j]
+        values, start, size, rows = self.lists[j]
         if s < len(BALLS) and len(BALLS[s]) < len(values):
             wanted = BALLS[s] ^ value
             at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
             at = at[values[at] == wanted]
-            sizes = start[at + 1] - start[at]
-            return rows[np.repeat(start[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
-        return rows[np.repeat(POP16[values ^ value] <= s, np.diff(start))]
+        else:
+            at = np.flatnonzero(np.bitwise_count(values ^ value) <= s)
+        n = size[at]
+        end = np.cumsum(n)
+        return rows[np.repeat(start[at] - end + n, n) + np.arange(end[-1] if len(end) else 0)]
 
     def near(self, code: np.ndarray) -> np.ndarray:
         """All rows within the least radius that holds ``target`` rows."""
@@ -185,8 +188,8 @@ def _searched(shared, d: int, k: int, reach: float, least: int):
 
 def usable(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(vec_id, v): the rows that take part, one per id, of the commonest length."""
-    v = F.col("v")
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<float>").alias("v"))
+    v, single = F.col("v"), dict(table.dtypes)[vec_col] == "array<float>"  # any other kind is taken in double precision
+    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{'float' if single else 'double'}>").alias("v"))
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(v, lambda x: x != 0))
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
@@ -197,7 +200,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, block_rows: int = B
     """Per query (rows whose ``vec_id`` meets ``is_query``): query_id, rank,
     vec_id, score of the k largest inner products found among all other rows."""
     spark = table.sparkSession
-    rows = usable(table, id_col, vec_col)
+    rows = written(usable(table, id_col, vec_col), "vectors")  # one pass and shuffle of the table, read four times below
     sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

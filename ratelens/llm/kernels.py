@@ -45,7 +45,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(size)
 
 
-def slices(batches, text: str = "text", size: int = 2 * PIECE):
+def slices(batches, text: str = "text", size: int = PIECE):
     """The record batches cut into runs of rows of about ``size`` text bytes
     (one longer text stands alone), so that working arrays stay small."""
     for batch in batches:

@@ -89,18 +89,22 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return sums.astype(np.float32)
 
 
-def features(docs: list[bytes], vectors: np.ndarray) -> np.ndarray:
+def with_squares(vectors: np.ndarray) -> np.ndarray:
+    return np.hstack([vectors, vectors * vectors]).astype(np.float64)
+
+
+def features(docs: list[bytes], paired: np.ndarray) -> np.ndarray:
+    """Mean and spread of each text's token vectors, from the number of times
+    it has each bucket, and the logarithm of its number of tokens."""
     bucket, first = tokens(docs)
-    n = np.diff(first)
     out = np.zeros((len(docs), 2 * DIM + 1))
-    full = np.flatnonzero(n)
-    if len(full):
-        rows = vectors[bucket]
-        mean = np.add.reduceat(rows, first[:-1][full], axis=0, dtype=np.float64) / n[full, None]
-        square = np.add.reduceat(rows * rows, first[:-1][full], axis=0, dtype=np.float64) / n[full, None]
-        out[full, :DIM] = mean
-        out[full, DIM:2 * DIM] = np.sqrt(np.maximum(square - mean * mean, 0))
-    out[:, -1] = np.log1p(n)
+    for i, (a, z) in enumerate(zip(first[:-1], first[1:], strict=True)):
+        if z > a:
+            seen, times = np.unique(bucket[a:z], return_counts=True)
+            pooled = times @ paired[seen] / (z - a)
+            out[i, :DIM] = pooled[:DIM]
+            out[i, DIM:2 * DIM] = np.sqrt(np.maximum(pooled[DIM:] - pooled[:DIM] ** 2, 0))
+    out[:, -1] = np.log1p(np.diff(first))
     return out
 
 
@@ -160,8 +164,9 @@ def train(x: np.ndarray, y: np.ndarray, vectors: np.ndarray, seed: int = 1) -> M
 
 def _sampled(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paired = with_squares(shared.value)
         for batch in K.slices(batches):
-            x = features(K.doc_bytes(batch.column("text")), shared.value)
+            x = features(K.doc_bytes(batch.column("text")), paired)
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
     return run
 
@@ -185,8 +190,9 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, sample: int = SAM
 def _scored(shared, columns: list[str], text: str = "text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        paired = with_squares(model.vectors)
         for batch in K.slices(batches, text):
-            scores = model.scores(features(K.doc_bytes(batch.column(text)), model.vectors))
+            scores = model.scores(features(K.doc_bytes(batch.column(text)), paired))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(scores, pa.float64())], [*columns, "score"])
     return run
 

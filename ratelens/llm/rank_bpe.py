@@ -28,6 +28,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 LONG = 128                # characters from which merges come from a heap
-CACHE_CHARS = 1 << 23     # characters of cached words a worker holds at most
+CACHE_CHARS = 1 << 25     # size of the cached words a worker holds at most: about 250 MB
 
 # Fixed value: the splitting pattern of the file, for Latin letters.
 PLAIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
@@ -51,6 +52,27 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+class WordCache(dict):
+    """Ids by word, merged when first asked for, in two generations: when the
+    young one holds half of ``CACHE_CHARS`` it becomes the old one, and words
+    asked for again come back from there."""
+
+    def __init__(self, merge, shown: list[str] | None):
+        super().__init__()
+        self.merge, self.shown, self.held, self.old = merge, shown, 0, {}
+
+    def __missing__(self, word: str) -> list[int]:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.merge("".join([self.shown[b] for b in word.encode()]) if self.shown else word)
+        self.held += len(word) + 8 * len(ids)
+        if 2 * self.held > CACHE_CHARS:
+            self.old, self.held = self.copy(), len(word)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class RankBpe:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -67,9 +89,8 @@ class RankBpe:
             self.tokens[i] = token
         exact = Tokenizer.from_file(path)
         self.normalizer, self.splitter = exact.normalizer, exact.pre_tokenizer
-        self.letters = byte_letters()
-        self.cache: dict[str, list[int]] = {}
-        self.cached_chars = 0
+        self.plain = WordCache(self.merge, byte_letters())  # by word as it stands in the text
+        self.shown = WordCache(self.merge, None)            # by word of shown bytes
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word of shown bytes."""
@@ -116,29 +137,17 @@ class RankBpe:
                 heapq.heappush(heap, (x, before[i]))
         return [self.vocab[p] for p in parts if p is not None]
 
-    def _word(self, word: str, shown: bool) -> list[int]:
-        ids = self.merge(word if shown else "".join([self.letters[b] for b in word.encode()]))
-        self.cached_chars += len(word) + 8 * len(ids)
-        if self.cached_chars > CACHE_CHARS:
-            self.cache.clear()
-            self.cached_chars = len(word)
-        self.cache[("\0" + word) if shown else word] = ids
-        return ids
-
-    def _plain(self, text: str, out: list[int]) -> None:
-        for word in PLAIN_WORD.findall(text.lower()):
-            out.extend(self.cache.get(word) or self._word(word, False))
-
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         for segment in self.special_split.split(text):
             if segment in self.special:
                 out.append(self.special[segment])
             elif UNUSUAL.search(segment):
-                for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(segment)):
-                    out.extend(self.cache.get("\0" + word) or self._word(word, True))
+                words = [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(segment))]
+                out.extend(chain.from_iterable(map(self.shown.__getitem__, words)))
             elif segment:
-                self._plain(unicodedata.normalize("NFC", segment), out)
+                words = PLAIN_WORD.findall(unicodedata.normalize("NFC", segment).lower())
+                out.extend(chain.from_iterable(map(self.plain.__getitem__, words)))
         return out
 
     def decode(self, ids: list[int]) -> str:

@@ -70,14 +70,20 @@ from t join k using (content)"""
 
 _LETTERS = "translate(regexp_replace(line, '^(?:>\\x20?)*', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP9 = f"""
-with recursive m as (select conv_id, turn, role, coalesce(text, '') as text from conversations),
-raw as (select conv_id, turn, unnest(string_split(text, chr(10))) as line from m
+with recursive m as (select row_number() over () as id, conv_id, turn, role, coalesce(text, '') as text from conversations),
+raw as (select id, conv_id, turn, unnest(string_split(text, chr(10))) as line,
+               generate_subscripts(string_split(text, chr(10)), 1) as i from m
         where conv_id is not null and turn is not null),
-lines as (select conv_id, turn,
+lines as (select id, conv_id, turn, i,
                  length(replace(regexp_extract(line, '^(?:>\\x20?)*'), ' ', '')) as level,
                  trim(regexp_replace({_LETTERS}, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') as content from raw),
-quoted as (select distinct * from lines where level > 0 and content <> ''),
-firsts as (select conv_id, content, min(turn) as parent_turn from lines where level = 0 and content <> '' group by all),
+runs as (select *, i - row_number() over (partition by id, level order by i) as run from lines where content <> ''),
+units as (select distinct conv_id, turn, level, content from lines where content <> ''
+          union
+          select conv_id, turn, level, string_agg(content, ' ' order by i) as content from runs
+          group by id, conv_id, turn, level, run),
+quoted as (select * from units where level > 0),
+firsts as (select conv_id, content, min(turn) as parent_turn from units where level = 0 group by all),
 votes as (select q.conv_id, q.turn, q.level, f.parent_turn, count(*) as n from quoted q
           join firsts f using (conv_id, content) where f.parent_turn < q.turn group by all),
 links as (select conv_id, turn, parent_turn, n from votes

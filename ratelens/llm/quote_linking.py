@@ -1,10 +1,11 @@
 """Chat formatting by quotation linking, in DataFrame functions only.
 
 A line's quote level is the number of ``>`` marks before its content (each may
-be followed by one space). A quoted line is normalised (A-Z to lower case,
-runs of blanks to one space, ends trimmed) and hashed, and joined to the first
-earlier message of its conversation that holds the same line unquoted. The
-message with most matching lines at the lowest matching level is the parent;
+be followed by one space). A passage is a run of lines of one level without an empty one.
+Passages, and their single lines, are normalised (A-Z to lower case, runs of blanks
+and line ends to one space, ends trimmed) and hashed, so a passage that was wrapped anew
+is known, and so is one quoted in part. A quoted hash is joined to the first earlier message of its conversation
+that holds it unquoted. The message with most matches at the lowest matching level is the parent;
 ties go to the later message. A message without a match starts a thread.
 Threads are followed by pointer jumping, so a reply chain of length n takes
 log2(n) rounds.
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ratelens.llm.common import BLANKS, checkpoint
 
+UNIT = "struct<level:int,content:string>"
 MARKS = r"^(?:>\x20?)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,19 +43,39 @@ def _normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(F.regexp_replace(line, MARKS, ""), UPPER, LOWER), BLANKS, " "))
 
 
+def _passages(lines: Column) -> Column:
+    """Runs of lines of one level, each as (level, text)."""
+    empty = F.array().cast("array<string>")
+    zero = F.struct(F.lit(-1).alias("level"), empty.alias("run"), F.array().cast(f"array<{UNIT}>").alias("out"))
+
+    def shut(acc: Column) -> Column:
+        run = F.struct(acc["level"].alias("level"), F.array_join(acc["run"], " ").alias("content")).cast(UNIT)
+        return F.when(F.size(acc["run"]) > 0, F.concat(acc["out"], F.array(run))).otherwise(acc["out"])
+
+    def step(acc: Column, x: Column) -> Column:
+        blank, same = x["content"] == "", (x["content"] != "") & (x["level"] == acc["level"])
+        run = F.when(same, F.concat(acc["run"], F.array(x["content"]))).when(blank, empty).otherwise(F.array(x["content"]))
+        return F.struct(F.when(blank, -1).otherwise(x["level"]).alias("level"), run.alias("run"),
+                        F.when(same, acc["out"]).otherwise(shut(acc)).alias("out"))
+
+    return F.aggregate(lines, zero, step, shut)
+
+
 def parse(messages: DataFrame) -> DataFrame:
-    """Per message and line: conv_id, turn, level, hash (empty lines left out)."""
-    lines = messages.select("conv_id", "turn", F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line"))
-    lines = lines.select("conv_id", "turn", _level(F.col("line")).alias("level"), _normal(F.col("line")).alias("content"))
-    return lines.where((F.col("content") != "") & F.col("conv_id").isNotNull() & F.col("turn").isNotNull()) \
-        .select("conv_id", "turn", "level", F.sha2("content", 256).alias("hash"))
+    """Per message: conv_id, turn, level, hash of its distinct lines and passages."""
+    raw = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    lines = F.transform(raw, lambda x: F.struct(_level(x).alias("level"), _normal(x).alias("content")).cast(UNIT))
+    known = messages.where("conv_id is not null and turn is not null").select("conv_id", "turn", lines.alias("lines"))
+    units = F.array_distinct(F.concat(F.filter("lines", lambda x: x["content"] != ""), _passages(F.col("lines"))))
+    return (known.select("conv_id", "turn", F.explode(units).alias("u"))
+            .select("conv_id", "turn", "u.level", F.sha2("u.content", 256).alias("hash")))
 
 
 def links(messages: DataFrame) -> DataFrame:
-    """Per replying message: conv_id, turn, parent_turn, n_linked (lines)."""
-    lines = parse(messages)
-    quoted = lines.where("level > 0").distinct()
-    firsts = lines.where("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("parent_turn"))
+    """Per replying message: conv_id, turn, parent_turn, n_linked (lines and passages)."""
+    units = parse(messages)
+    quoted = units.where("level > 0").distinct()
+    firsts = units.where("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("parent_turn"))
     votes = (quoted.join(firsts, ["conv_id", "hash"]).where("parent_turn < turn")
              .groupBy("conv_id", "turn", "level", "parent_turn").agg(F.count(F.lit(1)).alias("n")))
     best = F.max(F.struct((-F.col("level")).alias("l"), "n", "parent_turn"))

@@ -15,6 +15,9 @@ M = [
     (2, 0, "user", "> First question here\nother conversation"),
     (2, 1, "user", None), (2, 1, "user", None), (2, 3, "user", "> \n>\n"),
     (None, 4, "user", "> First question here"), (3, None, "user", "x"),
+    (4, 0, "user", "A long paragraph that\nwraps here\n\nanother one"), (4, 1, "user", "another one"),
+    (4, 2, "user", "> A long\n> paragraph   that wraps HERE\nwrapped anew"),
+    (4, 3, "user", "> A long paragraph that\n> wraps here\n>\n> another one\nwhole"),
 ]
 
 
@@ -43,6 +46,8 @@ def test_links_and_order(spark):
     assert at[1, 4] == (1, 0, 2, 1)         # the outer quote is unknown, the inner one links
     assert at[1, 5] == (1, 0, 2, 1)
     assert at[1, 6] == (3, 0, 2, 1)         # one line each of three messages: the latest
+    assert at[4, 2] == (0, 0, 1, 1)         # the passage is known, its lines are not
+    assert at[4, 3] == (0, 0, 1, 4)         # three lines and a passage
     assert at[2, 0] == (None, 0, 0, 0) and at[2, 3] == (None, 3, 0, 0)
     assert at[None, 4] == (None, 4, 0, 0) and at[3, None] == (None, None, 0, 0)
     text = {(r.conv_id, r.turn): (r.text, r.chat) for r in got}

@@ -9,9 +9,10 @@ whatever Unicode version they carry; any other text goes through ``tokenizers``
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -24,18 +25,25 @@ UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ɏ‐-‧‰-⁞€]")
 
 class Encoder:
     def __init__(self, tokenizer: str, ranks: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
-        self.exact = Tokenizer.from_file(tokenizer)
-        self.exact.no_truncation()
-        self.exact.no_padding()
-        special = {t.content: i for i, t in self.exact.get_added_tokens_decoder().items()}
+        self.tokenizer = tokenizer
+        with open(tokenizer, encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         with open(ranks, "rb") as f:
             merged = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merged,
                                       special_tokens=special)
 
+    @cached_property
+    def exact(self):
+        """The ``tokenizers`` encoder, loaded when a text first needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        exact = Tokenizer.from_file(self.tokenizer)
+        exact.no_truncation()
+        exact.no_padding()
+        return exact
+
     def ids(self, text: str | None) -> np.ndarray:
         """All ids of a text as unsigned 32-bit integers; null is empty."""
         if not text:

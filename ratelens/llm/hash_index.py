@@ -11,8 +11,8 @@ substring; by the pigeonhole principle all codes within m(s + 1) - 1 bits of
 the query are then found, m being the number of substrings. Buckets are found
 either by flipping bits or by comparing with the values present, whichever is
 fewer. The level grows (from the one the last query needed) until that radius holds
-``reach`` of the block's distinct vectors (at least ``least``); the smallest radius with as many
-is taken, and its vectors are reranked by inner products of the original vectors in double
+``reach`` of the block's distinct vectors (at least ``least`` for each of the k); the smallest radius
+with as many is taken, and its vectors are reranked by inner products of the original vectors in double
 precision. Vectors much longer than others can win at a larger angle, so
 as many of the longest join the candidates.
 
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratelens.llm.common import written
 
 BITS, SAMPLE, ROUNDS = 256, 4096, 15
-BLOCK_ROWS, REACH, LEAST = 1 << 14, 1 / 64, 128
+BLOCK_ROWS, REACH, LEAST = 1 << 14, 3 / 64, 16
 BALLS = [np.array([sum(1 << b for b in bits) for n in range(s + 1) for bits in combinations(range(16), n)], np.uint16)
          for s in range(4)]
 
@@ -88,7 +88,7 @@ class Block:
         self.x, self.k = x[first].astype(np.float64), k
         self.codes = coder.codes(self.x)
         n, self.m = self.codes.shape
-        self.target = min(n, max(least, int(np.ceil(reach * n))))
+        self.target = min(n, max(least * k, int(np.ceil(reach * n))))
         self.words = np.pad(self.codes, ((0, 0), (0, -self.m % 4))).view(np.uint64)
         self.lists = []
         for j in range(self.m):

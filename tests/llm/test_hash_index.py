@@ -67,6 +67,32 @@ def test_recall(spark, clustered):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+@pytest.mark.parametrize("n", [5000, 8192, 12800, 16000])
+@pytest.mark.parametrize("sigma", [0, 0.3])
+def test_recall_of_one_block_as_registered(spark, n, sigma):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    x *= rng.lognormal(0, sigma, (n, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(int(i), [float(np.float32(a)) for a in v]) for i, v in enumerate(x)]
+    want = brute(rows, lambda i: i % 100 == 0, 20)
+    got = run(frame(spark, rows), F.col("vec_id") % 100 == 0)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_budget_grows_with_k():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64))
+    coder = H.learn(x)
+    block = H.Block(np.arange(4000), x, coder, 100, H.REACH, H.LEAST)
+    codes, hits = coder.codes(x), 0
+    for q in range(0, 4000, 100):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:100].tolist()) & set(block.search(q, x[q], codes[q])[0].tolist()))
+    assert hits >= 0.9 * 100 * 40
+
+
 def test_long_vectors_are_found(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 16)) * rng.choice([1, 20], size=(3000, 1), p=[0.99, 0.01])

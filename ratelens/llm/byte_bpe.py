@@ -4,6 +4,8 @@ The rank file holds the vocabulary of the ``tokenizers`` file; its encoder
 gives the same ids several times faster. It is used for texts made of Latin
 letters, ASCII and common punctuation, where both libraries split alike
 whatever Unicode version they carry; any other text goes through ``tokenizers`` itself.
+So does a text with a long run of blanks: the other library's pattern
+fails on a run of more than about a million.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ɏ‐-‧‰-⁞€]")
+LONG_RUN = 100_000
+BLANK_RUN = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")  # tried once a run
 
 
 class Encoder:
@@ -48,7 +52,7 @@ class Encoder:
         """All ids of a text as unsigned 32-bit integers; null is empty."""
         if not text:
             return np.empty(0, np.uint32)
-        if UNUSUAL.search(text):
+        if UNUSUAL.search(text) or len(text) >= LONG_RUN and BLANK_RUN.search(text):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, allowed_special="all").astype(np.uint32)
 

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from ratelens.llm import packing
+from ratelens.llm import byte_bpe, packing
 
 TOK = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -62,6 +62,17 @@ def test_small_open_bound_and_documents(spark):
     assert check(rows, packing.pack(df, max_open=3).collect(), 1024) == 0
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\r\n", "\xa0"])
+def test_long_runs_of_blanks(blank):
+    for text in ("a" + blank * (1_200_000 // len(blank)) + "word", blank * 1_100_000, ("x" + blank * 99_999) * 3):
+        assert byte_bpe.encoder().ids(text).tolist() == TOK.encode(text, add_special_tokens=False).ids
+
+
+def test_document_with_a_long_run_is_packed(spark):
+    rows = [(1, "before"), (2, "a" + " " * 1_200_000 + "word"), (3, "after")]
+    assert check(rows, packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), 1024) == 0
+
+
 def test_level_choice_equals_brute_force():
     rng = random.Random(3)
     p = packing.SumOfSquares(window=32, max_open=10**6)

@@ -18,13 +18,14 @@ Defined cases: null text is empty; all empty texts are one group. Ties do not
 occur between distinct ids; rows that repeat an id and a text count in
 ``group_size`` and share one fate (all kept or all dropped). A null id is
 larger than any id; a group of null ids only has a null ``keep_id`` and its
-rows are kept. An empty table gives an empty result. Only the id and text
+rows are kept. ``drop_copies`` leaves one row of those that repeat an id and a
+text; a row without id that copies a row with one is marked but stays there. An empty table gives an empty result. Only the id and text
 columns are read, so further columns cannot clash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ratelens.llm.common import normal_blanks
 
@@ -57,6 +58,19 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts:
 
 
 def drop_copies(df: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows of ``df`` (columns unchanged) without the dropped copies."""
-    dropped = dedup(df, salts=salts).where(~F.col("kept")).select("doc_id")
-    return df.join(dropped, "doc_id", "left_anti").select(df.columns)
+    """The rows of ``df`` (columns unchanged) without the dropped copies, decided
+    by id and content, and one row of each equal id and content: the smallest."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # names of the caller cannot clash
+    key, text = (F.col(f"c{df.columns.index(c)}") for c in ("doc_id", "text"))
+    norm = plain.withColumn("content", normal_blanks(text))
+    rows = norm.select(*plain.columns, key.isNull().alias("no_id"), F.coalesce(key.cast("string"), F.lit("")).alias("id"),
+                       F.unhex(F.sha2("content", 256)).alias("digest"), F.xxhash64("content").alias("h2"), F.length("content").alias("n"))
+    by = ["no_id", "id", "digest", "h2", "n"]
+    kept = keepers(df, salts=salts).withColumn("keep", F.coalesce(F.col("keep_id").cast("string"), F.lit("")))
+    copies = (rows.select(*by).join(kept.select("digest", "h2", "n", "keep"), ["digest", "h2", "n"])
+              .where(~F.col("no_id") & (F.col("id") != F.col("keep"))).select(by).distinct())
+    # the join leaves the rows where the window needs them: texts move once
+    order = [text, *[c for c, t in plain.dtypes if "map<" not in t]]
+    place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+    left = rows.join(copies.hint("merge"), by, "left_anti").withColumn("place", place).where("place = 1")
+    return left.select(plain.columns).toDF(*df.columns)

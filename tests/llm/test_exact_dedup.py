@@ -43,6 +43,15 @@ def test_drop_copies_empty_and_clashing_columns(spark):
     assert exact_dedup.dedup(df.where("false")).collect() == []
 
 
+def test_drop_copies_decides_by_row(spark):
+    rows = [(5, "a", 1), (3, "a", 2), (5, "only here", 3), (7, "twice", 5), (7, "twice", 4), (7, "twice ", 6), (8, "b  c", 7), (8, "b c", 8),
+            (None, "null id", 9), (None, "null id", 10), (0, "null id too", 11), (None, "", 12), (0, None, 13)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(5)
+    got = exact_dedup.drop_copies(df)
+    assert sorted(r.n for r in got.collect()) == [2, 3, 4, 6, 7, 9, 11, 12, 13]
+    assert got.schema == df.schema
+
+
 def test_query_equals_its_sql(spark):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()

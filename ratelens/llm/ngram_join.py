@@ -8,7 +8,8 @@ link as connectivity; pairs within a group are never all written out.
    (a fixed 8 MB table after log scaling, so its broadcast does not grow). A shingle's place in
    the order is (counter, hash), so shared passages come last. The order is
    the same for all documents, which is all that correctness asks of it.
-2. *Classes.* Documents with one set are one class, represented by the smallest id.
+2. *Classes.* Documents with one set are one class, represented by a text of its smallest id.
+   Classes go by that id, or by numbers in its order where classes share an id.
 3. *Prefix filter.* Of n shingles in order, the first n - ceil(t n) + ``COMMON``
    are emitted; two linked sets share ``COMMON`` of them at least. Those that one class
    has alone are dropped.
@@ -20,10 +21,11 @@ link as connectivity; pairs within a group are never all written out.
    positional filter. Pairs that meet in ``COMMON`` shingles and pass the suffix filter (a lower bound of
    the difference of two sets from their counts in eight hash ranges) are verified once, on the full
    sets. As pairs inside a component add no connectivity, no link between different texts is lost.
-6. Components over all links; each document gets the smallest id.
+6. Components over all links of classes; each document gets the smallest id of its component.
 
 Defined cases: null or blank text has no shingles and links with nothing; rows
-that repeat an id are each placed by their own text; a null id links with
+that repeat an id are each placed by their own text, so that components may
+share their smallest id but not their documents; a null id links with
 nothing and has a null component; ties in the order fall to the hash; long
 texts count whole; an empty table gives an empty result. Only the id and text
 columns are read, so further columns cannot clash.
@@ -90,9 +92,9 @@ def _prefixes(freq, width: int, percent: int):
             offsets = np.cumsum([0] + [len(p) for p in prefix]).astype(np.int32)
             values = np.concatenate(prefix) if prefix else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()), pa.array(parts, pa.int64()),
+                [batch.column("doc_id"), batch.column("key"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()), pa.array(parts, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))],
-                ["doc_id", "n", "digest", "parts", "prefix"])
+                ["doc_id", "key", "n", "digest", "parts", "prefix"])
     return run
 
 
@@ -108,15 +110,16 @@ def _sets(width: int):
             offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
             values = np.concatenate(sets) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))],
+                [batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))],
                 ["node", "shingles"])
     return run
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, width: int, scratch: Scratch) -> DataFrame:
-    """(node, shingles) of all nodes of the pairs, from their texts."""
-    nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    chosen = docs.join(nodes, "doc_id", "left_semi")
+def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """(node, shingles) of all nodes of the pairs, from their own texts."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = nodes.select("node", "doc_id", "key").join(wanted, "node", "left_semi")
+    chosen = docs.join(texts, ["doc_id", "key"]).select("node", "text")
     return scratch.written(chosen.mapInArrow(_sets(width), "node long, shingles array<long>"), "shingle-sets")
 
 
@@ -150,32 +153,42 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("total") - F.col("common"))).select("a", "b"))
 
 
-def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id."""
+def _text_key(text: Column) -> Column:
+    """What tells apart the texts of one id."""
+    return F.xxhash64(text)
+
+
+def _placed(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, key of its text, n, component (a number of its own), component_id."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _text_key(F.col(text_col)).alias("key"))
     freq = spark.sparkContext.broadcast(shingle_frequencies(docs, width))
     rows = written(docs.mapInArrow(_prefixes(freq, width, percent),
-                                   "doc_id long, n int, digest binary, parts long, prefix array<long>"), "shingle-prefixes")
-    classes = (rows.where("n > 0 and doc_id is not null").groupBy("digest", "n", "parts", "prefix")
-               .agg(F.min("doc_id").alias("node")))
+                                   "doc_id long, key long, n int, digest binary, parts long, prefix array<long>"), "shingle-prefixes")
+    scratch = Scratch(spark)
+    some = rows.where("n > 0 and doc_id is not null")
+    classes = some.groupBy("digest", "n", "parts", "prefix").agg(F.min("doc_id").alias("node"))
+    # the same classes without their prefixes, which their digests stand for
+    nodes = scratch.written(some.groupBy("digest", "n", "parts").agg(F.min("doc_id").alias("doc_id"), F.min_by("key", "doc_id").alias("key")), "shingle-classes")
+    if nodes.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        # classes share an id: numbers in the order of the ids, the same for every reader once written
+        nodes = scratch.written(nodes.orderBy("doc_id", "key").withColumn("node", F.monotonically_increasing_id()), "numbered-classes")
+        classes = classes.drop("node").join(nodes.select("digest", "node"), "digest")
+    else:
+        nodes = nodes.withColumn("node", F.col("doc_id"))
 
     tokens = classes.select("node", "n", "parts", F.posexplode("prefix").alias("pos", "token"))
     shared = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("pivot"))
               .where("c > 1").select("token", "pivot"))
-    scratch = Scratch(spark)
     met = scratch.written(tokens.join(shared, "token"), "shared-prefix-shingles")
 
-    # the same classes without their prefixes, which their digests stand for
-    nodes = (rows.where("n > 0 and doc_id is not null").groupBy("digest", "n", "parts").agg(F.min("doc_id").alias("node")))
     sizes = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("parts").alias("pivot_parts"))
     meetings = (met.where("node != pivot").groupBy("node", "n", "parts", "pivot").agg(F.count(F.lit(1)).alias("c"))
                 .where(F.col("c") >= F.least(F.lit(COMMON), _fewest(F.col("n"), F.col("n"), percent)))
                 .join(sizes, "pivot").where(_sizes_fit(F.col("n"), F.col("m"), F.col("parts"), F.col("pivot_parts"), percent)))
     star_pairs = scratch.written(meetings.groupBy("node").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("pivot"))
                          .select(F.col("node").alias("a"), F.col("pivot").alias("b")), "stars")
-    star_links = scratch.written(_verified(star_pairs, _sets_of(docs, star_pairs, width, scratch), percent), "star-links")
+    star_links = scratch.written(_verified(star_pairs, _sets_of(docs, star_pairs, nodes, width, scratch), percent), "star-links")
     merged = components(star_links)
 
     placed = (met.select("token", "node", "n", "pos", "parts").join(merged, "node", "left")
@@ -198,18 +211,33 @@ def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
              .where((F.col("c") >= F.least(F.lit(COMMON), _fewest(xn, yn, percent)))
                     & _sizes_fit(xn, yn, F.col("x_parts"), F.col("y_parts"), percent)).select("a", "b").distinct())
     pairs = scratch.written(pairs, "rest-pairs")
-    links = star_links.unionByName(_verified(pairs, _sets_of(docs, pairs, width, scratch), percent))
-    final = components(links).withColumnsRenamed({"component": "component_id"})  # checkpointed: the rest may go
+    links = star_links.unionByName(_verified(pairs, _sets_of(docs, pairs, nodes, width, scratch), percent))
+    final = components(links)
+    linked = nodes.select("node", "doc_id").join(final, "node")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("least"))
+    member = written(nodes.select("digest", "node", "doc_id").join(final.join(least, "component"), "node", "left").select(
+        F.col("digest").alias("d"), F.coalesce("component", "node").alias("component"), F.coalesce("least", "doc_id").alias("component_id")), "members")
     scratch.clear()
 
-    member = nodes.select("digest", "node").join(final, "node", "left").select(
-        F.col("digest").alias("d"), F.coalesce("component_id", "node").alias("component_id"))
     out = rows.join(member, (rows["digest"] == member["d"]) & (rows["n"] > 0) & rows["doc_id"].isNotNull(), "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "key", "n", "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def link_components(docs: DataFrame, width: int = 3, percent: int = 90,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id."""
+    return _placed(docs, width, percent, id_col, text_col).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` (columns unchanged) that are the smallest id of their component."""
-    dropped = link_components(docs, width, percent).where("component_id != doc_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` (columns unchanged) that are the smallest id of their component, decided
+    by id and text: of several texts of that id in one component, one stays."""
+    placed = _placed(docs, width, percent)
+    heads = placed.where("component is not null and component_id = doc_id")
+    torn = heads.groupBy("component").agg(F.min("key").alias("keep"), F.max("key").alias("last")).where("keep != last")
+    dropped = (placed.where("component_id != doc_id").select("doc_id", "key")
+               .unionByName(heads.join(torn, "component").where("key != keep").select("doc_id", "key")))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of the caller cannot clash
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    same = (doc_id == F.col("doc_id")) & (_text_key(text) == F.col("key"))
+    return plain.join(dropped, same, "left_anti").toDF(*docs.columns)

@@ -95,6 +95,25 @@ def test_empty_table_and_further_columns(spark):
     assert run(df) == [(1, 2, 1)]
 
 
+def test_repeated_ids_are_placed_by_their_own_texts(spark):
+    rng = random.Random(9)
+    a, b, c = ([f"{x}{i}" for i in range(100)] for x in "abc")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, edited(rng, a, 1)), (3, edited(rng, b, 1)), (4, " ".join(c)),
+            (0, edited(rng, c, 1)), (4, "alone in this text"), (5, edited(rng, c, 1)), (5, edited(rng, a, 1)), (6, " ".join(a) + " z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert run(df) == brute(rows, 3, 90)
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.drop_near_copies(df).collect())
+    assert kept == sorted([rows[0], rows[1], rows[5], rows[6]])
+
+
+def test_one_text_of_an_id_stays_in_a_component(spark):
+    rng = random.Random(10)
+    a = [f"a{i}" for i in range(100)]
+    rows = [(1, " ".join(a)), (1, edited(rng, a, 1)), (1, edited(rng, a, 2)), (2, edited(rng, a, 1)), (3, "apart from all"), (3, ""), (3, None)]
+    kept = [r.text for r in ngram_join.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len([t for t in kept if t and len(t) > 20]) == 1 and sorted(t or "-" for t in kept if not t or len(t) < 20) == ["-", "-", "apart from all"]
+
+
 def test_drop_near_copies_keeps_the_smallest(spark):
     base = " ".join(f"w{i}" for i in range(100))
     df = spark.createDataFrame([(3, base, "s"), (2, base + " more", "s"), (9, "other words here", "s"), (None, base, "s")],

@@ -1,0 +1,117 @@
+"""Spelling variant grouping against brute force."""
+
+import re
+import zlib
+from collections import Counter
+
+from conftest import SF_SMALL
+from ratelens.llm import spelling
+from ratelens.llm.queries import QUERIES
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+SCHEMA = "doc_id long, text string"
+
+
+def brute_words(rows, least=7):
+    count = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            low = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{low}".encode())
+            if h % 31 == 0:
+                at = h % len(low)
+                low = low[:at] + low[at + 1:]
+            if len(low) >= least:
+                count[low] += 1
+    return {w: n for w, n in count.items() if n >= 2}
+
+
+def near(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    i = 0
+    while i < len(a) and a[i] == b[i]:
+        i += 1
+    return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i:] == b[i + 1:]
+
+
+def brute(rows):
+    vocab = brute_words(rows)
+    variants = {}  # near words share a deletion: only those are compared
+    for w in vocab:
+        for v in {w} | {w[:i] + w[i + 1:] for i in range(len(w))}:
+            variants.setdefault(v, set()).add(w)
+    out, form = {}, {}
+    for w, n in vocab.items():
+        seen = {x for v in {w} | {w[:i] + w[i + 1:] for i in range(len(w))} for x in variants[v] if near(w, x)}
+        best = min(seen, key=lambda x: (-vocab[x], x), default=None)
+        form[w] = best if best is not None and vocab[best] >= 10 * n else None
+        out[w] = [n, len(seen), form[w], vocab[form[w]] if form[w] else None]
+    for w in vocab:
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w].append(root)
+    return {w: tuple(v) for w, v in out.items()}
+
+
+def found(df):
+    return {r["word"]: (r["n"], r["n_near"], r["form"], r["form_n"], r["root"]) for r in df.collect()}
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    got = QUERIES["op13_spelling_variants"](spark, SF_SMALL)
+    assert dict(got.dtypes) == {"word": "string", "n": "bigint", "n_near": "bigint", "form": "string",
+                                "form_n": "bigint", "root": "string"}
+    want = brute([tuple(r) for r in docs])
+    assert found(got) == want
+    assert any(v[2] for v in want.values())
+
+
+def test_every_kind_of_edit_at_every_place(spark):
+    base = "abcdefghijklm"
+    texts = [base] * 30
+    for size in (7, 8, 9, 12, 13):
+        w = base[:size]
+        texts += [w] * 3
+        for i in range(size + 1):
+            texts += [w[:i] + "x" + w[i:]] * 2            # inserted
+            texts += [w[:i] + "y" + w[i + 1:]] * 2        # replaced (at the end: inserted)
+    texts += ["aaaaaaaa"] * 40 + ["aaaaaaaaa"] * 4 + ["aaaaaaaaaa"] * 2 + ["Aaaaaaaà"] * 2
+    rows = list(enumerate(texts))
+    assert found(spelling.group_variants(spark.createDataFrame(rows, SCHEMA).repartition(5))) == brute(rows)
+
+
+def test_forms_are_followed_to_the_last(spark):
+    rows = [(None, "pattern")] * 300 + [(None, "patterns")] * 20 + [(None, "patternss")] * 2
+    got = found(spelling.group_variants(spark.createDataFrame(rows, SCHEMA)))
+    assert got == brute(rows)
+    assert got["patternss"] == (2, 1, "patterns", 20, "pattern")
+
+
+def test_nulls_ties_long_words_and_clashing_columns(spark):
+    long = "ab" * 600
+    rows = [(1, None), (2, ""), (None, "letters letters"), (None, "letterz letterz LETTERY lettery"),
+            (3, long), (4, long), (4, long), (5, long + "a"), (6, long + "a"), (7, "× ÷÷÷÷÷÷÷ ÷÷÷÷÷÷÷")]
+    df = spark.createDataFrame([(*r, "k", 1) for r in rows], SCHEMA + ", key string, n int")
+    df = df.withColumnRenamed("key", "word")
+    assert found(spelling.group_variants(df)) == brute(rows)
+
+
+def test_a_very_long_word(spark):
+    long = "abcdefgh" * 8_000
+    rows = [(None, long)] * 2 + [(None, long + "a")] * 2
+    got = found(spelling.group_variants(spark.createDataFrame(rows, SCHEMA)))
+    assert set(got) == set(brute_words(rows))
+    if len(got) == 2:
+        assert all(v[1] == 1 for v in got.values())
+
+
+def test_ties_for_the_form_and_empty_table(spark):
+    rows = [(None, "lettera")] * 40 + [(None, "letterb")] * 40 + [(None, "letterc")] * 3
+    got = found(spelling.group_variants(spark.createDataFrame(rows, SCHEMA)))
+    assert got == brute(rows) and got["letterc"][2] == "lettera"
+    assert spelling.group_variants(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratelens.llm import (exact_dedup, hash_index, language_id, merkle, ngram_join, packing, quality, quote_linking, rank_bpe, secrets,
+from ratelens.llm import (bucket_refine, exact_dedup, hash_index, language_id, merkle, ngram_join, packing, quality, quote_linking, rank_bpe, secrets,
                           spelling, token_files)
 from ratelens.llm.common import crc_fold, read, scratch_path
 
@@ -57,6 +57,10 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents")))
 
 
+def op11_bucket_refinement(spark, sf_dir):
+    return bucket_refine.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op13_spelling_variants(spark, sf_dir):
     return spelling.group_variants(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_hash_index, op3_quality, op4_rank_bpe, op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan, op12_merkle_manifest, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_hash_index, op3_quality, op4_rank_bpe, op5_packing, op6_token_files, op7_ngram_join, op8_exact_dedup, op9_quotation_linking, op10_secret_scan, op11_bucket_refinement, op12_merkle_manifest, op13_spelling_variants)}
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 

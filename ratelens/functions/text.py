@@ -4,6 +4,7 @@ punctuation stripping, tokenising. All JVM-side built-ins (no UDF)."""
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -72,6 +73,41 @@ def remove_pattern(c, pattern: str | Column = STOPWORD_PATTERN) -> Column:
     return F.regexp_replace(_col(c), "(?U)" + grouped_alternation(pattern), "")
 
 
+def live_phrases(pattern: str) -> list[str] | None:
+    """The alternatives of a word-list pattern that hold a space and can match:
+    one whose first word stands alone earlier in the list never does. None for
+    a pattern that is no list of plain words and phrases."""
+    m = _WORD_LIST.fullmatch(pattern)
+    if not m:
+        return None
+    words = m.group(1).split("|")
+    if not all(part.isalnum() for w in words for part in w.split(" ")):
+        return None
+    return [w for i, w in enumerate(words) if " " in w and w.split(" ")[0] not in words[:i]]
+
+
+# Where a raw token ends: space and ASCII punctuation, except the underscore, which is a word character.
+_RAW_BREAK = r"[ -/:-@\[-\^`{-~]"
+
+
+def raw_tokens(c, pattern: str = STOPWORD_PATTERN) -> Column:
+    """The pieces of a lower-cased text between spaces and ASCII punctuation.
+
+    Cleaning the text and splitting it gives the same words as cleaning each
+    piece and splitting that: a single stop word never spans a break, a break
+    is no word character (so ``\\b`` at a piece's edge answers as it does in
+    the text), and it becomes a space. Only a phrase spans one; phrases are taken
+    out first, in texts that hold the first word of one. ``pattern`` must be
+    a word list (``live_phrases`` not None)."""
+    text = F.lower(_col(c))
+    phrases = live_phrases(pattern)
+    if phrases:
+        firsts = reduce(lambda a, b: a | b, [F.contains(text, F.lit(w + " ")) for w in dict.fromkeys(p.split(" ")[0] for p in phrases)])
+        without = F.regexp_replace(text, "(?U)" + grouped_alternation(r"\b(" + "|".join(phrases) + r")\b"), "")
+        text = F.when(firsts, without).otherwise(text)
+    return F.split(text, _RAW_BREAK)
+
+
 def punct_to_space(c) -> Column:
     return F.regexp_replace(_col(c), PUNCT_CLASS, " ")
 

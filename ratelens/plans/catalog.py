@@ -60,12 +60,12 @@ def _columns(fn, **kw):
 
 def _words(fn, **kw):
     """A word report over all texts."""
-    return lambda spark, d: fn(V.clean_reviews(tables.review_texts(spark, d)), **kw)
+    return lambda spark, d: fn(tables.review_texts(spark, d), **kw)
 
 
-def _words_of(wanted, fn, **kw):
-    """A word report over the texts of some sentiments, chosen before cleaning."""
-    return lambda spark, d: fn(V.clean_reviews(V.of_sentiment(tables.reviews(spark, d), wanted)), **kw)
+def _words_of(fn, **kw):
+    """A word report over the texts of some sentiments."""
+    return lambda spark, d: fn(tables.reviews(spark, d), **kw)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -99,14 +99,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # reviews
     "reviews_parse": parsed_reviews,
     "reviews_clean": lambda spark, d: V.clean_sorted_reviews(parsed_reviews(spark, d)),
-    "top_words_k": _words(V.top_words, k=5),
+    "top_words_k": _words(V.top_cleaned_words, k=5),
     "category_count": _columns(V.count_by, key="category"),
     "aspect_count": _columns(V.count_by, key="aspect"),
     "top_aspect_positive": _columns(V.top_aspect, sentiment="positive"),
     "top_aspect_negative": _columns(V.top_aspect, sentiment="negative"),
-    "top_words_category_positive": _words_of(["positive"], V.top_words_for_sentiment, sentiment="positive"),
-    "top_words_category_negative": _words_of(["negative"], V.top_words_for_sentiment, sentiment="negative"),
-    "top_words_category": _words(V.top_symbol_stripped_words, k=5),
-    "top_words_category_by_sentiment": _words_of(["positive", "negative"], V.top_words_by_category,
-                                                 sentiments=("positive", "negative"), k=5),
+    "top_words_category_positive": _words_of(V.top_cleaned_words_for_sentiment, sentiment="positive"),
+    "top_words_category_negative": _words_of(V.top_cleaned_words_for_sentiment, sentiment="negative"),
+    "top_words_category": _words(V.top_symbol_stripped_cleaned_words, k=5),
+    "top_words_category_by_sentiment": _words_of(V.top_cleaned_words_by_category, sentiments=("positive", "negative"), k=5),
 }

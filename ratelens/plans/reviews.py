@@ -14,8 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.text import (STOPWORD_PATTERN, TOKEN_SEPARATORS, clean_review, java_trim,
-                                     strip_symbols_keep_separators)
+from ratelens.functions.text import (STOPWORD_PATTERN, TOKEN_SEPARATORS, clean_review, java_trim, live_phrases, raw_tokens,
+                                     strip_symbols, strip_symbols_keep_separators)
 from ratelens.operators.topk import top_k, top_k_per_group
 
 
@@ -62,10 +62,38 @@ def word_counts(cleaned: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count("word").alias("freq"))
 
 
+def cleaned_word_counts(reviews: DataFrame, keys: Sequence[str] = (), counted: str | None = None,
+                        pattern=STOPWORD_PATTERN, word=lambda w: w, out: str = "freq") -> DataFrame:
+    """*keys, word, ``out``: the words of the cleaned reviews, counted from the
+    raw ones (rows whose ``counted`` column is non-NULL, or all).
+
+    Raw tokens are counted first, partially in each task; then only the
+    distinct ones are cleaned, split and put through ``word``, and the counts summed
+    again. Empty words are dropped. A pattern that is no word list (or a Column)
+    cleans every text instead, with the same result."""
+    keys = list(keys)
+    one = [F.count(counted if counted else F.lit(1)).alias("_n")]
+    keep = list(dict.fromkeys([*keys, *([counted] if counted else [])]))
+    if isinstance(pattern, str) and live_phrases(pattern) is not None:
+        raw = reviews.select(*keep, F.explode(raw_tokens("review", pattern)).alias("_raw")).where(F.col("_raw") != "")
+        distinct = raw.groupBy(*keys, "_raw").agg(*one)
+        pieces = distinct.select(*keys, "_n", F.explode(F.split(clean_review("_raw", pattern), TOKEN_SEPARATORS)).alias("_piece"))
+    else:
+        pieces = (reviews.select(*keep, F.explode(F.split(F.lower(clean_review("review", pattern)), TOKEN_SEPARATORS)).alias("_piece"))
+                  .groupBy(*keys, "_piece").agg(*one))
+    words = pieces.select(*keys, "_n", word(F.col("_piece")).alias("word")).where(F.col("word") != "")
+    return words.groupBy(*keys, "word").agg(F.sum("_n").alias(out))
+
+
 def top_words(cleaned: DataFrame, k: int = 5) -> DataFrame:
     return top_k(word_counts(cleaned), k, [F.desc("freq"), "word"])
 
 
+def top_cleaned_words(reviews: DataFrame, k: int = 5, pattern=STOPWORD_PATTERN) -> DataFrame:
+    """``top_words`` of the cleaned reviews, from the raw ones."""
+    return top_k(cleaned_word_counts(reviews, pattern=pattern), k, [F.desc("freq"), "word"])
+
+
 def count_by(cleaned: DataFrame, key: str, counted: str = "id", out: str = "total_comments") -> DataFrame:
     """Rows per ``key`` counting rows whose ``counted`` column is non-NULL."""
     return (cleaned.groupBy(key).agg(F.count(counted).alias(out))
@@ -116,6 +144,26 @@ def top_words_by_category(cleaned: DataFrame, sentiments: Sequence[str] = ("posi
     return top_k_per_group(counts, ["sentiment", "category"], [F.desc("freq"), "word"], k)
 
 
+def top_cleaned_words_by_category(reviews: DataFrame, sentiments: Sequence[str] = ("positive", "negative"),
+                                  k: int = 5, min_chars: int = 3, pattern=STOPWORD_PATTERN) -> DataFrame:
+    """``top_words_by_category`` of the cleaned reviews, from the raw ones."""
+    rows = of_sentiment(reviews, sentiments).where(F.col("id").isNotNull())
+    rows = rows.select(F.lower(java_trim("sentiment")).alias("sentiment"), "category", "review")
+    counts = cleaned_word_counts(rows, ["sentiment", "category"], "category", pattern)
+    counts = counts.where(F.char_length("word") >= min_chars)
+    return top_k_per_group(counts, ["sentiment", "category"], [F.desc("freq"), "word"], k)
+
+
+def top_cleaned_words_for_sentiment(reviews: DataFrame, sentiment: str, k: int = 5, pattern=STOPWORD_PATTERN) -> DataFrame:
+    return (top_cleaned_words_by_category(reviews, [sentiment], k, pattern=pattern).select("category", "word", "freq"))
+
+
+def top_symbol_stripped_cleaned_words(reviews: DataFrame, k: int = 5, pattern=STOPWORD_PATTERN) -> DataFrame:
+    """``top_symbol_stripped_words`` of the cleaned reviews, from the raw ones."""
+    counts = cleaned_word_counts(reviews, ["category"], "aspect", pattern, strip_symbols, "cnt")
+    return top_k_per_group(counts, "category", [F.desc("cnt"), "word"], k)
+
+
 def top_words_for_sentiment(cleaned: DataFrame, sentiment: str, k: int = 5) -> DataFrame:
     return top_words_by_category(cleaned, [sentiment], k).select("category", "word", "freq")
 

@@ -146,3 +146,35 @@ def test_one_pass_aspect_counts_match_per_sentiment(cleaned):
     counts = V.aspect_sentiment_counts(cleaned, ("positive", "negative"))
     for s in ("positive", "negative"):
         assert rows(V.top_aspect_from_counts(counts, s)) == rows(V.top_aspect(cleaned, s))
+
+
+TRICKY = ["bao giờ đến phòng bao  giờ", "…bao giờ… hôm nay là hôm qua", "là_phòng là_là a\tlà\tb x\tb", "HÔM NAY,hôm (qua) hôm\tnay",
+          "chúng tôi có thể ngủ", "\ttab đầu là\t", "giá–là–rẻ «là» là̀ à", "bao lâu bao nhiêu bao", "là\tlà \t phòng", "ΟΔΟΣ ΣΑΣ là", "", None,
+          "a-là-b.c_d/e\\f^g`h{i|j}k~l[m]n", "hôm bao giờ nay", "bao giờ giờ bao giờ̀ bao nhiêu nhiêu", "★là★ đó﻿là"]
+
+
+@pytest.mark.parametrize("pattern", [X.STOPWORD_PATTERN, r"\b(a b|b c|c|x y z)\b", r"\b(l.|b)\b"])
+def test_counting_raw_tokens_first_equals_cleaning_every_text(spark, pattern):
+    more = ["a b c", "a  b c", "b c c", "x y z x y", "xa b", "a b_c", "c a b", "b\tc"]
+    data = [(i if i % 5 else None, t, f"A{i % 2}" if i % 3 else None, f"C{i % 2}" if i % 4 else None, "positive") for i, t in enumerate(TRICKY + more)]
+    df = spark.createDataFrame(data, "id int, review string, aspect string, category string, sentiment string")
+    cleaned = V.clean_reviews(df, pattern)
+    assert sorted(rows(V.cleaned_word_counts(df, pattern=pattern))) == sorted(rows(V.word_counts(cleaned)))
+    assert rows(V.top_cleaned_words(df, 50, pattern)) == rows(V.top_words(cleaned, 50))
+    key = str
+    assert (sorted(rows(V.top_cleaned_words_by_category(df, k=50, min_chars=1, pattern=pattern)), key=key)
+            == sorted(rows(V.top_words_by_category(cleaned, k=50, min_chars=1)), key=key))
+    assert (sorted(rows(V.top_symbol_stripped_cleaned_words(df, 50, pattern)), key=key)
+            == sorted(rows(V.top_symbol_stripped_words(cleaned, 50)), key=key))
+
+
+def test_counting_raw_tokens_first_over_the_documents(spark):
+    from conftest import SF_SMALL
+    from ratelens.sources import tables
+    df = tables.reviews(spark, SF_SMALL)
+    assert sorted(rows(V.cleaned_word_counts(df))) == sorted(rows(V.word_counts(V.clean_reviews(df))))
+
+
+def test_live_phrases():
+    assert X.live_phrases(X.STOPWORD_PATTERN) == ["bao giờ", "bao lâu", "bao nhiêu", "hôm nay", "hôm qua"]
+    assert X.live_phrases(r"\b(a|a b|b c)\b") == ["b c"] and X.live_phrases(r"\b(a.)\b") is None

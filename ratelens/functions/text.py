@@ -190,3 +190,26 @@ def loose_long(c) -> Column:
     """String to bigint; a decimal string is truncated ('12.5' -> 12), junk -> NULL."""
     c = _col(c)
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+
+
+NULL_FIELD = r"\N"
+
+
+def escape_field(c) -> Column:
+    """A value as one field of a tab-separated line: backslash, tab and line
+    breaks as two characters each, NULL as ``\\N``."""
+    out = _col(c).cast("string")
+    for char, code in (("\\", r"\\"), ("\t", r"\t"), ("\n", r"\n"), ("\r", r"\r")):
+        out = F.replace(out, F.lit(char), F.lit(code))
+    return F.coalesce(out, F.lit(NULL_FIELD))
+
+
+def unescape_field(c) -> Column:
+    """The value that ``escape_field`` wrote. Cut at the escaped backslashes first:
+    any other backslash then starts a code."""
+    def plain(part: Column) -> Column:
+        for char, code in (("\t", r"\t"), ("\n", r"\n"), ("\r", r"\r")):
+            part = F.replace(part, F.lit(code), F.lit(char))
+        return part
+    c = _col(c)
+    return F.when(c != NULL_FIELD, F.array_join(F.transform(F.split(c, r"\\\\"), plain), "\\"))

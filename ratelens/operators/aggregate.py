@@ -62,6 +62,16 @@ def conditional_means(df: DataFrame, keys, value: str, cases: dict[str, Column],
     return df.groupBy(*_cols(keys)).agg(*aggs)
 
 
+def conditional_combine(partials: DataFrame, keys, cases: dict[str, Column], empty=None, rounded: bool = True) -> DataFrame:
+    """``conditional_means`` from (sum, count) partials of a finer key."""
+    aggs = []
+    for name, pred in cases.items():
+        mean = F.sum(F.when(pred, F.col(SUM))) / F.nullif(F.sum(F.when(pred, F.col(CNT))), F.lit(0))
+        mean = round2(mean) if rounded else mean
+        aggs.append((mean if empty is None else F.coalesce(mean, F.lit(empty))).alias(name))
+    return partials.groupBy(*_cols(keys)).agg(*aggs)
+
+
 def mean_by_dimension(fact: DataFrame, dim: DataFrame, key: str, attrs, value: str = "rating",
                       how: str = "left", defaults: dict | None = None, avg: str = "avg_rating",
                       n: str | None = "n", rounded: bool = True) -> DataFrame:

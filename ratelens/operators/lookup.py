@@ -37,13 +37,40 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     return out
 
 
-def lookup_past_nulls(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+SALTS = 64
+
+
+def heavy_keys(fact: DataFrame, key: str, most: int = 1000, least: int = 10_000) -> tuple:
+    """The keys that more than one row in ``most`` (and more than ``least`` rows)
+    have: at most ``most`` values, so their list is bounded whatever the data."""
+    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    bar = max(least, fact.count() // most)
+    return tuple(r[0] for r in counts.where(F.col("_n") > bar).select(key).collect())
+
+
+def spread_lookup(fact: DataFrame, dim: DataFrame, key: str, heavy: tuple = (), how: str = "left",
+                  salts: int = SALTS) -> DataFrame:
+    """``lookup`` in which the fact rows of each heavy key are dealt to
+    ``salts`` partitions; the dimension row of a heavy key stands once per salt.
+
+    The salt is a hash of the fact row, so a recomputed task deals its rows as
+    before. Rows equal in all columns share a salt."""
+    if not heavy:
+        return lookup(fact, dim, key, how=how)
+    hot = F.col(key).isin(list(heavy))
+    salt = F.when(hot, F.pmod(F.xxhash64(*[c for c in fact.columns]), F.lit(salts)).cast("int")).otherwise(0)
+    copies = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    joined = fact.withColumn("_salt", salt).join(dim.withColumn("_salt", copies), on=[key, "_salt"], how=how)
+    return joined.drop("_salt")
+
+
+def lookup_past_nulls(fact: DataFrame, dim: DataFrame, key: str, heavy: tuple = ()) -> DataFrame:
     """Left ``lookup`` of a raw fact in which many rows may have a NULL key:
     those go round the join with NULL attributes, so they never meet in one
-    partition of it."""
+    partition of it. Rows of ``heavy`` keys are spread."""
     extra = [c for c in dim.columns if c != key]
     types = dict(dim.dtypes)
-    known = lookup(fact.where(F.col(key).isNotNull()), dim, key).select(*fact.columns, *extra)
+    known = spread_lookup(fact.where(F.col(key).isNotNull()), dim, key, heavy).select(*fact.columns, *extra)
     unknown = fact.where(F.col(key).isNull()).select(*fact.columns, *[F.lit(None).cast(types[c]).alias(c) for c in extra])
     return known.unionByName(unknown)
 

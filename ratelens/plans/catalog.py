@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ratelens.functions import render as P
 from ratelens.plans import ratings as R
 from ratelens.plans import reviews as V
+from ratelens.sinks import as_text, stage_path, write_tsv
 from ratelens.sources import files, tables
 
 
@@ -68,6 +69,27 @@ def _words_of(fn, **kw):
     return lambda spark, d: fn(tables.reviews(spark, d), **kw)
 
 
+def _lines(parse, lines, **kw):
+    """Lines of a comma file parsed under a bad-record policy."""
+    return lambda spark, d: parse(lines(spark, d).select("value", *(["_order"] if kw.get("last") else [])), **kw)
+
+
+def _ratings_two_files(spark, d):
+    """Two rating files, written as text to the shared folder and read in one scan."""
+    paths = []
+    for name, part in zip(("first", "second"), tables.rating_files(spark, d), strict=True):
+        paths.append(stage_path(spark, f"ratings_{name}"))
+        as_text(part.select("user_key", "movie_id", "rating", "ts"), ",").write.text(paths[-1])
+    return files.read_ratings(spark, paths)
+
+
+def _reviews_tsv(spark, d):
+    """Reviews written as an escaped tab-separated file and read back."""
+    path = stage_path(spark, "reviews_tsv")
+    write_tsv(tables.text_reviews(spark, d), path, escaped=True)
+    return files.read_reviews_tsv(spark, path, escaped=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ratings star
     "movie_mean_count": _star(R.movie_mean_count),
@@ -96,6 +118,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "genre_mean_sentence": _rendered(R.genre_mean_count, P.genre_sentence),
     "gender_wide_sentence": _rendered(R.gender_wide, P.gender_sentence),
     "age_wide_sentence": lambda spark, d: _age_sentence(star(spark, d)),
+    # comma files
+    "rating_lines_drop": _lines(files.parse_rating_lines, tables.rating_lines, on_bad="drop"),
+    "rating_lines_null": _lines(files.parse_rating_lines, tables.rating_lines, on_bad="null"),
+    "movie_lines_drop": _lines(files.parse_movie_lines, tables.movie_lines, on_bad="drop"),
+    "movie_lines_null": _lines(files.parse_movie_lines, tables.movie_lines, on_bad="null"),
+    "user_lines_drop": _lines(files.parse_user_lines, tables.user_lines, on_bad="drop"),
+    "user_lines_null": _lines(files.parse_user_lines, tables.user_lines, on_bad="null"),
+    "user_lines_last": _lines(files.parse_user_lines, tables.user_lines, on_bad="drop", last=True),
+    "occupation_lines_drop": _lines(files.parse_occupation_lines, tables.occupation_lines, on_bad="drop"),
+    "ratings_two_files": _ratings_two_files,
+    "reviews_tsv_roundtrip": _reviews_tsv,
     # reviews
     "reviews_parse": parsed_reviews,
     "reviews_clean": lambda spark, d: V.clean_sorted_reviews(parsed_reviews(spark, d)),

@@ -7,6 +7,8 @@ Parquet in the shared checkpoint folder instead of being recomputed.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,6 @@ from pyspark.sql import functions as F
 from ratelens.functions.text import STOPWORD_PATTERN
 from ratelens.plans import ratings as R
 from ratelens.plans import reviews as V
-from ratelens.operators.aggregate import sum_count
 from ratelens.sinks import stage, unstage, write_many, write_tsv
 from ratelens.sources.files import parse_review_lines
 
@@ -56,15 +57,13 @@ def run_review_jobs(lines: DataFrame, out_dir: str, pattern: str = STOPWORD_PATT
 def run_rating_jobs(star: R.RatingsStar, out_dir: str) -> dict[str, str]:
     """Writes every rating report as tab-separated folders.
 
-    The ratings are joined with all user attributes once and staged, so the
-    gender, age and occupation reports share one shuffle of the fact; the
-    per-movie sums that six reports start from are computed once. Staged
-    folders are deleted at the end."""
+    The ratings are joined with all user attributes and reduced to the grouping
+    sets of every report in one pass; only those sums are staged, and all
+    twelve reports start from them. Heavy users are found first, by a count per
+    user key. The staged folder is deleted at the end."""
     out = out_dir.rstrip("/")
-    enriched = R.enrich_users(star)
-    rated = stage(enriched.ratings, "rated_users")
-    partials = stage(sum_count(rated, "movie_id"), "movie_partials")
-    star = R.RatingsStar(rated, star.movies, star.users, star.occupations, partials)
+    partials = stage(R.report_partials(R.with_heavy_users(star)), "rating_partials")
+    star = replace(star, partials=partials)
     reports = {
         "movie_mean_count": R.movie_mean_count(star),
         "movie_mean_by_title": R.movie_mean_by_title(star),
@@ -83,6 +82,5 @@ def run_rating_jobs(star: R.RatingsStar, out_dir: str) -> dict[str, str]:
         for name, df in reports.items():
             write_tsv(df, f"{out}/{name}")
     finally:
-        unstage(rated)
         unstage(partials)
     return {name: f"{out}/{name}" for name in reports}

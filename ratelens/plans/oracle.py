@@ -9,6 +9,7 @@ the fixed stop-word list. Means are rounded half-up in exact integers, as all
 from __future__ import annotations
 
 from ratelens.functions.text import STOPWORD_PATTERN
+from ratelens.plans.oracle_lines import ORACLE_LINES
 
 
 def _mean(total: str, n: str) -> str:
@@ -354,3 +355,4 @@ ORACLE.update({
                                                                ("avg_rating", 10, "f2"), ("n", 12, "s")]),
     "year_mean_text": _fixed(ORACLE["year_mean"], [("year", 8, "s"), ("avg_rating", 10, "f2"), ("n", 12, "s")]),
 })
+ORACLE.update(ORACLE_LINES)

@@ -9,7 +9,7 @@ then enrich the small aggregate, then sort.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +18,11 @@ from ratelens.functions.buckets import PRESETS, bucket_ordinal, bucketize
 from ratelens.functions.numeric import fixed2, fixed2_or, plain
 from ratelens.functions.render import movie_line
 from ratelens.functions.time import year_utc
-from ratelens.operators.aggregate import (combine, conditional_means, finish, mean_by_dimension,
+from ratelens.operators.aggregate import (CNT, SUM, combine, conditional_combine, conditional_means, finish, mean_by_dimension,
                                           mean_count, sum_count)
 from ratelens.operators.best import best_with_support, qualifying
 from ratelens.operators.explode import explode_values
-from ratelens.operators.lookup import lookup, lookup_past_nulls, title_fallback
+from ratelens.operators.lookup import heavy_keys, lookup, lookup_past_nulls, spread_lookup, title_fallback
 
 UNKNOWN = "Unknown"
 
@@ -32,7 +32,8 @@ class RatingsStar:
     """ratings: user_key, movie_id, rating, ts
     movies: movie_id, title, genres      users: user_key, user_id, gender, age, occupation_id
     occupations: occupation_id, occupation
-    movie_partials: (sum, count) per movie, when a job has computed them once.
+    partials: the (sum, count) rows of ``report_partials``, when a job has computed them once.
+    heavy_users: user keys with a large share of the ratings (``with_heavy_users``).
 
     Keys are unique in movies, users and occupations (the readers' ``last``
     option keeps the last row of a repeated key)."""
@@ -40,14 +41,20 @@ class RatingsStar:
     movies: DataFrame
     users: DataFrame
     occupations: DataFrame | None = None
-    movie_partials: DataFrame | None = None
+    partials: DataFrame | None = None
+    heavy_users: tuple = ()
 
     @property
     def titles(self) -> DataFrame:
         return self.movies.select("movie_id", "title")
 
+    def partial(self, name: str) -> DataFrame:
+        """The rows of one grouping set of ``partials``."""
+        keys = REPORT_SETS[name]
+        return self.partials.where(F.col("_set") == name).select(*keys, SUM, CNT)
+
     def per_movie(self) -> DataFrame:
-        return self.movie_partials if self.movie_partials is not None else sum_count(self.ratings, "movie_id")
+        return self.partial("movie") if self.partials is not None else sum_count(self.ratings, "movie_id")
 
     def rated_with(self, *attrs: str) -> DataFrame:
         """Ratings carrying the given user attributes, NULL for an unknown
@@ -55,18 +62,22 @@ class RatingsStar:
         enriched by ``enrich_users`` are used as is."""
         if all(a in self.ratings.columns for a in attrs):
             return self.ratings
-        return lookup_past_nulls(self.ratings, user_attributes(self, *attrs), "user_key")
+        return lookup_past_nulls(self.ratings, user_attributes(self, *attrs), "user_key", self.heavy_users)
 
     def rated_by_known(self, *attrs: str) -> DataFrame:
         """Ratings of known users only. The merge hint keeps the fact from
         ever being the broadcast side, which an inner join would allow."""
         if all(a in self.ratings.columns for a in attrs):
             return self.ratings.where(F.col("_user_known"))
-        return lookup(self.ratings.hint("merge"), user_attributes(self, *attrs), "user_key", how="inner")
+        return spread_lookup(self.ratings.hint("merge"), user_attributes(self, *attrs), "user_key", self.heavy_users, how="inner")
 
 
 USER_ATTRS = ("gender", "age", "occupation_id")
 
+# What the reports group by; each is one grouping set of ``report_partials``.
+REPORT_SETS = {"movie": ["movie_id"], "gender": ["movie_id", "gender"], "age_four": ["movie_id", "age_four"],
+               "age_five": ["movie_id", "age_five"], "occupation": ["occupation_id"], "year": ["year"]}
+
 
 def user_attributes(star: RatingsStar, *attrs: str) -> DataFrame:
     filled = [F.coalesce("gender", F.lit("")).alias("gender") if a == "gender" else F.col(a) for a in attrs]
@@ -80,9 +91,29 @@ def enrich_users(star: RatingsStar) -> RatingsStar:
     instead of each joining (and shuffling) the whole fact again; stage the
     result (``sinks.stage``) when several reports read it."""
     users = user_attributes(star, *USER_ATTRS).withColumn("_user_known", F.lit(True))
-    rated = lookup_past_nulls(star.ratings, users, "user_key")
+    rated = lookup_past_nulls(star.ratings, users, "user_key", star.heavy_users)
     rated = rated.withColumn("_user_known", F.coalesce("_user_known", F.lit(False)))
-    return RatingsStar(rated, star.movies, star.users, star.occupations)
+    return replace(star, ratings=rated)
+
+
+def with_heavy_users(star: RatingsStar, most: int = 1000) -> RatingsStar:
+    """The star with its heavy users found (``operators.lookup.heavy_keys``),
+    whose ratings the user joins then spread."""
+    return replace(star, heavy_users=heavy_keys(star.ratings, "user_key", most))
+
+
+def report_partials(star: RatingsStar) -> DataFrame:
+    """(sum, count) per grouping set of ``REPORT_SETS``, all from one pass over
+    the ratings: ``_set`` names the set a row belongs to."""
+    rated = enrich_users(star).ratings.select(
+        "movie_id", "gender", bucketize("age", "four").alias("age_four"), bucketize("age", "five").alias("age_five"),
+        "occupation_id", year_utc("ts").alias("year"), "rating")
+    cols = [c for c in rated.columns if c != "rating"]
+    ids = {name: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys) for name, keys in REPORT_SETS.items()}
+    sums = rated.groupingSets(list(REPORT_SETS.values()), *cols).agg(
+        F.sum("rating").alias(SUM), F.count("rating").alias(CNT), F.grouping_id().alias("_id"))
+    name = F.create_map(*[F.lit(x) for name, i in ids.items() for x in (i, name)])
+    return sums.withColumn("_set", F.element_at(name, F.col("_id").cast("int"))).drop("_id")
 
 
 def _with_titles(stats: DataFrame, star: RatingsStar, on_missing: str) -> DataFrame:
@@ -173,11 +204,12 @@ def gender_wide(star: RatingsStar) -> DataFrame:
     """movie_id, title, male_avg, female_avg: everything not 'M' (including
     unknown users) counts as female; an empty side is 0; a missing title
     shows the id."""
-    rated = star.rated_with("gender")
     male = F.col("gender") == "M"
-    wide = conditional_means(rated, "movie_id", "rating",
-                             {"male_avg": male, "female_avg": ~F.col("gender").eqNullSafe("M")},
-                             empty=0.0)
+    cases = {"male_avg": male, "female_avg": ~F.col("gender").eqNullSafe("M")}
+    if star.partials is not None:
+        wide = conditional_combine(star.partial("gender"), "movie_id", cases, empty=0.0)
+    else:
+        wide = conditional_means(star.rated_with("gender"), "movie_id", "rating", cases, empty=0.0)
     out = lookup(wide, star.titles, "movie_id", defaults=title_fallback("key"))
     return out.select("movie_id", "title", "male_avg", "female_avg").orderBy("title", "movie_id")
 
@@ -193,8 +225,11 @@ def _id_key(col: str, id_order: str):
 def gender_long(star: RatingsStar, id_order: str = "numeric") -> DataFrame:
     """movie_id, title, gender, avg_rating, n; unknown users form their own
     'Unknown' group, a missing title reads 'Unknown'."""
-    rated = star.rated_with("gender").withColumn("gender", F.coalesce("gender", F.lit(UNKNOWN)))
-    stats = mean_count(rated, ["movie_id", "gender"])
+    named = F.coalesce("gender", F.lit(UNKNOWN))
+    if star.partials is not None:
+        stats = finish(combine(star.partial("gender").withColumn("gender", named), ["movie_id", "gender"]))
+    else:
+        stats = mean_count(star.rated_with("gender").withColumn("gender", named), ["movie_id", "gender"])
     out = lookup(stats, star.titles, "movie_id", defaults=title_fallback("unknown"))
     return (out.select("movie_id", "title", "gender", "avg_rating", "n")
             .orderBy(_id_key("movie_id", id_order), "gender"))
@@ -206,6 +241,11 @@ def _age_rated(star: RatingsStar, preset: str) -> DataFrame:
     return rated.withColumn("age_group", bucketize("age", preset)).where(F.col("age_group").isNotNull())
 
 
+def _age_partial(star: RatingsStar, preset: str) -> DataFrame:
+    """An unknown user has no age, so no age group either."""
+    return star.partial(f"age_{preset}").withColumnRenamed(f"age_{preset}", "age_group").where(F.col("age_group").isNotNull())
+
+
 def age_column(label: str) -> str:
     return "age_" + label.replace("-", "_").replace("+", "_plus")
 
@@ -215,7 +255,10 @@ def age_wide(star: RatingsStar, preset: str = "four") -> DataFrame:
     has no rating); a missing title shows the id."""
     labels = PRESETS[preset].labels
     cases = {age_column(lb): F.col("age_group") == lb for lb in labels}
-    wide = conditional_means(_age_rated(star, preset), "movie_id", "rating", cases)
+    if star.partials is not None:
+        wide = conditional_combine(_age_partial(star, preset), "movie_id", cases)
+    else:
+        wide = conditional_means(_age_rated(star, preset), "movie_id", "rating", cases)
     out = lookup(wide, star.titles, "movie_id", defaults=title_fallback("key"))
     return out.select("movie_id", "title", *cases).orderBy("title", "movie_id")
 
@@ -230,7 +273,10 @@ def age_wide_text(star: RatingsStar, preset: str = "four", missing: str = "NA")
 def age_long(star: RatingsStar, preset: str = "five", id_order: str = "numeric") -> DataFrame:
     """movie_id, title, age_group, avg_rating, n; unknown users and unknown
     movies are dropped; groups in age order."""
-    stats = mean_count(_age_rated(star, preset), ["movie_id", "age_group"])
+    if star.partials is not None:
+        stats = finish(_age_partial(star, preset))
+    else:
+        stats = mean_count(_age_rated(star, preset), ["movie_id", "age_group"])
     out = lookup(stats, star.titles, "movie_id", how="inner")
     return (out.select("movie_id", "title", "age_group", "avg_rating", "n")
             .orderBy(_id_key("movie_id", id_order), bucket_ordinal("age_group", preset)))
@@ -240,8 +286,8 @@ def occupation_mean(star: RatingsStar) -> DataFrame:
     """occupation_id, occupation, avg_rating, n. Unknown user -> (NULL,
     'Unknown'); unknown occupation id -> (id, 'Unknown'). The ratings are
     reduced per user key before the join (see ``mean_by_dimension``)."""
-    if "occupation_id" in star.ratings.columns:  # already enriched: group, then name
-        partial = sum_count(star.ratings, "occupation_id")
+    if star.partials is not None or "occupation_id" in star.ratings.columns:  # already enriched: group, then name
+        partial = star.partial("occupation") if star.partials is not None else sum_count(star.ratings, "occupation_id")
         named = lookup(partial, star.occupations, "occupation_id", defaults={"occupation": UNKNOWN})
         out = finish(combine(named, ["occupation_id", "occupation"]))
     else:
@@ -257,5 +303,7 @@ def occupation_mean(star: RatingsStar) -> DataFrame:
 
 def year_mean(star: RatingsStar) -> DataFrame:
     """year (UTC), avg_rating, n."""
+    if star.partials is not None:
+        return finish(star.partial("year")).orderBy("year")
     rated = star.ratings.select(year_utc("ts").alias("year"), "rating")
     return mean_count(rated, "year").orderBy("year")

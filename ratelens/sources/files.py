@@ -18,14 +18,16 @@ number: such a rating is kept, and its means are NaN.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens import schemas
-from ratelens.functions.text import extract_or_null, full_match, java_trim, loose_long
+from ratelens.functions.text import extract_or_null, full_match, java_trim, loose_long, unescape_field
 from ratelens.operators.lookup import last_per_key
 
 ON_BAD = ("drop", "null", "fail")
@@ -41,16 +43,18 @@ def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_lines(spark: SparkSession, paths, with_file_name: bool = False, with_order: bool = False) -> DataFrame:
-    """One row per line (column ``value``); optionally the source file name,
-    or ``_order``, which grows along the files in path order."""
-    df = spark.read.text(_paths(paths))
-    if with_order:
-        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
-        return df.select("value", place.alias("_order"))
-    if with_file_name:
-        df = df.select("value", F.col("_metadata.file_name").alias("file_name"))
-    return df
+def read_lines(spark: SparkSession, paths, with_order: bool = False) -> DataFrame:
+    """One row per line (column ``value``); optionally ``_order``, which grows
+    along the paths in the order given, along the files of one path by name,
+    and along the lines of a file."""
+    if not with_order:
+        return spark.read.text(_paths(paths))
+
+    def placed(i: int, path: str) -> DataFrame:
+        place = F.struct(F.lit(i).alias("given"), "_metadata.file_path", "_metadata.file_block_start",
+                         F.monotonically_increasing_id().alias("line"))
+        return spark.read.text(path).select("value", place.alias("_order"))
+    return reduce(DataFrame.unionByName, [placed(i, p) for i, p in enumerate(_paths(paths))])
 
 
 def _check(on_bad: str):
@@ -81,9 +85,10 @@ def parse_fields(lines: DataFrame, schema: T.StructType, sep: str = ",", on_bad:
                  limit: int = -1, required: Sequence[str] | None = None, trim: bool = True,
                  empty_as_null: bool = False, header_prefix: str | None = None,
                  header_regex: str | None = None, skip_blank: bool = True,
-                 value: str = "value") -> DataFrame:
+                 value: str = "value", escaped: bool = False) -> DataFrame:
     """Split each line on the regex ``sep`` (at most ``limit`` parts) and
-    type the fields by position against ``schema``."""
+    type the fields by position against ``schema``. ``escaped`` fields are
+    those of ``functions.text.escape_field``."""
     _check(on_bad)
     v = F.col(value)
     if skip_blank:
@@ -98,9 +103,11 @@ def parse_fields(lines: DataFrame, schema: T.StructType, sep: str = ",", on_bad:
         raw = F.get(parts, i)
         if trim:
             raw = java_trim(raw)
+        if escaped:
+            raw = unescape_field(raw)
         typed = _typed(F.nullif(raw, F.lit("")) if empty_as_null else raw, field.dataType)
-        blank = raw == "" if empty_as_null else F.lit(False)
-        bad = bad | raw.isNull() | (typed.isNull() & ~F.coalesce(blank, F.lit(False)))
+        blank = raw == "" if empty_as_null else raw.isNull() & (F.size(parts) > i) if escaped else F.lit(False)
+        bad = bad | F.get(parts, i).isNull() | (typed.isNull() & ~F.coalesce(blank, F.lit(False)))
         fields[field.name] = typed
     return _apply_policy(lines, value, fields, bad, on_bad, required or schema.fieldNames())
 
@@ -113,9 +120,12 @@ def read_delimited(spark: SparkSession, paths, schema: T.StructType, **kw) -> Da
 def read_ratings(spark: SparkSession, paths, on_bad: str = "drop") -> DataFrame:
     """``UserID,MovieID,Rating,Timestamp``; optional ``UserID...`` header,
     optional spaces around fields. ``user_key`` mirrors ``user_id``."""
-    df = read_delimited(spark, paths, schemas.RATINGS, on_bad=on_bad,
-                        required=["movie_id", "rating"],
-                        header_prefix=RATINGS_HEADER_PREFIX)
+    return parse_rating_lines(read_lines(spark, paths), on_bad)
+
+
+def parse_rating_lines(lines: DataFrame, on_bad: str = "drop") -> DataFrame:
+    """The lines of ``read_ratings`` (column ``value``)."""
+    df = parse_fields(lines, schemas.RATINGS, on_bad=on_bad, required=["movie_id", "rating"], header_prefix=RATINGS_HEADER_PREFIX)
     return df.withColumn("user_key", F.col("user_id"))
 
 
@@ -149,14 +159,22 @@ def read_users(spark: SparkSession, paths, on_bad: str = "drop", last: bool = Fa
     """``UserID,Gender,Age,OccupationID``; a missing or bad cell other than
     the id becomes NULL. ``user_key`` mirrors ``user_id``; ``last`` keeps the
     last line of a repeated id."""
-    df = parse_fields(read_lines(spark, paths, with_order=last), schemas.USERS, on_bad=on_bad, required=["user_id"],
-                      empty_as_null=True)
+    return parse_user_lines(read_lines(spark, paths, with_order=last), on_bad, last)
+
+
+def parse_user_lines(lines: DataFrame, on_bad: str = "drop", last: bool = False) -> DataFrame:
+    """The lines of ``read_users`` (column ``value``; with ``last`` also ``_order``)."""
+    df = parse_fields(lines, schemas.USERS, on_bad=on_bad, required=["user_id"], empty_as_null=True)
     return _dimension(df, "user_id", last).withColumn("user_key", F.col("user_id"))
 
 
 def read_occupations(spark: SparkSession, paths, on_bad: str = "drop", last: bool = False) -> DataFrame:
-    rows = parse_fields(read_lines(spark, paths, with_order=last), schemas.OCCUPATIONS, on_bad=on_bad, limit=2)
-    return _dimension(rows, "occupation_id", last)
+    return parse_occupation_lines(read_lines(spark, paths, with_order=last), on_bad, last)
+
+
+def parse_occupation_lines(lines: DataFrame, on_bad: str = "drop", last: bool = False) -> DataFrame:
+    """``ID,Name``: everything behind the first comma is the name."""
+    return _dimension(parse_fields(lines, schemas.OCCUPATIONS, on_bad=on_bad, limit=2), "occupation_id", last)
 
 
 def parse_review_lines(lines: DataFrame, value: str = "line") -> DataFrame:
@@ -193,11 +211,13 @@ def read_reviews_raw(spark: SparkSession, paths) -> DataFrame:
     return parse_review_lines(read_lines(spark, paths).withColumnRenamed("value", "line"))
 
 
-def read_reviews_tsv(spark: SparkSession, paths, schema: T.StructType = schemas.REVIEWS_TEXT) -> DataFrame:
+def read_reviews_tsv(spark: SparkSession, paths, schema: T.StructType = schemas.REVIEWS_TEXT,
+                     escaped: bool = False) -> DataFrame:
     """Tab-separated reviews, no header; an empty field is NULL, missing
-    trailing fields are NULL, values are not trimmed."""
+    trailing fields are NULL, values are not trimmed. ``escaped`` reads what
+    ``sinks.write_tsv(escaped=True)`` wrote, with every value as it was."""
     return read_delimited(spark, paths, schema, sep="\t", on_bad="null", trim=False,
-                          empty_as_null=True, skip_blank=False)
+                          empty_as_null=not escaped, skip_blank=False, escaped=escaped)
 
 
 def read_stopword_pattern(spark: SparkSession, path: str) -> str:
@@ -211,15 +231,20 @@ def read_stopword_pattern(spark: SparkSession, path: str) -> str:
 
 def read_routed(spark: SparkSession, paths, routes: dict[str, Callable[[DataFrame], DataFrame]]
                 ) -> dict[str, DataFrame]:
-    """Mixed files read as lines once; rows go to the parser of the first
-    route whose key is contained in the file name (e.g. 'users', 'ratings').
-    Each route's DataFrame filters the lines on ``_metadata.file_name``."""
-    lines = read_lines(spark, paths, with_file_name=True)
-    out, taken = {}, F.lit(False)
+    """Mixed files read as lines; a file goes to the parser of the first route
+    whose key is contained in its name (e.g. 'users', 'ratings').
+
+    Files are chosen when they are listed, so each route's scan holds its own
+    files only. A name with the keys of several routes is listed by each of
+    them and dropped by all but the first."""
+    out, earlier = {}, []
     for key, parse in routes.items():
-        hit = F.col("file_name").contains(key)
-        out[key] = parse(lines.where(hit & ~taken).select("value"))
-        taken = taken | hit
+        glob = "*" + re.sub(r"([\\*?\[\]{}])", r"\\\1", key) + "*"
+        lines = spark.read.option("pathGlobFilter", glob).text(_paths(paths))
+        for taken in earlier:
+            lines = lines.where(~F.col("_metadata.file_name").contains(taken))
+        out[key] = parse(lines.select("value"))
+        earlier.append(key)
     return out
 
 
@@ -235,7 +260,7 @@ def route_parsers(on_bad: str = "drop") -> dict[str, Callable[[DataFrame], DataF
                             empty_as_null=True).withColumn("user_key", F.col("user_id"))
 
     def occupations(lines):
-        return parse_fields(lines, schemas.OCCUPATIONS, on_bad=on_bad, limit=2)
+        return parse_occupation_lines(lines, on_bad)
 
     def movies(lines):
         return parse_movie_lines(lines, on_bad)

@@ -19,6 +19,11 @@ Role mapping (every entity is derived by Spark from whole tables):
               category lang, sentiment from quality (1 positive, 0 negative,
               unlabelled neutral).
 
+* line files   the same entities as the comma files hold them, whole tables as
+              lines (``rating_lines``, ``movie_lines``, ``user_lines``, ``occupation_lines``):
+              some rows, chosen by their keys, become headers, blank, short or
+              unparsable lines.
+
 Keying users by the order key lets a report join lineitem once; the small
 orders->customer lookup is resolved first (orders is 1/4 of lineitem).
 """
@@ -37,7 +42,7 @@ REVIEW_HEADER = "id;review;aspect;category;sentiment"
 # Declaring them skips the schema-inference job of every parquet read and
 # fixes the types the reports rely on.
 TABLE_SCHEMAS = {
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_linestatus string, "
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_linestatus string, "
                 "l_shipdate timestamp_ntz",
     "orders": "o_orderkey bigint, o_custkey bigint",
     "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -138,3 +143,79 @@ def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(";", F.col("id").cast("string"), "review", "aspect", "category", "sentiment")
     header = spark.range(1).select(F.lit(REVIEW_HEADER).alias("line"))
     return header.unionByName(r.select(line.alias("line")))
+
+
+def _line(key, shapes: dict, plain):
+    """``plain``, or for some values of ``key`` another shape of the line."""
+    out = None
+    for k, shape in shapes.items():
+        out = F.when(key == k, shape) if out is None else out.when(key == k, shape)
+    return out.otherwise(plain).alias("value")
+
+
+def _comma(*parts, sep: str = ","):
+    return F.concat_ws(sep, *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
+
+
+def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as lines of a rating file; nine in twenty are irregular."""
+    li = table(spark, sf_dir, "lineitem").withColumn("ts", epoch_seconds("l_shipdate"))
+    o, p, q, t = "l_orderkey", "l_partkey", "l_quantity", "ts"
+    x = F.lit
+    return li.select(_line((F.col(o) * 7 + F.col("l_linenumber")) % 20, {
+        0: F.when(F.col(o) % 2 == 0, "").otherwise(" \t"),       # blank
+        1: x("UserID,MovieID,Rating,Timestamp"),                  # header
+        2: _comma(o, p),                                          # short
+        3: _comma(o, p, x("x"), t),                               # rating is no number
+        4: _comma(F.concat(F.col(o).cast("string"), x(".5")), p, q, t),   # user is no whole number
+        5: _comma(o, x(" "), q, t),                               # movie is missing
+        6: _comma(o, p, q, t, x("more")),                         # long
+        7: F.concat(x(" "), _comma(o, p, q, t, sep=" ,\t"), x(" ")),      # blanks round the fields
+        8: _comma(o, p, q),                                       # time is missing
+    }, _comma(o, p, q, t)))
+
+
+def movie_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as lines of a movie file; seven in thirteen are irregular."""
+    m = table(spark, sf_dir, "part").withColumn("g", F.concat_ws("|", "p_type", F.replace(F.col("p_name"), F.lit(" "), F.lit("|"))))
+    i, n, g, x = "p_partkey", "p_name", "g", F.lit
+    return m.select(_line(F.col(i) % 13, {
+        0: x("  "), 1: _comma(i, n), 2: F.concat(x("x"), _comma(i, n, g)), 3: _comma(i, n, x(" The"), g),
+        4: F.concat(x(" "), _comma(i, n, g, sep=" , ")), 5: F.col(i).cast("string"), 6: _comma(F.concat(F.col(i).cast("string"), x(".0")), n, g),
+    }, _comma(i, n, g)))
+
+
+def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as lines of a user file; seven in eleven are irregular. ``_order``
+    is the place of the line: one file of all, then one of corrections."""
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", "M").otherwise("F").alias("g"), customer_age().alias("a"), "c_nationkey")
+    i, g, a, o, x = "c_custkey", "g", "a", "c_nationkey", F.lit
+    first = c.select(_line(F.col(i) % 11, {
+        0: _comma(i, x(""), a, o), 1: _comma(i, g, x(" "), o), 2: _comma(i, g, a), 3: _comma(x("x"), g, a, o), 4: x(""),
+        5: _comma(i, g, x("old"), o), 6: _comma(i, g, a, o, sep=" , "),
+    }, _comma(i, g, a, o)), F.struct(F.lit(0).alias("file"), F.lit(0).alias("part"), F.col(i).alias("line")).alias("_order"))
+    again = c.where(F.col(i) % 3 == 0)
+    later = again.select(_comma(i, x("X"), F.col(a) + 1, o).alias("value"),
+                         F.struct(F.lit(1).alias("file"), F.lit(0).alias("part"), F.col(i).alias("line")).alias("_order"))
+    last = again.where(F.col(i) % 2 == 0).select(
+        _comma(i, x(""), x(""), x("99")).alias("value"),
+        F.struct(F.lit(1).alias("file"), F.lit(1).alias("part"), F.col(i).alias("line")).alias("_order"))
+    return first.unionByName(later).unionByName(last)
+
+
+def occupation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``nation`` as lines of an occupation file: names with commas, short and blank lines."""
+    i, n, x = "n_nationkey", "n_name", F.lit
+    return table(spark, sf_dir, "nation").select(_line(F.col(i) % 5, {
+        0: _comma(i, n, x(" and others")), 1: F.col(i).cast("string"), 2: F.concat(x(" "), _comma(i, n, sep=" ,")), 3: x(" "),
+    }, _comma(i, n)))
+
+
+def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews with their line breaks, as strings; every ninth without an aspect, every seventh with an empty category."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("review"),
+        F.when(F.col("doc_id") % 9 != 0, F.col("source")).alias("aspect"),
+        F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("lang")).alias("category"),
+        F.concat(F.lit("a\\tb\t"), F.col("doc_id").cast("string")).alias("sentiment"))

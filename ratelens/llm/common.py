@@ -68,6 +68,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return Scratch(df.sparkSession).written(df, name)
 
 
+HOT_KEYS = 1024   # keys dealt out at most
+HOT_ROWS = 1000   # rows of a key below which it is never dealt out
+SALTS = 64
+
+
+def salted_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``keyed`` (unique in ``on``), whatever share of the
+    rows one key holds. Keys of more than one row in ``HOT_KEYS`` number
+    ``HOT_KEYS`` at most, so their list is broadcast; their rows are dealt to
+    ``SALTS`` tasks by a hash of the columns ``by``, and their keyed row stands
+    once per salt."""
+    total = rows.count()
+    bar = max(HOT_ROWS, total // HOT_KEYS)
+    hot = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > bar)
+    hot = F.broadcast(hot.select(*on, F.lit(SALTS).alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), salts).cast("int")).drop("_salts")
+    copies = keyed.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return dealt.hint("merge").join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def crc_fold(col: Column, k: int) -> Column:
     """crc32 of the value's text, modulo k (the folds of the contracts)."""
     return F.crc32(col.cast("string").cast("binary")) % F.lit(k)

@@ -11,8 +11,11 @@ two texts with one digest never merge:
 3. global: at most ``salts`` winners per text meet and give the keeper.
 
 The keepers (no texts) then join back to the rows on the digest, a second
-64-bit hash and the length. A hot text is a skewed key on the row side of
-that join only, which AQE may split, as its keeper side is one row.
+64-bit hash and the length: 320 bits and a length stand for the content there,
+so that texts need not cross once more. The rows of a text with very many copies
+are dealt to several tasks in that join.
+
+Texts of any length are compared whole.
 
 Defined cases: null text is empty; all empty texts are one group. Ties do not
 occur between distinct ids; rows that repeat an id and a text count in
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ratelens.llm.common import normal_blanks
+from ratelens.llm.common import Scratch, normal_blanks, salted_join
 
 SALTS = 16
 
@@ -52,7 +55,8 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = (_addressed(df, id_col, text_col)
             .select("doc_id", "digest", F.xxhash64("content").alias("h2"), F.length("content").alias("n")))
-    out = rows.join(keepers(df, id_col, text_col, salts), ["digest", "h2", "n"])
+    rows = Scratch(df.sparkSession).written(rows, "text-digests")
+    out = salted_join(rows, keepers(df, id_col, text_col, salts), ["digest", "h2", "n"], ["doc_id"])
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                       F.lower(F.hex("digest")).alias("text_sha256"))
 
@@ -67,7 +71,8 @@ def drop_copies(df: DataFrame, salts: int = SALTS) -> DataFrame:
                        F.unhex(F.sha2("content", 256)).alias("digest"), F.xxhash64("content").alias("h2"), F.length("content").alias("n"))
     by = ["no_id", "id", "digest", "h2", "n"]
     kept = keepers(df, salts=salts).withColumn("keep", F.coalesce(F.col("keep_id").cast("string"), F.lit("")))
-    copies = (rows.select(*by).join(kept.select("digest", "h2", "n", "keep"), ["digest", "h2", "n"])
+    ids = Scratch(df.sparkSession).written(rows.select(*by), "text-digests")
+    copies = (salted_join(ids, kept.select("digest", "h2", "n", "keep"), ["digest", "h2", "n"], ["id"])
               .where(~F.col("no_id") & (F.col("id") != F.col("keep"))).select(by).distinct())
     # the join leaves the rows where the window needs them: texts move once
     order = [text, *[c for c, t in plain.dtypes if "map<" not in t]]

@@ -54,7 +54,7 @@ def op9_quotation_linking(spark, sf_dir):
 
 
 def op10_secret_scan(spark, sf_dir):
-    return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents")))
+    return secrets.digest_columns(secrets.scan(read(spark, sf_dir, "documents"), secrets.shared_ledger(spark)))
 
 
 def op11_bucket_refinement(spark, sf_dir):

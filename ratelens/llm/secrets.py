@@ -4,7 +4,10 @@ Every version of every file (here: every row's text) is content-addressed by
 SHA-256. The ledger holds one row per (blob, rule, rule version) that has been
 scanned. ``scan`` scans only blobs that lack a pair, once per distinct blob
 however many paths hold it, and joins the findings of old and new pairs back
-to all paths.
+to all paths; those of a blob that very many paths hold are dealt to several
+tasks. A ledger is a Parquet table in a shared folder that each scan creates or
+appends to. It is read by key: a pair that a repeated or simultaneous run has
+written twice counts once, as its spans depend on the blob and the version alone.
 
 Spans come from two passes of one pattern: ``regexp_extract_all`` gives the
 matches and ``split`` the gaps between them, both leftmost non-overlapping;
@@ -20,15 +23,19 @@ later one; its matches are dropped by length afterwards.
 Defined cases: null text is the empty blob, without spans. Equal texts share
 one blob, repeated rows and ids all get its findings; a null id is returned as
 null. Spans of different kinds may overlap; ties on start go by kind as
-listed. Long texts are scanned whole. An empty table gives an empty result.
-Only the id and text columns are read, so further columns cannot clash.
+listed. Long texts are scanned whole, and masked by pieces, in time linear in
+their length and spans. An empty table gives an empty result. ``scan`` reads
+only the id and text columns; ``redact_documents`` renames the caller's columns while
+it works, so further columns cannot clash.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from ratelens.llm.common import Scratch, exists, salted_join, shared_dir
 
 RUN = 256  # spans gathered before they are put away
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
@@ -123,29 +130,42 @@ def blob_findings(ledger_rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> Da
     """Per blob with any span of the current rule versions: all its spans, by
     start, then kind as listed (at most one ledger row per rule meets here)."""
     current = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.version)])
-    return (ledger_rows.where((F.size("spans") > 0) & (F.col("version") == F.element_at(current, F.col("kind"))))
-            .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")))
+    rows = ledger_rows.where((F.size("spans") > 0) & (F.col("version") == F.element_at(current, F.col("kind"))))
+    pairs = rows.repartition("blob").groupBy("blob", "kind", "version").agg(F.first("spans").alias("spans"))
+    return pairs.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def findings(versions: DataFrame, ledger_rows: DataFrame, rules: tuple[Rule, ...] = RULES,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``versions``: doc_id, blob and all spans of the blob."""
-    rows = _addressed(versions, id_col, text_col).select("path", "blob")
-    return (rows.join(blob_findings(ledger_rows, rules), "blob", "left")
+    rows = Scratch(versions.sparkSession).written(_addressed(versions, id_col, text_col).select("path", "blob"), "blob-paths")
+    return (salted_join(rows, blob_findings(ledger_rows, rules), ["blob"], ["path"], "left")
             .select(F.col("path").alias("doc_id"), "blob",
                     F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans")))
 
 
-def scan(versions: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scan what the ledger at ``ledger_path`` lacks, append it there, and
-    return the findings of every row. Without a path nothing is remembered."""
-    if ledger_path is None:
-        return findings(versions, scan_new(versions, None, rules, id_col, text_col), rules, id_col, text_col)
+def update_ledger(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Scan the pairs that the ledger at ``ledger_path`` lacks, append them
+    (creating it if there is none) and return the whole ledger."""
     spark = versions.sparkSession
-    seen = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+    seen = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path) if exists(spark, ledger_path) else None
     scan_new(versions, seen, rules, id_col, text_col).write.mode("append").parquet(ledger_path)
-    return findings(versions, spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path), rules, id_col, text_col)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+
+
+def shared_ledger(spark: SparkSession) -> str:
+    """The ledger of all runs that share the session's folder."""
+    return f"{shared_dir(spark).rstrip('/')}/secret-ledger"
+
+
+def scan(versions: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES,
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The findings of every row, scanning only what the ledger at
+    ``ledger_path`` lacks. Without a path nothing is remembered."""
+    ledger = (scan_new(versions, None, rules, id_col, text_col) if ledger_path is None
+              else update_ledger(versions, ledger_path, rules, id_col, text_col))
+    return findings(versions, ledger, rules, id_col, text_col)
 
 
 def _joined(spans: Column) -> Column:
@@ -167,30 +187,50 @@ def digest_columns(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFra
 
 
 MASK = "[SECRET]"
-
-
-def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with every span, or run of overlapping spans, masked."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, piece).otherwise(acc["out"])
-                        .alias("out"))
-
-    return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-
-
-def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+PIECE = 4096  # code points of a text that are cut at once
+
+
+def merged(found: DataFrame) -> DataFrame:
+    """Per blob: its spans (``found``: blob, spans) with overlapping ones as one, ascending."""
+    s = found.select("blob", F.explode("spans").alias("s")).select("blob", F.col("s.start").alias("start"), F.col("s.end").alias("end"),
+                                                                   F.col("s.rank").alias("rank"))
+    order = Window.partitionBy("blob").orderBy("start", "rank")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    s = s.select("blob", "start", "end", F.when(F.col("start") < reach, 0).otherwise(1).alias("new"), "rank")
+    s = s.select("blob", "start", "end", F.sum("new").over(order).alias("run"))
+    runs = s.groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+
+
+def redacted(text: Column, cuts: Column) -> Column:
+    """``text`` with every span of ``cuts`` (ascending, apart) masked: what lies
+    between them is taken from pieces of the text, so no long text is walked from its start again."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def between(pieces: Column, a: Column, b: Column) -> Column:
+        first, last = F.floor(a / PIECE).cast("int"), F.floor((b - 1) / PIECE).cast("int")
+        part = F.transform(F.sequence(first, last), lambda j: F.substring(
+            F.get(pieces, j), F.greatest(a - j * PIECE, F.lit(0)) + 1, F.least(b - j * PIECE, F.lit(PIECE)) - F.greatest(a - j * PIECE, F.lit(0))))
+        return F.when(a < b, F.array_join(part, "")).otherwise("")
+    starts = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda s: s["end"]))
+    ends = F.concat(F.transform(cuts, lambda s: s["start"]), F.array(F.length(text)))
+    # bound as a lambda variable: the text is cut into pieces once, not once per span
+    bound = F.transform(F.array(pieces), lambda p: F.array_join(F.zip_with(starts, ends, lambda a, b: between(p, a, b)), MASK))
+    return F.get(bound, F.lit(0))
+
+
+def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger_path: str | None = None) -> DataFrame:
     """All rows of ``docs`` (columns unchanged) with secrets masked in
     ``text`` and ``n_chars`` counted anew where a text changed."""
-    hits = blob_findings(scan_new(docs, None, rules), rules).withColumnsRenamed({"blob": "_blob", "spans": "_spans"})
-    rows = docs.withColumn("_blob", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    out = rows.join(hits, "_blob", "left")
-    # a name of its own: inside a lambda, ``text`` would mean the new column
-    out = out.withColumn("_masked", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans"))))
-    cols = {"text": F.col("_masked")}
+    ledger = scan_new(docs, None, rules) if ledger_path is None else update_ledger(docs, ledger_path, rules)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of the caller cannot clash
+    text = F.col(f"c{docs.columns.index('text')}")
+    rows = plain.withColumn("blob", F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)))
+    out = salted_join(rows, merged(blob_findings(ledger, rules)), ["blob"], [f"c{i}" for i, t in enumerate(docs.dtypes) if "map<" not in t[1]], "left")
+    # a name of its own: inside a lambda, the text would mean the new column
+    out = out.withColumn("masked", F.when(F.col("cuts").isNull(), text).otherwise(redacted(text, F.col("cuts"))))
+    cols = {"text": F.col("masked")}
     if "n_chars" in docs.columns:
-        cols["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast("long"))
-    return out.select(*[cols.get(c, F.col(c)).alias(c) for c in docs.columns])
+        held = F.col(f"c{docs.columns.index('n_chars')}")
+        cols["n_chars"] = F.when(F.col("cuts").isNull(), held).otherwise(F.length("masked").cast(dict(docs.dtypes)["n_chars"]))
+    return out.select(*[cols.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)])

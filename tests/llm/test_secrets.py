@@ -74,6 +74,42 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     assert size() == 3 * n + 3
 
 
+def test_ledger_is_created_and_a_second_run_scans_nothing(spark, tmp_path):
+    path = str(tmp_path / "new" / "ledger")
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    first = sorted((tuple(r) for r in secrets.digest_columns(secrets.scan(df, path)).collect()), key=str)
+    size = spark.read.parquet(path).count()
+    assert secrets.scan_new(df, spark.read.parquet(path)).count() == 0
+    again = sorted((tuple(r) for r in secrets.digest_columns(secrets.scan(df, path)).collect()), key=str)
+    assert again == first and spark.read.parquet(path).count() == size
+    secrets.scan_new(df).write.mode("append").parquet(path)  # as a repeated run leaves it
+    assert sorted((tuple(r) for r in secrets.digest_columns(secrets.scan(df, path)).collect()), key=str) == first
+
+
+def test_redaction_keeps_the_callers_columns(spark):
+    names = ["_blob", "_spans", "_masked", "blob", "cuts", "masked", "_salt", "_salts", "c0", "spans"]
+    df = spark.createDataFrame([(1, TEXTS[3], *names), (2, "clean", *names)], ["doc_id", "text", *names])
+    out = secrets.redact_documents(df)
+    assert out.columns == df.columns
+    assert sorted(tuple(r) for r in out.collect()) == [(1, MASK, *names), (2, "clean", *names)]
+
+
+def test_redaction_of_a_long_text_with_many_spans(spark):
+    text = "é" * 5000 + "x token=abcdefghijklmnop 😀" * 12_000 + "y" * 9000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    want = "é" * 5000 + f"x {MASK} 😀" * 12_000 + "y" * 9000
+    assert secrets.redact_documents(df).first().text == want
+
+
+def test_hot_blob_is_dealt_out(spark, monkeypatch):
+    from ratelens.llm import common
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = [(i, TEXTS[3]) for i in range(200)] + [(1000 + i, TEXTS[i % len(TEXTS)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = secrets.digest_columns(secrets.scan(df)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted((row(k, t) for k, t in rows), key=str)
+
+
 def test_no_python_in_the_plan(spark):
     plan = secrets.digest_columns(secrets.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())

@@ -3,6 +3,15 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the one before
 kept, and returns a DataFrame that is written as Parquet and reread as the
 next one's input. All but the last return the columns of ``documents``.
+
+Defined cases: a null text is an empty one in every stage; a document without
+id takes part as any other (of copies, the one with the smallest id stays, and a
+row without id is never dropped as a copy of one that has an id). Rows that
+repeat an id and a text are one document; rows that share an id only are told apart by
+their texts. Further columns, whatever their names, pass through all stages but
+the last, which returns pieces. Texts of any length are read whole. An empty
+table passes as one; without labelled documents the quality stage keeps all, and with
+labels of one kind only every document gets that label.
 """
 
 from __future__ import annotations
@@ -30,8 +39,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secret scans: every span found is masked; all documents stay."""
-    return secrets.redact_documents(docs)
+    """Secret scans: every span found is masked; all documents stay. Texts
+    that the shared ledger knows are not scanned again."""
+    return secrets.redact_documents(docs, ledger_path=secrets.shared_ledger(spark))
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

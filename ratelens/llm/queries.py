@@ -49,8 +49,23 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup(read(spark, sf_dir, "documents"))
 
 
+def quoting_conversations(spark, sf_dir):
+    """``conversations`` whole, with quotes: three messages in four quote an earlier
+    one of their conversation (its first line, or all of it), as mails do."""
+    messages = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kind = (F.col("conv_id") + F.col("turn")) % 4
+    quoted = F.when(kind == 0, F.col("turn") - 1).when(kind == 1, F.col("turn") - 2).when(kind == 2, F.expr("turn div 2"))
+    quoted = F.when(quoted < F.col("turn"), quoted)
+    source = (messages.groupBy("conv_id", F.col("turn").alias("of")).agg(F.min("text").alias("said")))
+    lines = F.split("said", "\n", -1)
+    lines = F.when(kind == 2, lines).otherwise(F.slice(lines, 1, 1))
+    marked = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("> "), x)), "\n")
+    joined = messages.withColumn("of", quoted).join(source, ["conv_id", "of"], "left")
+    return joined.select("conv_id", "turn", "role", F.coalesce(F.concat(marked, F.lit("\n"), F.coalesce("text", F.lit(""))), "text").alias("text"))
+
+
 def op9_quotation_linking(spark, sf_dir):
-    return quote_linking.format_chats(read(spark, sf_dir, "conversations"))
+    return quote_linking.format_chats(quoting_conversations(spark, sf_dir))
 
 
 def op10_secret_scan(spark, sf_dir):
@@ -81,8 +96,8 @@ select t.doc_id, k.keep_id, k.group_size, t.doc_id is not distinct from k.keep_i
 from t join k using (content)"""
 
 _LETTERS = "translate(regexp_replace(line, '^(?:>\\x20?)*', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-OP9 = f"""
-with recursive m as (select row_number() over () as id, conv_id, turn, role, coalesce(text, '') as text from conversations),
+OP9_OVER = f"""
+m as (select row_number() over () as id, conv_id, turn, role, coalesce(text, '') as text from messages),
 raw as (select id, conv_id, turn, unnest(string_split(text, chr(10))) as line,
                generate_subscripts(string_split(text, chr(10)), 1) as i from m
         where conv_id is not null and turn is not null),
@@ -105,12 +120,30 @@ walk as (select conv_id, turn, parent_turn as up, 1 as depth from links
          select w.conv_id, w.turn, l.parent_turn, w.depth + 1 from walk w
          join links l on l.conv_id = w.conv_id and l.turn = w.up),
 placed as (select conv_id, turn, min(up) as thread_root, max(depth) as depth from walk group by all),
+down as (select distinct conv_id, up as turn, [up] as path from walk where not exists
+              (select 1 from links l where l.conv_id = walk.conv_id and l.turn = walk.up)
+         union all
+         select l.conv_id, l.turn, list_append(d.path, l.turn) from down d
+         join links l on l.conv_id = d.conv_id and l.parent_turn = d.turn),
+tour as (select conv_id, turn, row_number() over (partition by conv_id, path[1] order by path) - 1 as position from down),
 clean as (select *, regexp_replace(array_to_string(list_filter(string_split(text, chr(10)), lambda x: not starts_with(x, '>')),
                  chr(10)), '\\A\\n+|\\n+\\z', '', 'g') as own from m)
 select c.conv_id, c.turn, c.role, l.parent_turn, coalesce(p.thread_root, c.turn) as thread_root,
-       coalesce(p.depth, 0)::bigint as depth, coalesce(l.n, 0)::bigint as n_linked, c.own as text,
+       coalesce(p.depth, 0)::bigint as depth, coalesce(r.position, 0)::bigint as position, coalesce(l.n, 0)::bigint as n_linked, c.own as text,
        '<|' || coalesce(c.role, 'user') || '|>' || chr(10) || c.own || chr(10) as chat
-from clean c left join links l using (conv_id, turn) left join placed p using (conv_id, turn)"""
+from clean c left join links l using (conv_id, turn) left join placed p using (conv_id, turn)
+left join tour r using (conv_id, turn)"""
+
+
+
+OP9 = """
+with recursive quotes as (select *, case (conv_id + turn) % 4 when 0 then turn - 1 when 1 then turn - 2 when 2 then turn // 2 end as q
+                          from conversations),
+said as (select conv_id, turn as q, min(text) as said from conversations group by all),
+messages as (select conv_id, turn, role, case when said is null or q >= turn then text else array_to_string(list_transform(
+                    case when (conv_id + turn) % 4 = 2 then string_split(said, chr(10)) else string_split(said, chr(10))[:1] end,
+                    lambda x: '> ' || x), chr(10)) || chr(10) || coalesce(text, '') end as text
+             from quotes left join said using (conv_id, q)),""" + OP9_OVER
 
 
 def _duck_spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:

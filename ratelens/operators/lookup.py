@@ -64,14 +64,16 @@ def spread_lookup(fact: DataFrame, dim: DataFrame, key: str, heavy: tuple = (),
     return joined.drop("_salt")
 
 
-def lookup_past_nulls(fact: DataFrame, dim: DataFrame, key: str, heavy: tuple = ()) -> DataFrame:
+def lookup_past_nulls(fact: DataFrame, dim: DataFrame, key: str, heavy: tuple = (), split: tuple | None = None) -> DataFrame:
     """Left ``lookup`` of a raw fact in which many rows may have a NULL key:
     those go round the join with NULL attributes, so they never meet in one
-    partition of it. Rows of ``heavy`` keys are spread."""
+    partition of it. Rows of ``heavy`` keys are spread. ``split`` is the fact's
+    rows with and without a key, where they are stored apart."""
+    with_key, without = split or (fact.where(F.col(key).isNotNull()), fact.where(F.col(key).isNull()))
     extra = [c for c in dim.columns if c != key]
     types = dict(dim.dtypes)
-    known = spread_lookup(fact.where(F.col(key).isNotNull()), dim, key, heavy).select(*fact.columns, *extra)
-    unknown = fact.where(F.col(key).isNull()).select(*fact.columns, *[F.lit(None).cast(types[c]).alias(c) for c in extra])
+    known = spread_lookup(with_key, dim, key, heavy).select(*fact.columns, *extra)
+    unknown = without.select(*fact.columns, *[F.lit(None).cast(types[c]).alias(c) for c in extra])
     return known.unionByName(unknown)
 
 

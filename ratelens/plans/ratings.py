@@ -34,6 +34,7 @@ class RatingsStar:
     occupations: occupation_id, occupation
     partials: the (sum, count) rows of ``report_partials``, when a job has computed them once.
     heavy_users: user keys with a large share of the ratings (``with_heavy_users``).
+    split: the ratings with and without a user key, where they are stored apart.
 
     Keys are unique in movies, users and occupations (the readers' ``last``
     option keeps the last row of a repeated key)."""
@@ -43,6 +44,7 @@ class RatingsStar:
     occupations: DataFrame | None = None
     partials: DataFrame | None = None
     heavy_users: tuple = ()
+    split: tuple | None = None
 
     @property
     def titles(self) -> DataFrame:
@@ -62,14 +64,15 @@ class RatingsStar:
         enriched by ``enrich_users`` are used as is."""
         if all(a in self.ratings.columns for a in attrs):
             return self.ratings
-        return lookup_past_nulls(self.ratings, user_attributes(self, *attrs), "user_key", self.heavy_users)
+        return lookup_past_nulls(self.ratings, user_attributes(self, *attrs), "user_key", self.heavy_users, self.split)
 
     def rated_by_known(self, *attrs: str) -> DataFrame:
         """Ratings of known users only. The merge hint keeps the fact from
         ever being the broadcast side, which an inner join would allow."""
         if all(a in self.ratings.columns for a in attrs):
             return self.ratings.where(F.col("_user_known"))
-        return spread_lookup(self.ratings.hint("merge"), user_attributes(self, *attrs), "user_key", self.heavy_users, how="inner")
+        known = self.split[0] if self.split else self.ratings
+        return spread_lookup(known.hint("merge"), user_attributes(self, *attrs), "user_key", self.heavy_users, how="inner")
 
 
 USER_ATTRS = ("gender", "age", "occupation_id")
@@ -91,9 +94,9 @@ def enrich_users(star: RatingsStar) -> RatingsStar:
     instead of each joining (and shuffling) the whole fact again; stage the
     result (``sinks.stage``) when several reports read it."""
     users = user_attributes(star, *USER_ATTRS).withColumn("_user_known", F.lit(True))
-    rated = lookup_past_nulls(star.ratings, users, "user_key", star.heavy_users)
+    rated = lookup_past_nulls(star.ratings, users, "user_key", star.heavy_users, star.split)
     rated = rated.withColumn("_user_known", F.coalesce("_user_known", F.lit(False)))
-    return replace(star, ratings=rated)
+    return replace(star, ratings=rated, split=None)
 
 
 def with_heavy_users(star: RatingsStar, most: int = 1000) -> RatingsStar:

@@ -128,12 +128,19 @@ def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("aspect"), F.col("lang").alias("category"))
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
+
+
+def labelled(texts: DataFrame, quality: DataFrame) -> DataFrame:
+    """Texts with the sentiment that their quality label gives."""
     sentiment = (F.when(F.col("quality") == 1, "positive")
                  .when(F.col("quality") == 0, "negative").otherwise("neutral"))
-    return review_texts(spark, sf_dir).join(labels, "id", "left").select(
-        "id", "review", "aspect", "category", sentiment.alias("sentiment"))
+    return texts.join(quality, "id", "left").select("id", "review", "aspect", "category", sentiment.alias("sentiment"))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled(review_texts(spark, sf_dir), labels(spark, sf_dir))
 
 
 def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -198,3 +198,32 @@ def test_empty_gender_is_not_unknown(spark, write_files):
     star = R.RatingsStar(S.read_ratings(spark, f["r.txt"]), S.read_movies(spark, f["movies.txt"]), S.read_users(spark, f["users.txt"]))
     assert rows(R.gender_long(star)) == [(10, "A", "", 4.0, 1), (10, "A", "Unknown", 2.0, 1)]
     assert rows(R.gender_long(R.enrich_users(star))) == rows(R.gender_long(star))
+
+
+def test_the_last_row_follows_the_order_of_the_given_paths(spark, write_files):
+    f = write_files({"a.txt": "1,Clerk\n2,Baker\n2,Cook\n", "b.txt": "1,Doctor\n"})
+    by = {}
+    for first, second in (("a.txt", "b.txt"), ("b.txt", "a.txt")):
+        by[first] = dict(rows(S.read_occupations(spark, [f[first], f[second]], last=True)))
+    assert by["a.txt"] == {1: "Doctor", 2: "Cook"} and by["b.txt"] == {1: "Clerk", 2: "Cook"}
+    users = write_files({"z.txt": "1,M,17,1\n", "y.txt": "1,F,18,2\n"}, "u")
+    got = S.read_users(spark, [users["z.txt"], users["y.txt"]], last=True)
+    assert rows(got, "user_id", "gender") == [(1, "F")]
+
+
+def test_a_route_scans_its_own_files_only(spark, write_files):
+    f = write_files({"users_old.txt": "1,M,17,1\n", "my_ratings_1.txt": "1,10,4.0,0\n", "ratings_2.txt": "1,11,3.0,0\n",
+                     "movies.txt": "10,A,Drama\n", "users_ratings.txt": "2,F,20,2\n"})
+    folder = f["movies.txt"].rsplit("/", 1)[0]
+    parts = S.read_routed(spark, folder, S.route_parsers())
+
+    def names(df):
+        return sorted(p.rsplit("/", 1)[-1] for p in df.inputFiles())
+    assert names(parts["movies"]) == ["movies.txt"] and names(parts["users"]) == ["users_old.txt", "users_ratings.txt"]
+    assert names(parts["ratings"]) == ["my_ratings_1.txt", "ratings_2.txt", "users_ratings.txt"]
+    assert sorted(rows(parts["users"], "user_id")) == [(1,), (2,)]  # a name with both keys goes to the first route
+    assert sorted(rows(parts["ratings"], "movie_id")) == [(10,), (11,)]
+    assert rows(parts["occupation"]) == []
+    odd = write_files({"x[1].txt": "1,Clerk\n", "x1.txt": "2,Cook\n"}, "odd")
+    one = S.read_routed(spark, odd["x1.txt"].rsplit("/", 1)[0], {"x[1]": S.route_parsers()["occupation"]})
+    assert rows(one["x[1]"]) == [(1, "Clerk")]

@@ -69,3 +69,12 @@ def test_fixed_width_rendering(spark):
 def test_library_requires_shared_checkpoint_dir(spark):
     from ratelens.session import checkpoint_dir
     assert checkpoint_dir(spark)  # tests run with a folder set by local_session
+
+
+def test_escaped_tsv_reads_back_every_value(spark, tmp_path):
+    values = ["a\tb", "two\nlines", "cr\rlf\r\n", "back\\slash", "\\t", "\\\\n\\", "\\N", "", None, " edge ", "é\u2028x", "\t", "\\\t\\"]
+    df = spark.createDataFrame([(str(i), v, values[-1 - i], None, "") for i, v in enumerate(values)], S.schemas.REVIEWS_TEXT)
+    sinks.write_tsv(df, str(tmp_path / "out"), escaped=True)
+    assert spark.read.text(str(tmp_path / "out")).count() == len(values)
+    back = S.read_reviews_tsv(spark, str(tmp_path / "out"), escaped=True)
+    assert sorted(rows(back), key=str) == sorted(rows(df), key=str)

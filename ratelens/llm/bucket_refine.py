@@ -28,10 +28,11 @@ Identifiers that decide have two lanes of 64 bits. What crosses the network:
 texts three times (copies once), one row of five numbers per sample (2 % of all
 positions), contexts of contested samples, ranges.
 
-Hot buckets: identifiers held by more than ``HOT`` samples (counted over all)
-number N / HOT at most and are broadcast. Their samples are dealt by context;
-contexts held by more than ``HOT`` samples are answered from that same bounded list;
-and their windows are counted by a partial aggregate instead of in one task.
+Hot buckets: identifiers held by more than ``HOT`` samples and by more than one
+in ``MOST`` (counted over all) number ``MOST`` at most and are broadcast. Their
+samples are dealt by context; contexts that are as frequent are answered from a
+list with the same bound; and their windows are counted by a partial aggregate
+instead of in one task.
 
 Defined cases: null text is empty; texts shorter than 200 bytes keep all.
 Repeated rows and copies under any id (null included) repeat each other, so
@@ -57,7 +58,8 @@ GRAM = 100                # bytes of a first bucket's beginning
 FIRST = 25                # bytes of the q-grams that start the naming
 CHOICES = LENGTH - GRAM + 1
 SLICE = 1 << 20           # bytes named at once
-HOT = 20_000              # samples of a bucket beyond which it is dealt out
+HOT = 20_000              # samples of a bucket beyond which it may be dealt out
+MOST = 1_000_000          # buckets dealt out at most
 LANES = (BYTE_VALUE, mix(BYTE_VALUE ^ np.uint64(0xA5A5A5A55A5A5A5A)))
 ODD = np.uint64(0xD6E8FEB86659FD93)
 PLACE_BITS = np.uint64(21)  # places in a slice and its last overlap
@@ -69,6 +71,11 @@ RANGE_SCHEMA = "key long, at long, span int"
 CUT_SCHEMA = "key long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def _bar(total: int) -> int:
+    """Rows beyond which a key counts as hot: at most ``MOST`` keys have more."""
+    return max(HOT, total // MOST)
+
+
 # -- identifiers ------------------------------------------------------------------
 
 def _pair(ids: np.ndarray, later: np.ndarray) -> np.ndarray:
@@ -281,14 +288,15 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _hot_windows(contexts: DataFrame, scratch: Scratch) -> DataFrame:
     """Repeated windows of hot buckets: windows counted by partial aggregates; the
-    hottest identifiers (N / HOT at most) are broadcast, the others joined."""
+    hottest identifiers (a bounded list) are broadcast, the others joined."""
     rows = scratch.written(contexts.mapInArrow(_window_rows, "one long, two long, key long, at long, wanted boolean"), "hot-windows")
     by = ["one", "two"]
     counts = scratch.written(rows.groupBy(*by).count().where("count > 1"), "hot-counts")
-    hottest = F.broadcast(counts.where(F.col("count") > HOT).select(*by))
+    bar = _bar(rows.count())
+    hottest = F.broadcast(counts.where(F.col("count") > bar).select(*by))
     wanted = rows.where("wanted")
     hits = wanted.join(hottest, by, "left_semi").unionByName(
-        wanted.join(hottest, by, "left_anti").join(counts.where(F.col("count") <= HOT).select(*by).hint("merge"), by, "left_semi"))
+        wanted.join(hottest, by, "left_anti").join(counts.where(F.col("count") <= bar).select(*by).hint("merge"), by, "left_semi"))
     return hits.select("key", "at", F.lit(0).alias("span"))
 
 
@@ -329,12 +337,14 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
 def repeated_ranges(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """key, at, span: windows [at, at + span] of the single texts that start elsewhere too."""
     source = texts.where(F.col("size") >= LENGTH).select("key", (F.col("n") > 1).alias("many"), "text")
-    rows = source.mapInArrow(_sample_rows, SAMPLE_SCHEMA)
-    hot = scratch.written(rows.groupBy("gram").count().where(F.col("count") > HOT).select("gram"), "hot-grams")
+    sampled = Scratch(texts.sparkSession)
+    rows = sampled.written(source.mapInArrow(_sample_rows, SAMPLE_SCHEMA), "samples")
+    bar = _bar(rows.count())
+    hot = scratch.written(rows.groupBy("gram").count().where(F.col("count") > bar).select("gram"), "hot-grams")
     dealt = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "gram", "left")
-    # the same context of a hot bucket beyond HOT: known from a bounded list, its first sample stays as partner
+    # a hot context of a hot bucket: known from a bounded list, its first sample stays as partner
     same = (rows.join(F.broadcast(hot), "gram", "left_semi").groupBy("gram", "context")
-            .agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "at")).alias("first")).where(F.col("c") > HOT))
+            .agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "at")).alias("first")).where(F.col("c") > bar))
     same = scratch.written(same.select("gram", "context", "first"), "hot-contexts")
     dealt = dealt.join(F.broadcast(same), ["gram", "context"], "left")
     dealt = dealt.withColumn("hot", F.coalesce("hot", F.lit(False)))
@@ -346,6 +356,7 @@ def repeated_ranges(texts: DataFrame, scratch: Scratch) -> DataFrame:
     found = (open_.repartition("gram", "deal").sortWithinPartitions("gram", "deal", "context")
              .mapInArrow(_sort_out, FOUND_SCHEMA + ", gram long"))
     found = scratch.written(found.unionByName(known), "samples-found")
+    sampled.clear()
     asked = (found.where("partner").groupBy("key")
              .agg(F.collect_list(F.struct("gram", "at", "span", "wanted", "hot")).alias("asked")))
     contexts = texts.select("key", "text").join(asked, "key").mapInArrow(_contexts, CONTEXT_SCHEMA)
@@ -374,7 +385,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.when(copies, nothing).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"))
     done = scratch.written(done, "cut-texts")
     ids = scratch.written(rows.select("doc_id", "digest"), "text-ids")
-    # copies held by more than HOT rows: N / HOT at most, broadcast; all others meet by digest
-    often = F.broadcast(done.where(F.col("n") > HOT))
-    rare = ids.join(often.select("digest"), "digest", "left_anti").join(done.where(F.col("n") <= HOT).hint("merge"), "digest")
+    # the most frequent copies are a bounded list, broadcast; all others meet by digest
+    bar = _bar(ids.count())
+    often = F.broadcast(done.where(F.col("n") > bar))
+    rare = ids.join(often.select("digest"), "digest", "left_anti").join(done.where(F.col("n") <= bar).hint("merge"), "digest")
     return ids.join(often, "digest").unionByName(rare).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -88,6 +88,19 @@ QUERIES = {f.__name__: f for f in (op1_language_id, op2_hash_index, op3_quality,
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+OP7 = r"""
+with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as l from documents),
+s as (select distinct doc_id, case when len(l) < 3 then array_to_string(l, ' ') else l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] end as shingle
+      from (select doc_id, l, unnest(range(1, greatest(len(l) - 1, 2))) as i from w where len(l) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+k as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+e as (select a, b from k union select b, a from k),
+reach as (select a as doc_id, b as other from e union select r.doc_id, e.b from reach r join e on e.a = r.other)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(m.least, w.doc_id)) as component_id
+from w left join n using (doc_id) left join (select doc_id, min(other) as least from reach group by doc_id) m using (doc_id)"""
+
 OP8 = f"""
 with t as (select doc_id, {NORMAL} as content from documents),
 k as (select content, min(doc_id) as keep_id, count(*) as group_size from t group by content)
@@ -184,4 +197,4 @@ select d.doc_id, coalesce(a, 0) as n_assign, coalesce(k, 0) as n_access, coalesc
 from d left join agg using (doc_id)"""
 
 
-ORACLE = {"op8_exact_dedup": OP8, "op9_quotation_linking": OP9, "op10_secret_scan": _op10()}
+ORACLE = {"op7_ngram_join": OP7, "op8_exact_dedup": OP8, "op9_quotation_linking": OP9, "op10_secret_scan": _op10()}

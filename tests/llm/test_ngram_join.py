@@ -121,3 +121,23 @@ def test_drop_near_copies_keeps_the_smallest(spark):
     kept = ngram_join.drop_near_copies(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 9, None]
+
+
+def test_many_rows_that_repeat_two_near_texts(spark):
+    rng = random.Random(11)
+    a = [f"a{i}" for i in range(100)]
+    near = edited(rng, a, 1)
+    rows = [(1, " ".join(a))] * 400 + [(2, near)] * 400 + [(3, "apart from all others")]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == sorted(
+        [(1, 98, 1)] * 400 + [(2, len(shingles(near, 3)), 1)] * 400 + [(3, 2, 3)], key=str)
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from ratelens.llm import queries
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    got = sorted(tuple(r) for r in queries.op7_ngram_join(spark, sf).collect())
+    assert got == sorted(con.execute(queries.ORACLE["op7_ngram_join"]).fetchall())

@@ -2,19 +2,23 @@
 
 Codes: several groups of signs, each after a rotation learned on a bounded sample so that the signs
 lie close to the rotated, centred vectors (alternating least squares). About ``BITS``
-bits, cut into substrings of 16.
+bits, cut into substrings of 64: long ones, as a radius that is a large part of the
+code leaves short ones nearly always within reach.
 
 Index: rows are dealt into blocks of about ``block_rows`` by a hash of their
 id; every row is indexed. In a block each substring has an inverted list by
-value. Probing level s opens the lists within s bits of the query's
-substring; by the pigeonhole principle all codes within m(s + 1) - 1 bits of
-the query are then found, m being the number of substrings. Buckets are found
-either by flipping bits or by comparing with the values present, whichever is
-fewer. The level grows (from the one the last query needed) until that radius holds
-``reach`` of the block's distinct vectors (at least ``least`` for each of the k); the smallest radius
-with as many is taken, and its vectors are reranked by inner products of the original vectors in double
-precision. Vectors much longer than others can win at a larger angle, so
-as many of the longest join the candidates.
+value. To find all codes within a radius r of the query, with m substrings and r = ms + a, the lists
+within s bits of the query's substring are opened for the first a + 1 substrings, and those within s - 1 for
+the others: by the pigeonhole principle a code within r is in one of them. Values near the query's are found
+by flipping bits or by comparing with the values present, whichever is fewer.
+
+The radius grows (from a little less than the last query needed) until it holds all that is wanted:
+either the k best found lie so near that a better vector would be expected within the radius (its
+angle gives the mean distance of its code; ``MARGIN`` deviations are added), or the radius holds ``reach``
+of the block's distinct vectors (at least ``least`` for each of the k). On clustered vectors
+the first ends the search early, on isotropic ones the second does. What the radius holds is reranked by inner
+products of the original vectors in double precision. Vectors much longer than others can win at a
+larger angle, so many of the longest join the candidates, and only the second rule applies.
 
 Identical vectors of a block are one entry, with the smallest ids a query can
 need (k + 1), so large groups of copies cost no more than one vector. Every block meets
@@ -41,9 +45,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratelens.llm.common import written
 
 BITS, SAMPLE, ROUNDS = 256, 4096, 15
-BLOCK_ROWS, REACH, LEAST = 1 << 14, 3 / 64, 16
-BALLS = [np.array([sum(1 << b for b in bits) for n in range(s + 1) for bits in combinations(range(16), n)], np.uint16)
-         for s in range(4)]
+BLOCK_ROWS, REACH, LEAST, MARGIN = 1 << 14, 3 / 64, 16, 3.0
+WORD = 64
+BALLS = [np.array([sum(1 << b for b in bits) for n in range(s + 1) for bits in combinations(range(WORD), n)], np.uint64)
+         for s in range(3)]
 
 
 @dataclass
@@ -52,11 +57,15 @@ class Coder:
     rotations: list[np.ndarray]
 
     def codes(self, x: np.ndarray) -> np.ndarray:
-        """One row of 16-bit substrings per vector."""
+        """One row of 64-bit substrings per vector."""
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
         bits = np.concatenate([(unit - self.centre) @ r > 0 for r in self.rotations], axis=1)
-        bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 16)))
-        return np.packbits(bits, axis=1).view(np.uint16)
+        bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % WORD)))
+        return np.packbits(bits, axis=1).view(np.uint64)
+
+    @property
+    def bits(self) -> int:
+        return sum(r.shape[1] for r in self.rotations)
 
 
 def learn(sample: np.ndarray, bits: int = BITS, seed: int = 1) -> Coder:
@@ -88,19 +97,21 @@ class Block:
         self.x, self.k = x[first].astype(np.float64), k
         self.codes = coder.codes(self.x)
         n, self.m = self.codes.shape
+        self.bits = coder.bits
         self.target = min(n, max(least * k, int(np.ceil(reach * n))))
-        self.words = np.pad(self.codes, ((0, 0), (0, -self.m % 4))).view(np.uint64)
         self.lists = []
         for j in range(self.m):
             by = np.argsort(self.codes[:, j], kind="stable").astype(np.int32)
             values, start = np.unique(self.codes[by, j], return_index=True)
             self.lists.append((values, start, np.diff(np.append(start, n)), by))
         lengths = np.linalg.norm(self.x, axis=1)
-        uneven = lengths.max() > 1.01 * lengths.min()
-        self.longest = np.argsort(-lengths, kind="stable")[: self.target] if uneven else np.empty(0, np.int64)
-        self.level = 0  # where the last query ended: the next one starts there
+        self.length, self.uneven = lengths.max(), lengths.max() > 1.01 * lengths.min()
+        self.longest = np.argsort(-lengths, kind="stable")[: self.target] if self.uneven else np.empty(0, np.int64)
+        self.start = 0   # a little less than the last query needed: the next one starts there
+        self.opened = 0  # rows found in opened lists, of all queries
+        self.apart: dict[int, np.ndarray] = {}  # bits between this query's substrings and the values present
 
-    def _opened(self, j: int, value: np.uint16, s: int) -> np.ndarray:
+    def _listed(self, j: int, value: np.uint64, s: int) -> np.ndarray:
         """Rows whose substring j is within s bits of ``value``."""
         values, start, size, rows = self.lists[j]
         if s < len(BALLS) and len(BALLS[s]) < len(values):
@@ -108,31 +119,56 @@ class Block:
             at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
             at = at[values[at] == wanted]
         else:
-            at = np.flatnonzero(np.bitwise_count(values ^ value) <= s)
+            if j not in self.apart:
+                self.apart[j] = np.bitwise_count(values ^ value)
+            at = np.flatnonzero(self.apart[j] <= s)
+        if len(values) == len(rows):
+            return rows[at]
         n = size[at]
         end = np.cumsum(n)
         return rows[np.repeat(start[at] - end + n, n) + np.arange(end[-1] if len(end) else 0)]
 
-    def near(self, code: np.ndarray) -> np.ndarray:
-        """All rows within the least radius that holds ``target`` rows."""
-        word = np.pad(code, (0, -self.m % 4)).view(np.uint64)
+    def _within(self, code: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """All rows within ``radius`` bits of the code, and their distances."""
+        s, a = divmod(radius, self.m)
+        found = np.zeros(len(self.x), bool)
+        for j in range(self.m):
+            if j <= a or s:
+                found[self._listed(j, code[j], s if j <= a else s - 1)] = True
+        rows = np.flatnonzero(found)
+        self.opened += len(rows)
+        distance = np.bitwise_count(self.codes[rows] ^ code).sum(1, dtype=np.int32)
+        inside = distance <= radius
+        return rows[inside], distance[inside]
+
+    def near(self, code: np.ndarray, enough=None) -> np.ndarray:
+        """All rows within the least radius that holds ``target`` rows, or within one
+        that ``enough`` (of the rows and the radius) accepts."""
+        radius, self.apart = self.start, {}
         while True:
-            found = np.zeros(len(self.x), bool)
-            for j in range(self.m):
-                found[self._opened(j, code[j], self.level)] = True
-            rows = np.flatnonzero(found)
-            distance = np.bitwise_count(self.words[rows] ^ word).sum(1, dtype=np.int32)
-            inside = np.count_nonzero(distance <= self.m * (self.level + 1) - 1)  # complete up to here
-            if inside >= self.target or self.level == 16:
+            rows, distance = self._within(code, radius)
+            full = len(rows) >= self.target
+            if full or radius >= self.m * WORD or (enough and enough(rows, radius)):
                 break
-            self.level += 1
-        if self.level and np.count_nonzero(distance <= self.m * self.level - 1) >= self.target:
-            self.level -= 1
-        return rows[distance <= np.partition(distance, self.target - 1)[self.target - 1]]
+            radius += self.m
+        self.start = max(0, radius - 2 * self.m)
+        return rows[distance <= np.partition(distance, self.target - 1)[self.target - 1]] if full else rows
+
+    def _nearest_found(self, q: np.ndarray):
+        """Accepts a radius in which a vector better than the k best found would be expected."""
+        size = np.linalg.norm(q) * self.length
+
+        def enough(rows: np.ndarray, radius: int) -> bool:
+            if self.n_ids[rows].sum() < self.k + 1:
+                return False
+            scores = np.repeat(self.x[rows] @ q, self.n_ids[rows])
+            part = np.arccos(np.clip(np.partition(scores, len(scores) - self.k - 1)[len(scores) - self.k - 1] / size, -1, 1)) / np.pi
+            return radius >= self.bits * part + MARGIN * np.sqrt(self.bits * part * (1 - part)) + 1
+        return enough
 
     def search(self, own: int, q: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best found, the query's own id left out."""
-        rows = self.near(code)
+        rows = self.near(code, None if self.uneven or self.target == len(self.x) else self._nearest_found(q))
         if len(self.longest):
             rows = np.union1d(rows, self.longest)
         scores = self.x[rows] @ q

@@ -136,3 +136,39 @@ def test_empty_table_and_further_columns(spark):
     assert run(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0) == {}
     df = spark.createDataFrame([(0, [1.0], 3, 4)], "vec_id long, embedding array<float>, block int, v int")
     assert run(df, F.col("vec_id") % 20 == 0) == {}
+
+
+def _opened_and_recall(x, block_rows=1 << 14, n_queries=60, k=20):
+    """Share of all rows found in opened lists per query, and recall, over blocks as the job deals them."""
+    rng = np.random.default_rng(8)
+    coder = H.learn(x[rng.permutation(len(x))[:H.SAMPLE]])
+    dealt = rng.integers(0, -(-len(x) // block_rows), len(x))
+    blocks = [H.Block(np.flatnonzero(dealt == b), x[dealt == b], coder, k, H.REACH, H.LEAST) for b in np.unique(dealt)]
+    codes, hits = coder.codes(x), 0
+    queries = rng.choice(len(x), n_queries, replace=False)
+    for q in queries:
+        found = [b.search(q, x[q], codes[q]) for b in blocks]
+        ids, scores = (np.concatenate(c) for c in zip(*found))
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(ids[np.lexsort((ids, -scores))[:k]].tolist()) & set(np.lexsort((np.arange(len(x)), -s))[:k].tolist()))
+    return sum(b.opened for b in blocks) / n_queries / len(x), hits / k / n_queries
+
+
+def _unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("centres", [20, 200])
+def test_few_lists_are_opened_on_clusters(centres):
+    rng = np.random.default_rng(centres)
+    x = _unit(rng.normal(size=(centres, 64))[rng.integers(0, centres, 1 << 14)] + 0.1 * rng.normal(size=(1 << 14, 64)))
+    opened, recall = _opened_and_recall(x)
+    assert opened < 0.2 and recall >= 0.9
+
+
+def test_lists_opened_on_the_given_vectors_over_four_blocks(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    x = _unit(np.array([r[0] for r in rows if r[0] is not None], np.float64))
+    opened, recall = _opened_and_recall(np.concatenate([x, _unit(np.random.default_rng(1).normal(size=(50_000, x.shape[1])))]))
+    assert opened < 0.6 and recall >= 0.9

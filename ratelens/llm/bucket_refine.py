@@ -385,6 +385,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.when(copies, nothing).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"))
     done = scratch.written(done, "cut-texts")
     ids = scratch.written(rows.select("doc_id", "digest"), "text-ids")
+    scratch.clear(keep=2)  # the result reads these two
     # the most frequent copies are a bounded list, broadcast; all others meet by digest
     bar = _bar(ids.count())
     often = F.broadcast(done.where(F.col("n") > bar))

@@ -39,6 +39,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+LEFT: list[str] = []  # tables this process has written and not deleted
+
+
 class Scratch:
     """Tables written once to the shared folder and read again; ``clear``
     deletes those that nothing will read any more."""
@@ -48,23 +51,36 @@ class Scratch:
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
+        LEFT.append(path)
         df.write.parquet(path)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self, keep: int = 0) -> None:
         """Delete all but the ``keep`` tables written last."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         gone = self.paths[: len(self.paths) - keep]
-        for p in gone:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+        _delete(self.spark, gone)
         self.paths = self.paths[len(gone):]
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in list(paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        if p in LEFT:
+            LEFT.remove(p)
+
+
+def clear_leftovers(spark: SparkSession) -> None:
+    """Delete every table that this process has written to the shared folder and
+    that is still there: once the results that read them are stored."""
+    _delete(spark, LEFT)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back; like checkpoint
-    data it stays until that folder is cleaned."""
+    data it stays until ``clear_leftovers`` or until that folder is cleaned."""
     return Scratch(df.sparkSession).written(df, name)
 
 

@@ -17,6 +17,9 @@ CONTRACT = {
     "op8_": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op9_": "conv_id bigint, turn bigint, role string",
     "op10_": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
+    "op11_": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op12_": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op13_": "word string, n bigint, n_near bigint, form string, form_n bigint, root string",
 }
 
 
@@ -40,7 +43,7 @@ def test_contract_columns(spark, prefix):
 
 def test_one_row_per_document(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    for prefix in ("op3_", "op4_", "op6_", "op8_"):
+    for prefix in ("op3_", "op4_", "op6_", "op8_", "op11_", "op12_"):
         out = queries.QUERIES[named(prefix)](spark, SF)
         assert out.count() == out.select("doc_id").distinct().count() == n
 
@@ -61,3 +64,13 @@ def test_neighbours_of_the_table(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
     assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
+
+
+def test_leftovers_are_listed_and_deleted(spark):
+    from ratelens.llm import common
+    kept = common.written(spark.range(5).toDF("id"), "left")
+    assert kept.count() == 5 and common.LEFT
+    path = common.LEFT[-1]
+    assert common.exists(spark, path)
+    common.clear_leftovers(spark)
+    assert not common.LEFT and not common.exists(spark, path)

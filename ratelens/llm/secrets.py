@@ -107,16 +107,18 @@ def scan_new(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ledger rows for the (blob, rule version) pairs not yet in ``ledger``:
     one per pair, with its spans (none for a clean blob)."""
-    blobs = _addressed(versions, id_col, text_col).select("blob", "text").distinct()
+    blobs = _addressed(versions, id_col, text_col).select("blob", "text")
     if ledger is None:
-        missing = blobs.withColumn("todo", F.array(*[F.lit(r.kind) for r in rules]))
+        missing = blobs.distinct().withColumn("todo", F.array(*[F.lit(r.kind) for r in rules]))
     else:
         known = F.array_agg(F.struct("kind", "version"))
         have = ledger.groupBy("blob").agg(known.alias("have"))
         todo = F.filter(F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"))
                                   for r in rules]),
                         lambda r: F.col("have").isNull() | ~F.array_contains(F.col("have"), r))
-        missing = (blobs.join(have, "blob", "left").withColumn("todo", F.transform(todo, lambda r: r["kind"]))
+        # one text a blob, dealt by blob as the join needs it: texts move once
+        one = blobs.groupBy("blob").agg(F.first("text").alias("text"))
+        missing = (one.join(have, "blob", "left").withColumn("todo", F.transform(todo, lambda r: r["kind"]))
                    .where(F.size("todo") > 0))
     found = [F.when(F.array_contains("todo", r.kind),
                     F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),

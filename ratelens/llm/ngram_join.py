@@ -116,12 +116,11 @@ def _sets(width: int):
 
 
 def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
-    """(node, shingles) of all nodes of the pairs, from their own texts, once each.
-    What is wanted is written first, so that Spark knows its size: texts cross
-    the network only where the list is too large to be broadcast."""
+    """(node, shingles) of all nodes of the pairs, from their own texts, once each. The
+    join is a merge at every size, as what is wanted grows with the corpus."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = scratch.written(nodes.select("node", "doc_id", "key").join(wanted, "node", "left_semi"), "wanted-sets")
-    chosen = docs.join(texts, ["doc_id", "key"]).select("node", "text")
+    chosen = docs.hint("merge").join(texts, ["doc_id", "key"]).select("node", "text")
     sets = scratch.written(chosen.mapInArrow(_sets(width), "node long, shingles array<long>"), "shingle-sets")
     if sets.count() > texts.count():  # rows that repeat an id and a text
         sets = scratch.written(sets.dropDuplicates(["node"]), "distinct-sets")
